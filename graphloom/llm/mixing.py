@@ -32,12 +32,12 @@ def water_fill(sizes: list[int], weights: list[float], total: float, max_epochs:
 
 def _quotas(g: pd.DataFrame) -> pd.DataFrame:
     """For one source, from its largest document size to its smallest: how many of the documents of a size are drawn once more, so
-    that the words drawn never run ahead of the fraction's share and lag by less than one document of the present size."""
+    that after each size the words drawn are as near to the fraction's share as documents of that size allow."""
     g = g.sort_values("size", ascending=False)
     part, left, drawn = float(g["fraction"].iloc[0]), 0.0, []
     for size, n in zip(g["size"].tolist(), g["n"].tolist(), strict=True):
         left += part * size * n
-        k = min(n, int((left + 1e-6) // size)) if size else 0
+        k = max(0, min(n, round(left / size))) if size else 0
         left -= k * size
         drawn.append(k)
     return g.assign(drawn=drawn)[["source", "size", "n", "drawn"]]
@@ -54,7 +54,7 @@ def mix(documents: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: flo
     Sources in code-point order, null last, take ``weights`` in turn; size is the number of words, 0 for a null text. A source of
     target t and size s repeats each document floor(t/s) times; what is left of t is drawn by size: of a source's n documents of
     one size those with the smallest seeded hash of doc_id and text. Rows alike in both are drawn together or not at all. The draw
-    lags its share by less than the smallest document that is not drawn, such rows aside. Empty documents are never drawn.
+    goes from large to small, so what large documents leave over small ones make up. Empty documents are never drawn.
     Columns of ``documents`` with the four names are replaced.
 
     Only totals by source reach the driver, at most ``max_sources``; more raise an error. The walk over a source sees one row per
