@@ -21,6 +21,9 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _ASCII_LOWER = np.arange(256, dtype=np.uint8)
 _ASCII_LOWER[65:91] += 32
+#: Blanks and ASCII punctuation.
+PUNCTUATION = _SPACE.copy()
+PUNCTUATION[[c for c in range(33, 127) if not chr(c).isalnum()]] = True
 _P, _Q = np.uint64(0x9E3779B97F4A7C15 | 1), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -82,10 +85,11 @@ def powers(n: int) -> np.ndarray:
 class Words:
     """Words ``[^\\x20\\x09-\\x0D]+`` of several texts: byte ranges, 64-bit hashes and, for each text, its range of words."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = False):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = False, breaks: np.ndarray = _SPACE):
+        """``breaks``: which bytes stand between words, instead of the blanks."""
         self.data, self.offsets = data, offsets
         n = len(data)
-        solid = ~_SPACE[data]
+        solid = ~breaks[data]
         edge = offsets[(offsets > 0) & (offsets < n)]
         before, after = np.zeros(n, bool), np.zeros(n, bool)
         before[1:], after[:-1] = solid[:-1], solid[1:]

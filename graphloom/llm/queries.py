@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphloom.llm import line_dedup, mixing, url_filter, warc
+from graphloom.llm import decontam, line_dedup, mixing, toxicity, url_filter, warc
 from graphloom.llm.common import new_path, table
 
 URL_RULES = [
@@ -41,8 +41,20 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archive(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(documents, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    out = toxicity.score(documents, model, 0.3)
+    return out.select("doc_id", (toxicity.bucket(F.col("doc_id")) == 2).alias("held_out"), "score", "predicted")
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontam.contaminated(documents, table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_url_filter, op5_line_dedup, op6_mixing, op7_warc)}
+    return {f.__name__: f for f in (op2_url_filter, op5_line_dedup, op6_mixing, op7_warc, op8_toxicity, op10_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
