@@ -2,7 +2,7 @@
 
 A word transducer maps words to classes: insult (learned stems with weights), threat, target, negation and reported speech. A clause
 transducer, composed on top of it, reads the classes of one clause and emits weighted matches: an insult or threat counts as
-affirmed, negated, reported or aimed at a target by the state it is met in. A document's features are the sums over its clauses,
+affirmed, negated, reported or aimed at a target by the state it is met in. A document's features are the sums over its clauses and its strongest match,
 and a logistic model, fitted on the labelled rows, turns them into a score.
 """
 
@@ -28,7 +28,7 @@ REPORTED = frozenset("said says say called calls told wrote claimed quoted repor
 THREAT = frozenset("kill murder hurt destroy beat burn stab shoot töten umbringen schlagen tuer frapper brûler matar golpear quemar".split())
 #: Prefix lengths in code points that may become stems; a stem may also be a whole word.
 STEM_LENGTHS = (3, 4, 5, 6, 7, 8)
-FEATURES = ("affirmed", "negated", "reported", "aimed", "threats")
+FEATURES = ("affirmed", "negated", "reported", "aimed", "threats", "strongest")
 #: Words between a negation or a target and the insult that it reaches.
 REACH = 3
 
@@ -84,6 +84,7 @@ class ToxicityModel:
                 value = weight or 1.0
                 k = 2 if reported else 1 if negated <= REACH else 0
                 total[k] += value
+                total[5] = max(total[5], value)
                 if threat:
                     total[4] += 1.0
                 if aimed <= REACH:
@@ -144,12 +145,12 @@ def _stem_counts(wanted: frozenset[str] | None):
     return count
 
 
-def train(documents: DataFrame, labels: DataFrame, max_rows: int = 30_000, max_chars: int = 200_000_000, alpha: float = 0.05) -> ToxicityModel:
+def train(documents: DataFrame, labels: DataFrame, max_rows: int = 30_000, max_chars: int = 200_000_000, alpha: float = 0.05, purity: float = 0.5) -> ToxicityModel:
     """Learns from labelled rows outside the held-out remainder: at most about ``max_rows`` of them, and of their ``max_chars``
     characters (a documented bound of the fit, by a hash of the id; scoring covers everything).
 
     A stem enters the lexicon if toxic documents hold it more often than chance explains (binomial tail against the share of toxic
-    documents, at level ``alpha`` over all candidate stems). Its weight is the log odds. Null labels, ids and texts teach nothing;
+    documents, at level ``alpha`` over all candidate stems) and most that hold it (``purity``) are toxic. Its weight is the log odds. Null labels, ids and texts teach nothing;
     several labels of one id count as toxic if one is. Without toxic or without clean rows the model scores everything near 0.
     """
     spark = documents.sparkSession
@@ -174,7 +175,7 @@ def train(documents: DataFrame, labels: DataFrame, max_rows: int = 30_000, max_c
     for s, t in toxic.items():
         c = clean.get(s, 0)
         q = t / (t + c)
-        if q > max(0.5, base):
+        if q > max(purity, base):
             tail = t * np.log(q / base) + (c * np.log((1 - q) / (1 - base)) if c else 0.0)
             if tail > np.log(len(toxic) / alpha):
                 lexicon[s] = float(np.log((t + 0.5) / (n_toxic + 1)) - np.log((c + 0.5) / (n_clean + 1)))
