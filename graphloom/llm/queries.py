@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphloom.llm import decontam, line_dedup, mixing, token_output, toxicity, url_filter, warc
+from graphloom.llm import decontam, imatch, line_dedup, mixing, token_output, toxicity, url_filter, warc
 from graphloom.llm.common import new_path, table
 
 URL_RULES = [
@@ -30,6 +30,10 @@ def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read_tokens(spark, path)
 
 
+def op4_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.edited_fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     state = line_dedup.insert_documents(line_dedup.empty_state(spark, min_docs=10, min_chars=1), documents)
@@ -62,7 +66,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_url_filter, op3_token_output, op5_line_dedup, op6_mixing, op7_warc, op8_toxicity, op10_decontamination)}
+    return {f.__name__: f for f in (op2_url_filter, op3_token_output, op4_imatch, op5_line_dedup, op6_mixing, op7_warc, op8_toxicity, op10_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
