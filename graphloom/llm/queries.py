@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphloom.llm import decontam, imatch, line_dedup, mixing, token_output, toxicity, url_filter, warc
+from graphloom.llm import decontam, imatch, line_dedup, mixing, substring_dedup, token_output, toxicity, url_filter, warc
 from graphloom.llm.common import new_path, table
 
 URL_RULES = [
@@ -17,6 +17,11 @@ URL_RULES = [
 ]
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.filter_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
@@ -66,12 +71,36 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_url_filter, op3_token_output, op4_imatch, op5_line_dedup, op6_mixing, op7_warc, op8_toxicity, op10_decontamination)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_url_filter, op3_token_output, op4_imatch, op5_line_dedup, op6_mixing, op7_warc, op8_toxicity, op10_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filter": URL_SQL, "op5_line_dedup": LINE_SQL, "op7_warc": WARC_SQL}
-
+    return {"op1_substring_dedup": SUBSTRING_SQL, "op2_url_filter": URL_SQL, "op5_line_dedup": LINE_SQL, "op7_warc": WARC_SQL}
+
+
+SUBSTRING_SQL = r"""
+with split as (
+    select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents
+), starts as (
+    select doc_id, unnest(range(1, len(w) - 48)) as i, w from split where len(w) >= 50
+), windows as (
+    select doc_id, i, sha256(array_to_string(w[i:i + 49], ' ')) as h from starts
+), repeated as (
+    select doc_id, i from (select doc_id, i, min(doc_id) over (partition by h) as first from windows) where first < doc_id
+), gone as (
+    select distinct doc_id, i + k as p from repeated, (select unnest(range(0, 50)) as k)
+), words as (
+    select doc_id, unnest(w) as word, generate_subscripts(w, 1) as p from split
+), judged as (
+    select words.*, gone.p is not null as out from words left join gone on words.doc_id = gone.doc_id and words.p = gone.p
+), kept as (
+    select doc_id, count(*)::bigint as n_words, count(*) filter (out)::bigint as n_removed,
+           string_agg(word, ' ' order by p) filter (not out) as text
+    from judged group by doc_id
+)
+select split.doc_id, coalesce(n_words, 0) as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(kept.text, '')) as kept_sha256
+from split left join kept on split.doc_id = kept.doc_id
+"""
 
 URL_SQL = """
 with cut as (
