@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphloom.llm import decontam, imatch, line_dedup, mixing, substring_dedup, token_output, toxicity, url_filter, warc
+from graphloom.llm import decontam, imatch, line_dedup, minhash_forest, mixing, substring_dedup, token_output, toxicity, url_filter, warc
 from graphloom.llm.common import new_path, table
 
 URL_RULES = [
@@ -65,17 +65,21 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (toxicity.bucket(F.col("doc_id")) == 2).alias("held_out"), "score", "predicted")
 
 
+def op9_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_forest.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), k=4, percent=80)
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontam.contaminated(documents, table(spark, sf_dir, "benchmark"))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_substring_dedup, op2_url_filter, op3_token_output, op4_imatch, op5_line_dedup, op6_mixing, op7_warc, op8_toxicity, op10_decontamination)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_url_filter, op3_token_output, op4_imatch, op5_line_dedup, op6_mixing, op7_warc, op8_toxicity, op9_minhash_forest, op10_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": SUBSTRING_SQL, "op2_url_filter": URL_SQL, "op5_line_dedup": LINE_SQL, "op7_warc": WARC_SQL}
+    return {"op1_substring_dedup": SUBSTRING_SQL, "op2_url_filter": URL_SQL, "op5_line_dedup": LINE_SQL, "op7_warc": WARC_SQL, "op9_minhash_forest": NEAR_SQL}
 
 
 SUBSTRING_SQL = r"""
@@ -142,6 +146,28 @@ select doc_id, count(*)::bigint as n_lines, count(*) filter (gone)::bigint as n_
 from judged group by doc_id
 """
 
+NEAR_SQL = r"""
+with recursive split as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+    from documents
+), shingles as (
+    select distinct doc_id, array_to_string(w[i:i + 3], ' ') as s
+    from (select doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) as i from split where len(w) > 0)
+), sizes as (
+    select doc_id, count(*) as n from shingles group by doc_id
+), common as (
+    select a.doc_id as x, b.doc_id as y, count(*) as c from shingles a join shingles b on a.s = b.s and a.doc_id <> b.doc_id group by all
+), links as (
+    select x, y from common join sizes p on p.doc_id = x join sizes q on q.doc_id = y where 100 * c >= 80 * (p.n + q.n - c)
+), reach as (
+    select doc_id as x, doc_id as y from documents union select reach.x, links.y from reach join links on reach.y = links.x
+), least as (
+    select x as doc_id, min(y) as component_id from reach group by x
+)
+select least.doc_id, coalesce(n, 0)::bigint as n_shingles, component_id, component_id = least.doc_id as kept
+from least left join sizes on least.doc_id = sizes.doc_id
+"""
+
 WARC_SQL = """
 with hashed as (
     select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as hex, min(page_id) over (partition by coalesce(html, '')) as first
