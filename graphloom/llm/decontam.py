@@ -125,7 +125,7 @@ class Benchmark:
         return out
 
 
-def contaminated(documents: DataFrame, benchmark: DataFrame, threshold: float = 0.6, k: int = 5, block_mb: int = 16) -> DataFrame:
+def contaminated(documents: DataFrame, benchmark: DataFrame, threshold: float = 0.6, k: int = 5, block_mb: float = 16) -> DataFrame:
     """Pairs doc_id, item_id, coverage, n_tiles, n_words, one for each row of ``documents`` and item with coverage >= ``threshold``.
 
     Words are runs without blanks and ASCII punctuation, A-Z lower-cased; ``k`` words are a seed and the shortest tile. Null and
@@ -137,7 +137,8 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, threshold: float =
     items = benchmark.filter(F.col("text").isNotNull()).select("item_id", "text")
     sized = items.withColumn("bytes", F.octet_length("text").cast("long"))
     total = sized.agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("b")).first()["b"]
-    n_blocks = max(1, -(-2 * total // (block_mb << 20))) if total > block_mb << 20 else 1
+    limit = max(1, int(block_mb * 2**20))
+    n_blocks = -(-2 * total // limit) if total > limit else 1
     schema = T.StructType([documents.schema["doc_id"], benchmark.schema["item_id"], *(T.StructField(n, t) for n, t in (("coverage", T.DoubleType()), ("n_tiles", T.LongType()), ("n_words", T.LongType())))])
     if n_blocks > 1:
         items = written(items.withColumn("__block", F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)).cast("int")), "benchmark", "__block")

@@ -222,6 +222,9 @@ class Block:
         return self.expand(own[a : b + 1])[skip : skip + stop - start]
 
 
+BLOCK_SCHEMA = "shard int, block int, first_doc long, last_doc long, n_docs long, n_tokens long, doc_ids array<long>, payload binary"
+
+
 def write_tokens(documents: DataFrame, path: str, tokenizer: str, end_id: int = 2, shard_mb: int = 24, block_tokens: int = 2_000_000, first: int = 50_257, **parameters) -> None:
     """Writes the ids of ``documents`` (doc_id, text; other columns are left out) in ascending doc_id order into folder ``path``.
 
@@ -234,8 +237,7 @@ def write_tokens(documents: DataFrame, path: str, tokenizer: str, end_id: int =
     shards = max(1, -(-total // (shard_mb << 20)))
     order = ["doc_id", "__tie", "text"]
     dealt = docs.repartitionByRange(shards, "doc_id", "__tie").sortWithinPartitions(*order).drop("__tie")
-    schema = "shard int, block int, first_doc long, last_doc long, n_docs long, n_tokens long, doc_ids array<long>, payload binary"
-    dealt.mapInArrow(_packer(tokenizer, end_id, block_tokens, first, parameters), schema).write.parquet(path)
+    dealt.mapInArrow(_packer(tokenizer, end_id, block_tokens, first, parameters), BLOCK_SCHEMA).write.parquet(path)
 
 
 _encoders: dict[str, UnitEncoder] = {}  # of this worker process: tasks that follow know the units of those before
@@ -282,7 +284,7 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
 
     Starts come from the blocks' token counts: summed within shards, and over the shards' totals (one row per shard).
     """
-    blocks = spark.read.parquet(path)
+    blocks = spark.read.schema(BLOCK_SCHEMA).parquet(path)
     sizes = blocks.select("shard", "block", "n_tokens")
     shards = sizes.groupBy("shard").agg(F.sum("n_tokens").alias("n"))
     before = shards.select("shard", (F.sum("n").over(Window.orderBy("shard")) - F.col("n")).alias("before"))

@@ -21,6 +21,10 @@ def sha1_base32(data: Column) -> Column:
     return F.translate(F.concat(*digits), CONV_DIGITS, BASE32_DIGITS)
 
 
+PAYLOADS = "address binary, payload_digest string, n_bytes long, first_page long, payload binary"
+RECORDS = "page_id long, address binary, header binary"
+
+
 def _header(kind: Column, date: str) -> Column:
     """The header block up to and with the empty line. Values come last in their lines; line ends in a url become spaces."""
     urn = lambda c: F.concat(F.lit("<urn:page:"), c.cast("string"), F.lit(">"))
@@ -47,7 +51,7 @@ def write_archive(pages: DataFrame, path: str, min_revisit_bytes: int = 0, date:
     every page_id is null, all are. Payload bytes are shuffled once, already joined into one copy by each map task; the
     records carry digests only, so that a payload which a third of all pages share stays small.
     """
-    hashed = pages.select("page_id", F.col("url").cast("string").alias("url"), F.coalesce(F.encode("html", "UTF-8"), F.lit(b"")).alias("payload")).withColumns(
+    hashed = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.encode("html", "UTF-8"), F.lit(b"")).alias("payload")).withColumns(
         {"address": F.unhex(F.sha2("payload", 256)), "payload_digest": sha1_base32(F.col("payload")), "n_bytes": F.length("payload").cast("long")}
     )
     (
@@ -56,7 +60,7 @@ def write_archive(pages: DataFrame, path: str, min_revisit_bytes: int = 0, date:
         .write.parquet(f"{path}/payloads")
     )
     spark = pages.sparkSession
-    store = spark.read.parquet(f"{path}/payloads").drop("payload", "n_bytes", "payload_digest")
+    store = spark.read.schema(PAYLOADS).parquet(f"{path}/payloads").drop("payload", "n_bytes", "payload_digest")
     revisit = (F.col("n_bytes") >= min_revisit_bytes) & (F.col("page_id") != F.col("first_page"))
     kind = F.when(F.coalesce(revisit, F.col("page_id").isNull() & F.col("first_page").isNotNull()), F.lit("revisit")).otherwise(F.lit("response"))
     records = hashed.drop("payload").join(store, "address")
@@ -69,7 +73,7 @@ def read_archive(spark: SparkSession, path: str, payloads: bool = False) -> Data
     Each stored payload is hashed again: a wrong SHA-256 address, a header whose digest or length differs, or a missing payload
     ends the job. With ``payloads``, ``payload`` is joined too, for responses and revisits alike.
     """
-    store = spark.read.parquet(f"{path}/payloads")
+    store = spark.read.schema(PAYLOADS).parquet(f"{path}/payloads")
     sound = store.select(
         "address",
         F.when(F.unhex(F.sha2("payload", 256)) == F.col("address"), sha1_base32(F.col("payload"))).alias("__sha1"),
@@ -78,7 +82,7 @@ def read_archive(spark: SparkSession, path: str, payloads: bool = False) -> Data
     )
     text = F.decode("header", "UTF-8")
     field = lambda name: F.regexp_extract(text, rf"\r\n{name}: ([^\r\n]*)\r\n", 1)
-    records = spark.read.parquet(f"{path}/records").withColumns(
+    records = spark.read.schema(RECORDS).parquet(f"{path}/records").withColumns(
         {
             "record_type": field("WARC-Type"),
             "payload_digest": F.substring(field("WARC-Payload-Digest"), 6, 32),
