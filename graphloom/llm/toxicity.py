@@ -26,6 +26,10 @@ TARGET = frozenset("you your yours u du dich dir dein deine ihr euch tu toi te t
 NEGATION = frozenset("not never no none nor isn't aren't wasn't don't doesn't didn't nicht kein keine nie ne pas jamais nunca jamás".split())
 REPORTED = frozenset("said says say called calls told wrote claimed quoted reported sagte sagt nannte schrieb dit disait appelé écrit dijo dice llamó escribió".split())
 THREAT = frozenset("kill murder hurt destroy beat burn stab shoot töten umbringen schlagen tuer frapper brûler matar golpear quemar".split())
+#: English insults that the lexicon starts from; labelled rows confirm, outweigh or drop them.
+INSULTS = "idiot moron fool imbecile stupid dumb loser clown jerk creep scum trash filth vermin pathetic worthless useless disgusting despicable".split()
+#: The weight of an insult that labelled rows say nothing about.
+PRIOR = 4.0
 #: Prefix lengths in code points that may become stems; a stem may also be a whole word.
 STEM_LENGTHS = (3, 4, 5, 6, 7, 8)
 FEATURES = ("affirmed", "negated", "reported", "aimed", "threats", "strongest")
@@ -55,8 +59,8 @@ class ToxicityModel:
     """Insult stems with weights, and the logistic model: bias and one weight per feature."""
 
     lexicon: dict[str, float]
-    bias: float = -20.0
-    weights: list[float] = field(default_factory=lambda: [0.0] * len(FEATURES))
+    bias: float = -3.0
+    weights: list[float] = field(default_factory=lambda: [2.0] + [0.0] * (len(FEATURES) - 1))
 
     def __post_init__(self):
         self._seen: dict[str, float] = {}
@@ -151,7 +155,7 @@ def train(documents: DataFrame, labels: DataFrame, max_rows: int = 30_000, max_c
 
     A stem enters the lexicon if toxic documents hold it more often than chance explains (binomial tail against the share of toxic
     documents, at level ``alpha`` over all candidate stems) and most that hold it (``purity``) are toxic. Its weight is the log odds. Null labels, ids and texts teach nothing;
-    several labels of one id count as toxic if one is. Without toxic or without clean rows the model scores everything near 0.
+    several labels of one id count as toxic if one is. Without toxic or without clean rows the model is the fixed insults alone.
     """
     spark = documents.sparkSession
     known = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (bucket(F.col("doc_id")) != 2)).groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
@@ -166,12 +170,14 @@ def train(documents: DataFrame, labels: DataFrame, max_rows: int = 30_000, max_c
     n_toxic, n_all = size["t"] or 0, size["n"]
     n_clean = n_all - n_toxic
     if not n_toxic or not n_clean:
-        return ToxicityModel({})
+        return ToxicityModel({w + "$": PRIOR for w in INSULTS})
     counts = lambda toxic, wanted: rows.filter(F.col("toxic") == toxic).select("text").mapInArrow(_stem_counts(wanted), "stem string, n long").groupBy("stem").agg(F.sum("n").alias("n"))
     least = max(3, n_toxic // 500)
     toxic = {r["stem"]: r["n"] for r in counts(1, None).filter(F.col("n") >= least).collect()}
-    clean = {r["stem"]: r["n"] for r in counts(0, frozenset(toxic)).collect()}
-    base, lexicon = n_toxic / n_all, {}
+    clean = {r["stem"]: r["n"] for r in counts(0, frozenset(toxic) | {w + "$" for w in INSULTS}).collect()}
+    base = n_toxic / n_all
+    # an insult stays as it is while the labelled rows that hold it are toxic no less often than others
+    lexicon = {s: PRIOR for s in (w + "$" for w in INSULTS) if clean.get(s, 0) * base <= toxic.get(s, 0) * (1 - base) + 1}
     for s, t in toxic.items():
         c = clean.get(s, 0)
         q = t / (t + c)
