@@ -482,12 +482,23 @@ def gtf_attribute_parse(spark, sf_dir):
 
 @query()
 def chrom_assignment(spark, sf_dir):
-    part = derived.table(spark, sf_dir, "part").select(derived.gene_id(F.col("p_type"), F.col("p_partkey")).alias("gene_id"), (F.col("p_partkey") % 997).cast("long").alias("cluster_ord"), F.col("p_partkey").cast("int").alias("member_pos"))
+    part = derived.table(spark, sf_dir, "part").select(derived.gene_id(F.col("p_type"), F.col("p_partkey")).alias("gene_id"), (F.col("p_partkey") % 997).cast("string").alias("cluster_id"), F.col("p_partkey").cast("int").alias("member_pos"))
     return assign.chromosome_groups(part, derived.genes(spark, sf_dir), VARIETIES)
 
 
 @query()
 def last_clusters(spark, sf_dir):
     edges, pre = _pre(spark, sf_dir)
-    members = written(pre, "pre").select(F.xxhash64("group_id", "round").alias("cluster_ord"), "member_pos", "gene_id")
+    members = written(pre, "pre").select(F.col("hub").alias("cluster_id"), "member_pos", "gene_id")
     return assign.last_clusters(members, edges, derived.genes(spark, sf_dir), VARIETIES, REFERENCE)
+
+
+@query()
+def construct_gtf(spark, sf_dir):
+    """A whole construct run, from alignments to the official GTF."""
+    from graphloom.plans import construct
+
+    aln = derived.alignments(spark, sf_dir)
+    lengths = alignment.summarise_cigar(aln).groupBy(F.col("query_id").alias("record_id")).agg(F.max(F.col("mlen") + F.col("soft")).alias("seq_len"))
+    run = construct.construct(aln, derived.genes(spark, sf_dir), lengths, derived.sequences(spark, sf_dir), VARIETIES, REFERENCE)
+    return construct.official_gtf(run).select(*transcripts.GTF_COLUMNS)
