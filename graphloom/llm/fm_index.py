@@ -6,15 +6,15 @@ import numpy as np
 
 
 def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes of ``text`` in the order of their first ``depth`` symbols or more, by doubling; equal prefixes stay in text order."""
+    """Suffixes of ``text`` in the order of their first ``depth`` symbols or more, by doubling; suffixes alike to that depth in any order."""
     n, k = len(text), 1
     rank = np.unique(text, return_inverse=True)[1].astype(np.int64)
-    order = np.argsort(rank, kind="stable")
+    order = np.argsort(rank)
     while k < depth and int(rank.max(initial=0)) < n - 1:
         after = np.zeros(n, np.int64)
         after[: n - k] = rank[k:] + 1
         key = rank * (n + 1) + after
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         ranked = key[order]
         rank = np.empty(n, np.int64)
         rank[order] = np.cumsum(np.concatenate([[0], ranked[1:] != ranked[:-1]]))
@@ -67,7 +67,7 @@ class FMIndex:
         self.wavelet = WaveletMatrix(text[sa - 1], n_symbols)
         self.first = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=n_symbols))])
         # the least owner in any range of the suffix array, from a table of powers of two
-        owner = np.repeat(np.asarray(owners, np.int64), sizes)[sa]
+        owner = np.repeat(np.asarray(owners), sizes)[sa]
         self.least = [owner]
         while 2 << (len(self.least) - 1) <= self.n:
             a, half = self.least[-1], 1 << (len(self.least) - 1)
@@ -75,12 +75,13 @@ class FMIndex:
 
     def extend(self, symbol: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """One step of backward search: the ranges of (symbol, pattern) from those of the patterns."""
-        return self.first[symbol] + self.wavelet.rank(symbol, low), self.first[symbol] + self.wavelet.rank(symbol, high)
+        both = np.tile(self.first[symbol], 2) + self.wavelet.rank(np.tile(symbol, 2), np.concatenate([low, high]))
+        return both[: len(low)], both[len(low) :]
 
     def least_owner(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
         """Of nonempty ranges."""
         k = np.frexp((high - low).astype(np.float64))[1] - 1
-        out = np.empty(len(low), np.int64)
+        out = np.empty(len(low), self.least[0].dtype)
         for level in np.unique(k).tolist():
             i = np.flatnonzero(k == level)
             a = self.least[level]
@@ -101,25 +102,23 @@ class FMIndex:
             live = live[at[live] > begin[live]]
         return at
 
-    def windows_held_earlier(self, flat: np.ndarray, begin: np.ndarray, end: np.ndarray, owner: np.ndarray, window: int) -> list[np.ndarray]:
+    def windows_held_earlier(self, flat: np.ndarray, begin: np.ndarray, end: np.ndarray, owner: np.ndarray, window: int, at_once: int = 300_000) -> list[np.ndarray]:
         """For each range the starts (from 0) of its windows that stand in a sequence of a smaller owner: matching statistics against
-        the threshold ``window``. Whole ranges first; then window by window from the left, where a search that ends at a word
-        rules out every window that holds that word and the rest of this one."""
+        the threshold ``window``. Whole ranges first, since one that is held holds all its windows; then all windows of the others
+        side by side, each from its last word on until it is found in no smaller owner's sequence, mostly after a few words."""
         found = [np.zeros(0, np.int64)] * len(begin)
-        reach = self.held_earlier(flat, begin, end, owner)
-        n_windows = end - begin - window + 1
-        for i in np.flatnonzero((reach == begin) & (n_windows > 0)).tolist():
+        n_windows = np.maximum(end - begin - window + 1, 0)
+        whole = (self.held_earlier(flat, begin, end, owner) == begin) & (n_windows > 0)
+        for i in np.flatnonzero(whole).tolist():
             found[i] = np.arange(n_windows[i])
-        live = np.flatnonzero((reach > begin) & (n_windows > 0))
-        at = begin.copy()
-        hits: dict[int, list[int]] = {}
-        while len(live):
-            reached = self.held_earlier(flat, at[live], at[live] + window, owner[live])
-            whole = reached == at[live]
-            for i in live[whole].tolist():
-                hits.setdefault(i, []).append(int(at[i] - begin[i]))
-            at[live] = np.where(whole, at[live] + 1, reached)
-            live = live[at[live] + window <= end[live]]
-        for i, starts in hits.items():
-            found[i] = np.array(starts)
+        n_windows[whole] = 0
+        of = np.repeat(np.arange(len(begin)), n_windows)
+        start = np.arange(len(of)) - np.repeat(np.cumsum(n_windows) - n_windows, n_windows)
+        for k in range(0, len(of), at_once):
+            i, s = of[k : k + at_once], start[k : k + at_once]
+            held = self.held_earlier(flat, begin[i] + s, begin[i] + s + window, owner[i]) == begin[i] + s
+            i, s = i[held], s[held]
+            edge = np.flatnonzero(np.concatenate([[True], i[1:] != i[:-1]])) if len(i) else []
+            for own, part in zip(i[edge].tolist() if len(i) else [], np.split(s, edge[1:]) if len(i) else [], strict=True):
+                found[own] = np.concatenate([found[own], part])
         return found

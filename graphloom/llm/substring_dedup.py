@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.llm.common import Words, text_slices, written
+from graphloom.llm.common import Words, release, releasing, text_slices, written
 from graphloom.llm.decontam import _windows as running_hashes
 from graphloom.llm.fm_index import FMIndex
 
@@ -49,7 +49,7 @@ def _anchors(window: int, gram: int):
                 new = np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])]) if len(doc) else np.zeros(0, bool)
                 yield pa.RecordBatch.from_arrays([pa.array(anchor[new]), rows.column("id").take(pa.array(doc[new]))], ["anchor", "id"])
 
-    return run
+    return releasing(run)
 
 
 def _segments(window: int, gram: int):
@@ -88,7 +88,7 @@ def _segments(window: int, gram: int):
                         ["id", "tie", "anchor", "begin", "n_windows", "body", "hashes"],
                     )
 
-    return run
+    return releasing(run)
 
 
 def _cut(window: int):
@@ -111,7 +111,7 @@ def _cut(window: int):
                 begin = batch.column("begin").take(pa.array(row)).to_numpy() + np.array(at)
                 yield pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(row)) for c in ("id", "tie", "anchor")), pa.array(begin), pa.array(n, pa.int64()), pa.array(body, pa.binary())], ["id", "tie", "anchor", "begin", "n_windows", "body"])
 
-    return run
+    return releasing(run)
 
 
 def _search(window: int):
@@ -122,20 +122,23 @@ def _search(window: int):
         ids: dict[bytes, int] = {}
         sequences = [np.array([ids.setdefault(w, len(ids) + 1) for w in body.split(b" ")], np.int64) for body in g["body"]]
         owners = g["owner"].to_numpy(np.int64)
-        index = FMIndex(sequences, owners, len(ids) + 1)
+        rank = np.unique(owners, return_inverse=True)[1].astype(np.int32)  # owners by their order, in half the space
+        index = FMIndex(sequences, rank, len(ids) + 1)
         sizes = np.array([len(s) for s in sequences])
         end = np.cumsum(sizes)
-        found = index.windows_held_earlier(np.concatenate(sequences), end - sizes, end, owners, window)
+        found = index.windows_held_earlier(np.concatenate(sequences), end - sizes, end, rank, window)
         texts = []
         for x in found:
             cut = np.flatnonzero(np.diff(x) > 1)
             texts.append(",".join(f"{a}-{b + 1}" for a, b in zip(x[np.concatenate([[0], cut + 1])].tolist(), x[np.concatenate([cut, [len(x) - 1]])].tolist(), strict=True)) if len(x) else "")
+        del index, sequences, ids
+        release()
         return pd.DataFrame({"digest": g["digest"].to_numpy(), "anchor": g["anchor"].to_numpy(), "owner": owners, "windows": texts})
 
     return run
 
 
-def repeated_windows(documents: DataFrame, window: int = 50, gram: int = 16, hot_docs: int = 64, shard_words: int = 400_000) -> DataFrame:
+def repeated_windows(documents: DataFrame, window: int = 50, gram: int = 16, hot_docs: int = 64, shard_words: int = 800_000) -> DataFrame:
     """Word ranges that repeat: id (doc_id, the largest long for null), tie (xxhash64 of the text), begin and end of words, all of
     whose windows of ``window`` words also start in a row with a smaller id. Ranges may overlap. Rows of one id never count as earlier than
     one another; a null id is later than all others. ``hot_docs`` decides only where windows are cut before the search."""
@@ -155,7 +158,7 @@ def repeated_windows(documents: DataFrame, window: int = 50, gram: int = 16, hot
     distinct = written(segments.groupBy("digest").agg(F.first("body").alias("body"), F.first("anchor").alias("anchor"), F.first("n_windows").alias("n_windows"), F.min("id").alias("owner")), "segments-distinct")
     words = distinct.agg(F.coalesce(F.sum(F.col("n_windows") + window - 1), F.lit(0)).alias("n")).first()["n"]
     shards = max(1, -(-words // shard_words))
-    judged = distinct.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards))).groupBy("shard").applyInPandas(_search(window), "digest binary, anchor long, owner long, windows string")
+    judged = distinct.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards))).repartition(shards, "shard").groupBy("shard").applyInPandas(_search(window), "digest binary, anchor long, owner long, windows string")
     judged = written(judged.select("digest", "owner", "windows"), "segments-judged")
     found = segments.select("id", "tie", "begin", "n_windows", "digest").join(judged, "digest")
     # a document that is not a segment's first one repeats all of it
