@@ -60,20 +60,20 @@ def test_construct(first):
 def test_append(spark, first):
     aln, genes, run = first
     history = genes.filter("not startswith(gene_id, 'X')")
-    new = spark.createDataFrame([("JM22.g1", 100, "A1", 3, 90, "+", 0), ("JM22.g2", 100, "D1", 3, 90, "+", 1)], BED)
-    to_all = alignments(spark, [("JM22.g1.1", "RefA.g1"), ("JM22.g1.1", "JM22.g1")])
-    to_new = alignments(spark, [("RefA.g1.1", "JM22.g1")])
+    new = spark.createDataFrame([("NV22.g1", 100, "A1", 3, 90, "+", 0), ("NV22.g2", 100, "D1", 3, 90, "+", 1)], BED)
+    to_all = alignments(spark, [("NV22.g1.1", "RefA.g1"), ("NV22.g1.1", "NV22.g1")])
+    to_new = alignments(spark, [("RefA.g1.1", "NV22.g1")])
     seeds = spark.createDataFrame([("RefA.g1.1", "RefA.g1", 0, [(1, 10), (21, 30)], [(11, 20)]), ("Gone.g1.1", "Gone.g1", 1, [(1, 5)], [])], "transcript_id string, gene_id string, tx_ord long, exons array<struct<start:long,end:long>>, splices array<struct<start:long,end:long>>")
-    n = {"RefA.g1.1": 40, "Q.g1.1": 25, "Q.g1.2": 22, "RefA.g2.1": 20, "JM22.g1.1": 20}
-    names = [*(r[0] for r in genes.collect()), "JM22.g1", "JM22.g2"]
+    n = {"RefA.g1.1": 40, "Q.g1.1": 25, "Q.g1.2": 22, "RefA.g2.1": 20, "NV22.g1.1": 20}
+    names = [*(r[0] for r in genes.collect()), "NV22.g1", "NV22.g2"]
     args = (run.edges, history, run.filtered, seeds, new, to_all, to_new, lengths(spark, n), sequences(spark, names), ["RefA", "Q"])
-    out = appending.append(*args, ["JM22"], "RefA")
+    out = appending.append(*args, ["NV22"], "RefA")
     assert out.edges.count() == run.edges.count() + 3
     lines = {r["line"] for r in constructing.cluster_lines(out.clusters.last).collect()}
-    assert lines == {"RefA.g1\tJM22.g1\tQ.g1", "RefA.g2", "Q.g7", "JM22.g2"}
+    assert lines == {"RefA.g1\tNV22.g1\tQ.g1", "RefA.g2", "Q.g7", "NV22.g2"}
     exons = {(r["start"], r["end"]) for r in out.last.gtf.filter("seqname = 'RefA.g1' and feature = 'exon'").collect()}
     assert {(1, 10), (21, 30)} <= exons and "Gone.g1" not in {r["seqname"] for r in out.last.gtf.collect()}
-    for bad in (["Q"], ["JM"], ["JM22", "None"], ["RefAB"]):
+    for bad in (["Q"], ["JM"], ["NV22", "None"], ["RefAB"]):
         if bad != ["JM"]:
             with pytest.raises(ValueError):
                 appending.append(*args, bad, "RefA")
