@@ -180,6 +180,11 @@ def variety_assign(spark, sf_dir):
     return derived.genes(spark, sf_dir).select("gene_id", ids.variety_of(F.col("gene_id"), VARIETIES).alias("variety"), ids.chrom_label(F.col("chrom")).alias("label"))
 
 
+@query("""select variety, min(bed_ord) as first_ord from gene where variety <> 'PROMO' group by variety""")
+def variety_inference(spark, sf_dir):
+    return bed.varieties(derived.genes(spark, sf_dir), ["PROMO"])
+
+
 @query("""select gene_id from gene qualify row_number() over (partition by variety, chrom, start order by gene_len desc, bed_ord) = 1""")
 def same_start_merge(spark, sf_dir):
     return assign.same_start_merge(derived.genes(spark, sf_dir), "variety").select("gene_id")

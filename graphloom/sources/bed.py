@@ -43,3 +43,11 @@ def subset(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     columns = ["gene_id", *(["pos"] if "pos" in wanted.columns else [])]
     last = rows.groupBy("gene_id").agg(F.max_by(F.struct(*[c for c in rows.columns if c != "gene_id"]), "bed_ord").alias("r"))
     return wanted.select(*columns).distinct().join(last, "gene_id").select(*columns, "r.*")
+
+
+def varieties(rows: DataFrame, without: list[str] | None = None) -> DataFrame:
+    """variety and first_ord: what stands before the first dot of the gene ids, in the order of their first rows; ids that begin with one
+    of ``without`` are left out."""
+    if without:
+        rows = rows.filter(~F.exists(F.array(*map(F.lit, without)), lambda p: F.startswith("gene_id", p)))
+    return rows.groupBy(F.substring_index("gene_id", ".", 1).alias("variety")).agg(F.min("bed_ord").alias("first_ord"))

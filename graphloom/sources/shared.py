@@ -8,14 +8,17 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_local: dict[str, str] = {}  # of each local application without the setting
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``; a temporary one only where that is unset and Spark is local."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        at = "file://" + tempfile.mkdtemp(prefix="graphloom-")
-        spark.conf.set("spark.checkpoint.dir", at)
+        at = _local.setdefault(spark.sparkContext.applicationId, "") or "file://" + tempfile.mkdtemp(prefix="graphloom-")
+        _local[spark.sparkContext.applicationId] = at
     return at.rstrip("/")
 
 
