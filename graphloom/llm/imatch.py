@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.llm.common import PUNCTUATION, SLICE_BYTES, Words, mix, text_slices
+from graphloom.llm.common import PUNCTUATION, SLICE_BYTES, Words, mix, releasing, text_slices
 
 
 @dataclass(frozen=True)
@@ -64,14 +64,14 @@ def _term_counts(share: float, chunk_docs: int, wanted=None):
                     h = h[keep[np.minimum(np.searchsorted(keep, h), len(keep) - 1)] == h] if len(keep) else h[:0]
                 hashes.append(h)
                 docs += rows.num_rows
-                if docs >= chunk_docs or sum(map(len, hashes)) > 20_000_000:
+                if docs >= chunk_docs or sum(map(len, hashes)) > 8_000_000:
                     t, n = _counted(hashes)
                     yield _batch(t, n) if keep is not None else _batch(t[n >= share * docs], n[n >= share * docs])
                     hashes, docs = [], 0
         t, n = _counted(hashes)
         yield _batch(t, n) if keep is not None else _batch(t[n >= share * docs], n[n >= share * docs])
 
-    return run
+    return releasing(run)
 
 
 def lexicon(documents: DataFrame, p: IMatch) -> np.ndarray:
@@ -250,4 +250,4 @@ def edited_fingerprints(documents: DataFrame, p: IMatch = IMatch()) -> DataFrame
         if (out := judged()) is not None:
             yield out
 
-    return with_next(documents).drop("tie").mapInArrow(run, EDIT_SCHEMA)
+    return with_next(documents).drop("tie").mapInArrow(releasing(run), EDIT_SCHEMA)
