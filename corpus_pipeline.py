@@ -21,11 +21,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group whose sets of five-word shingles are alike to 0.8: the one with the least doc_id.
 
-    Of rows that repeat a doc_id and text one stays; rows with a null doc_id are judged among themselves and with the rest.
+    Rows with one doc_id and different texts are judged apart; of rows alike in both one stays.
     """
-    kept = minhash_forest.near_duplicates(docs.select("doc_id", "text"), k=5, percent=80).filter("kept").select(F.col("doc_id").alias("__id")).distinct()
-    own = docs.join(written(kept, "kept-ids"), F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-    return own.dropDuplicates(["doc_id", "text"])
+    found = minhash_forest.near_duplicates(docs.select("doc_id", "text"), k=5, percent=80, with_tie=True)
+    kept = written(found.filter("kept").select(F.col("doc_id").alias("__id"), F.col("tie").alias("__tie")).distinct(), "kept-ids")
+    tie = F.xxhash64(F.coalesce("text", F.lit("")))
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")) & (tie == F.col("__tie")), "left_semi").dropDuplicates(["doc_id", "text"])
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

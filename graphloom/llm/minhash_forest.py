@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.llm.common import Words, fold, mix, text_slices, written
+from graphloom.llm.common import Words, fold, mix, release, releasing, text_slices, written
 from graphloom.llm.components import connected_components
 
 NULL_ID = 2**63 - 1
@@ -72,9 +72,9 @@ def _signed(k: int, trees: int, depth: int):
                             signature[:, j] = (np.minimum.reduceat(x * np.uint64(0x9E3779B97F4A7C15), first) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(48)
                 held = np.full(rows.num_rows, None, object)
                 held[full] = [r.tobytes() for r in signature]
-                yield pa.RecordBatch.from_arrays([rows.column("id"), rows.column("null_id"), pa.array(node), pa.array(size.astype(np.int64)), pa.array(held.tolist(), pa.binary())], ["id", "null_id", "node", "n", "signature"])
+                yield pa.RecordBatch.from_arrays([rows.column("id"), rows.column("null_id"), rows.column("tie"), pa.array(node), pa.array(size.astype(np.int64)), pa.array(held.tolist(), pa.binary())], ["id", "null_id", "tie", "node", "n", "signature"])
 
-    return run
+    return releasing(run)
 
 
 def _trees(trees: int, depth: int):
@@ -88,7 +88,7 @@ def _trees(trees: int, depth: int):
                 tree = np.tile(np.arange(trees, dtype=np.int32), len(own))
                 yield pa.RecordBatch.from_arrays([pa.array(tree), pa.array(paths, pa.binary()), pa.array(np.repeat(own.to_numpy(), trees))], ["tree", "path", "node"])
 
-    return run
+    return releasing(run)
 
 
 def _neighbours(shallow: int, crowd: int):
@@ -128,7 +128,7 @@ def _neighbours(shallow: int, crowd: int):
             out += [(1, part, first[2], first[2], first[0], first[1]), (2, part, last[2], last[2], last[0], last[1])]
             yield emit()
 
-    return run
+    return releasing(run)
 
 
 class _Sets:
@@ -185,6 +185,9 @@ def _inside(percent: int, hubs: int):
         best = np.argsort(np.where(roots == largest, -degree, 1), kind="stable")[:hubs]
         is_hub = np.zeros(len(nodes), bool)
         is_hub[best] = True
+        if len(index.owner) > 200_000:
+            del index, sets
+            release()
         return pd.DataFrame({"family": g["family"].to_numpy(), "node": nodes, "root": nodes[roots], "links": degree, "hub": is_hub})
 
     return run
@@ -211,8 +214,8 @@ def _across(percent: int):
     return run
 
 
-def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, trees: int = 28, depth: int = 6, shallow: int = 4, crowd: int = 64, block_shingles: int = 1_500_000, block_nodes: int = 2_000, hubs: int = 4) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for each row of ``documents``.
+def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, trees: int = 28, depth: int = 6, shallow: int = 4, crowd: int = 64, block_shingles: int = 1_500_000, block_nodes: int = 2_000, hubs: int = 4, with_tie: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept for each row of ``documents``; ``with_tie`` adds tie, xxhash64 of the text.
 
     Shingles are ``k`` words, A-Z lower-cased; links need ``percent`` per cent of two sets' union in common. component_id is the least
     doc_id that links lead to, kept tells whether it is the row's own. Null and empty texts and texts without words have no shingle, no link
@@ -222,8 +225,8 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, trees:
     Two sets that share ``percent`` of 80 are neighbours in some order with probability 1 - (1 - 0.8^4)^28, and in a crowd still with
     1 - (1 - 0.8^6)^28, 0.9998; families made by other members add to that.
     """
-    docs = documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"), F.col("doc_id").isNull().alias("null_id"), F.coalesce("text", F.lit("")).alias("text"))
-    signed = written(docs.mapInArrow(_signed(k, trees, depth), "id long, null_id boolean, node long, n long, signature binary"), "signatures")
+    docs = documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"), F.col("doc_id").isNull().alias("null_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
+    signed = written(docs.mapInArrow(_signed(k, trees, depth), "id long, null_id boolean, tie long, node long, n long, signature binary"), "signatures")
     nodes = written(signed.filter("n > 0").groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("signature").alias("signature")), "nodes")
     orders = nodes.select("node", "signature").mapInArrow(_trees(trees, depth), "tree int, path binary, node long")
     orders = orders.repartitionByRange("tree", "path", "node").sortWithinPartitions("tree", "path", "node")
@@ -265,13 +268,14 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, trees:
     labelled = written(nodes.select("node", "id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "labelled")
     least = labelled.groupBy("root").agg(F.min("id").alias("component_id"))
     components = written(labelled.join(least, "root").select(F.col("node").alias("__node"), "component_id"), "component-ids")
-    out = signed.select("id", "null_id", "node", "n").join(components, (F.col("n") > 0) & (F.col("node") == F.col("__node")), "left")
+    out = signed.select("id", "null_id", "tie", "node", "n").join(components, (F.col("n") > 0) & (F.col("node") == F.col("__node")), "left")
     component = F.coalesce("component_id", "id")
     return out.select(
         F.when(~F.col("null_id"), F.col("id")).alias("doc_id"),
         F.col("n").alias("n_shingles"),
         F.when((component != NULL_ID) | ~F.col("null_id"), component).alias("component_id"),
         (component == F.col("id")).alias("kept"),
+        *(["tie"] if with_tie else []),
     )
 
 
@@ -292,4 +296,4 @@ def _member_sets(k: int):
                     lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size[own])]), pa.int32()), pa.array(h[np.isin(doc, own)].view(np.int64)))
                     yield pa.RecordBatch.from_arrays([*(rows.column(c).take(pa.array(own)) for c in ("family", "block", "blocks", "node")), lists], ["family", "block", "blocks", "node", "shingles"])
 
-    return run
+    return releasing(run)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.llm.common import written
+from graphloom.llm.common import release, releasing, written
 
 #: Words of the closed classes, in English, German, French and Spanish.
 TARGET = frozenset("you your yours u du dich dir dein deine ihr euch tu toi te ton ta vous votre tú te tus vosotros usted ustedes he she they them him her".split())
@@ -69,7 +69,7 @@ class ToxicityModel:
         """The word transducer's output: the greatest weight of the stems that the word begins with; 0 if none is in the lexicon."""
         w = self._seen.get(word)
         if w is None:
-            if len(self._seen) > 500_000:
+            if len(self._seen) > 100_000:
                 self._seen.clear()
             w = self._seen[word] = max((self.lexicon.get(s, 0.0) for s in stems(word)), default=0.0)
         return w
@@ -143,10 +143,16 @@ def _stem_counts(wanted: frozenset[str] | None):
             for text in batch.column("text").to_pylist():
                 own = {s for w in set(tokens((text or "").lower())) if w for s in stems(w)}
                 seen.update(own if wanted is None else own & wanted)
+                if len(seen) > 200_000:
+                    yield batch_of(seen)
+                    seen = Counter()
         if seen:
-            yield pa.RecordBatch.from_arrays([pa.array(list(seen)), pa.array(list(seen.values()), pa.int64())], ["stem", "n"])
+            yield batch_of(seen)
 
-    return count
+    def batch_of(seen: Counter[str]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(seen)), pa.array(list(seen.values()), pa.int64())], ["stem", "n"])
+
+    return releasing(count)
 
 
 def train(documents: DataFrame, labels: DataFrame, max_rows: int = 30_000, max_chars: int = 200_000_000, alpha: float = 0.05, purity: float = 0.5) -> ToxicityModel:
@@ -212,6 +218,8 @@ def score(documents: DataFrame, model: ToxicityModel, threshold: float = 0.3) ->
         for t in texts:
             x = np.array([own.features(v) for v in t.tolist()]).reshape(-1, len(FEATURES))
             yield pd.Series(own.scores(x))
+        del own
+        release()
 
     out = documents.drop("score", "predicted").withColumn("score", scored(F.col("text")))
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
