@@ -12,7 +12,7 @@ Shard, block number and first and last doc_id are columns beside it, so that a r
 
 from __future__ import annotations
 
-import re
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -23,87 +23,127 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from graphloom.llm.common import releasing
+
 MAGIC = b"RPB1"
-_ODD = re.compile(r"\s\s|[^\S \n]")
-_SEAM = re.compile(r"(?<=\S)(?= \S)")
+
+
+class _Numbers(dict):
+    """Numbers words in the order in which they are first asked for; ``new`` has those that were not known."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        n = self[word] = len(self)
+        self.new.append(word)
+        return n
+
+
+class _Units:
+    """Ids of units that are one separator and a word, or a word alone (separator "")."""
+
+    def __init__(self, tokenizer, separator: str, opens: np.ndarray | None):
+        self.tokenizer, self.separator, self.opens = tokenizer, separator, opens
+        self.numbers = _Numbers()
+        self.flat, self.begin = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def learn(self) -> None:
+        """Encodes the new words: many in one text, which falls apart again where a token opens with the separator."""
+        new, self.numbers.new = self.numbers.new, []
+        if not new:
+            return
+        parts, sizes = [], []
+        runs = [new[k : k + 1000] for k in range(0, len(new), 1000)] if self.separator else [[w] for w in new]
+        joined = self.tokenizer.encode_batch_fast([self.separator + self.separator.join(r) for r in runs], add_special_tokens=False)
+        for run, e in zip(runs, joined, strict=True):
+            ids = np.array(e.ids, np.uint32)
+            at = np.flatnonzero(self.opens[ids]) if self.separator else np.zeros(1, np.int64)
+            if len(at) != len(run) or (len(ids) and at[0] != 0):  # never seen; one by one it is right in any case
+                own = [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast([self.separator + w for w in run], add_special_tokens=False)]
+                ids, lengths = np.concatenate(own), np.array([len(x) for x in own])
+            else:
+                lengths = np.diff(np.append(at, len(ids)))
+            parts.append(ids)
+            sizes.append(lengths)
+        self.flat = np.concatenate([self.flat, *parts])
+        self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(np.concatenate(sizes))])
 
 
 class UnitEncoder:
-    """Encodes texts through a tokenizer, unit by unit: a word with the space before it, or a line end.
+    """Encodes texts through a tokenizer, unit by unit: a word with the single blank or line end before it.
 
-    A byte-level tokenizer cuts a text into pieces before it merges; a single space between two other characters always begins a
-    piece, and so does a single line end. So ids of a text are the ids of its units, and each distinct unit is encoded once.
+    A byte-level tokenizer cuts a text into pieces before it merges. A single space between two other characters always begins a piece,
+    and a single line end is one, so the ids of a text are those of its units, and each distinct unit is encoded once. Texts with
+    other blanks or several in a row are encoded whole.
     """
 
-    def __init__(self, path: str, max_units: int = 400_000):
+    def __init__(self, path: str, max_units: int = 300_000):
+        # a task has one core; threads of the library's own would each keep memory and spin
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.max_units = max_units
+        vocabulary = self.tokenizer.get_vocab()
+        space, line = (self.tokenizer.id_to_token(self.tokenizer.encode(c, add_special_tokens=False).ids[0]) for c in " \n")
+        self.opens = {c: np.zeros(max(vocabulary.values()) + 1, bool) for c in " \n"}
+        for token, k in vocabulary.items():
+            for c, sign in ((" ", space), ("\n", line)):
+                self.opens[c][k] = token.startswith(sign)
         self._reset()
 
     def _reset(self) -> None:
-        self.spaced: dict[str, int] = {}  # the unit is a space and the key
-        self.plain: dict[str, int] = {}
-        self.flat, self.begin, self.n = np.zeros(1 << 16, np.uint32), np.zeros(1 << 14, np.int64), 0
-
-    def _learn(self, units: dict[str, int], new: list[str], prefix: str) -> None:
-        for i in range(0, len(new), 2000):
-            part = new[i : i + 2000]
-            for key, e in zip(part, self.tokenizer.encode_batch_fast([prefix + k for k in part], add_special_tokens=False), strict=True):
-                ids, at = e.ids, int(self.begin[self.n])
-                while at + len(ids) > len(self.flat):
-                    self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-                if self.n + 2 > len(self.begin):
-                    self.begin = np.concatenate([self.begin, np.zeros_like(self.begin)])
-                self.flat[at : at + len(ids)] = ids
-                units[key] = self.n
-                self.n += 1
-                self.begin[self.n] = at + len(ids)
+        self.spaced, self.lined, self.plain = (_Units(self.tokenizer, c, self.opens.get(c)) for c in (" ", "\n", ""))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in one array, and the number of each text's."""
-        if self.n > self.max_units or self.begin[self.n] > 20 * self.max_units:
+        if sum(len(u.numbers) for u in (self.spaced, self.lined, self.plain)) > self.max_units:
             self._reset()
-        keys: list[tuple[list[str], list[str]]] = []
-        spaced: set[str] = set()
-        plain: set[str] = {"\n"}
-        for t in texts:
-            if _ODD.search(t):
-                lines = [_SEAM.split(t)]
-                plain.update(lines[0])
-                keys.append((lines, None))
-            else:
-                lines = [line.split(" ") for line in t.split("\n")]
-                for line in lines:
-                    plain.add(line[0])
-                    spaced.update(line[1:])
-                keys.append((lines, True))
-        self._learn(self.plain, list(plain - self.plain.keys()), "")
-        self._learn(self.spaced, list(spaced - self.spaced.keys()), " ")
-        order: list[int] = []
-        counts = []
-        to_plain, to_spaced, end = self.plain.__getitem__, self.spaced.__getitem__, self.plain["\n"]
-        for lines, cut in keys:
-            before = len(order)
-            for k, line in enumerate(lines):
-                if k:
-                    order.append(end)
-                if cut:
-                    order.append(to_plain(line[0]))
-                    order.extend(map(to_spaced, line[1:]))
-                else:
-                    order.extend(map(to_plain, line))
-            counts.append(len(order) - before)
-        at = np.array(order, np.int64)
-        sizes = self.begin[at + 1] - self.begin[at]
-        ends = np.cumsum(sizes)
-        ids = self.flat[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(self.begin[at] - (ends - sizes), sizes)]
-        text_of = np.concatenate([[0], ends])[np.cumsum([0, *counts])]
-        return ids, np.diff(text_of)
-
-
-def re_pair(ids: np.ndarray, counts: np.ndarray, first: int, least: int = 6, rounds: int = 8, top: int = 2000) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        kinds, numbers, counts, whole = [], [], [], []
+        spaced, lined, plain = (u.numbers.__getitem__ for u in (self.spaced, self.lined, self.plain))
+        for k, text in enumerate(texts):
+            words = text.split()
+            lines = text.split("\n")
+            spaces = [x.count(" ") for x in lines]
+            single = len(lines) - 1 + sum(spaces)
+            if not words or len(words) - 1 != single or len(text) - len("".join(words)) != single:
+                counts.append(0)
+                whole.append(k)
+                continue
+            own = np.zeros(len(words), np.int8)
+            first = np.cumsum([0, *(n + 1 for n in spaces[:-1])])
+            own[first], own[0] = 1, 2
+            at = 0
+            for n in spaces:  # the first word of a line is another unit than the rest
+                numbers.append((lined if at else plain)(words[at]))
+                numbers.extend(map(spaced, words[at + 1 : at + n + 1]))
+                at += n + 1
+            kinds.append(own)
+            counts.append(len(words))
+        ids, sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        if kinds:
+            kind, number = np.concatenate(kinds), np.array(numbers, np.int64)
+            flat, begin, sizes, base = [], np.zeros(len(kind), np.int64), np.zeros(len(kind), np.int64), 0
+            for c, units in enumerate((self.spaced, self.lined, self.plain)):
+                units.learn()
+                own = np.flatnonzero(kind == c)
+                begin[own] = base + units.begin[number[own]]
+                sizes[own] = units.begin[number[own] + 1] - units.begin[number[own]]
+                flat.append(units.flat)
+                base += len(units.flat)
+            ends = np.cumsum(sizes)
+            ids = np.concatenate(flat)[np.arange(int(ends[-1])) + np.repeat(begin - (ends - sizes), sizes)]
+        total = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum([0, *counts])]
+        n = np.diff(total)
+        if whole:
+            own = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast([texts[k] for k in whole], add_special_tokens=False)]
+            ids = np.insert(ids, np.repeat(total[whole], [len(x) for x in own]), np.concatenate(own))
+            n[whole] = [len(x) for x in own]
+        return ids, n
+
+
+def re_pair(ids: np.ndarray, counts: np.ndarray, first: int, least: int = 8, rounds: int = 6, top: int = 3000) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rules (pairs, the k-th makes symbol ``first + k``), symbols and symbols per document.
 
     Each round replaces the most frequent pairs, up to ``top``, that do not compete for a symbol's place: none begins with a symbol
@@ -225,7 +265,7 @@ class Block:
 BLOCK_SCHEMA = "shard int, block int, first_doc long, last_doc long, n_docs long, n_tokens long, doc_ids array<long>, payload binary"
 
 
-def write_tokens(documents: DataFrame, path: str, tokenizer: str, end_id: int = 2, shard_mb: int = 24, block_tokens: int = 2_000_000, first: int = 50_257, **parameters) -> None:
+def write_tokens(documents: DataFrame, path: str, tokenizer: str, end_id: int = 2, shard_mb: int = 24, block_tokens: int = 1_000_000, first: int = 50_257, **parameters) -> None:
     """Writes the ids of ``documents`` (doc_id, text; other columns are left out) in ascending doc_id order into folder ``path``.
 
     A null text is empty; each document ends with ``end_id``. Null ids come first; rows of one id follow each other in the order of a
@@ -276,7 +316,7 @@ def _packer(tokenizer: str, end_id: int, block_tokens: int, first: int, paramete
         if names:
             yield flush()
 
-    return run
+    return releasing(run)
 
 
 def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
@@ -314,4 +354,4 @@ def _reader(with_ids: bool):
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    return run
+    return releasing(run)
