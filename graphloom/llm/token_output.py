@@ -1,12 +1,13 @@
-"""Token ids as Re-Pair grammars: shards of blocks that hold rules, expansion lengths and short symbol sequences.
+"""Token ids as Re-Pair grammars: shards that hold rules, expansion lengths and short symbol sequences.
 
-Documents are dealt into shards by ascending doc_id. A shard is a run of blocks; a block's ids are compressed by its own grammar:
-the most frequent pairs of neighbouring symbols become nonterminals, again and again, within documents only. A document can be
+Documents are dealt into shards by ascending doc_id. A shard is one block with one grammar, or several where its tokens outgrow a
+block: the most frequent pairs of neighbouring symbols become nonterminals, until none is frequent, within documents only. A document can be
 decoded alone: its symbols are a slice of the block's sequence, and stored expansion lengths place any token of it without
 expanding what stands before.
 
-Block layout (little-endian): magic ``RPB1``; six uint32: first nonterminal, rules, documents, symbols, bytes per symbol, 0; then
-rules (two uint32 each), expansion lengths (uint32 per rule), symbols per document (uint32), tokens per document (uint32), symbols.
+Block layout (little-endian): magic ``RPB2``; six uint32: first nonterminal, rules, documents, symbols, bits per symbol, 0; then
+rules (two uint32 each), expansion lengths (uint32 per rule), symbols per document (uint32), tokens per document (uint32), the lower 16
+bits of the symbols (uint16), and a bit plane for each higher bit of them, the lowest plane first, each filled up to whole bytes.
 Shard, block number and first and last doc_id are columns beside it, so that a reader skips blocks by the files' statistics.
 """
 
@@ -25,7 +26,7 @@ from pyspark.sql.window import Window
 
 from graphloom.llm.common import releasing
 
-MAGIC = b"RPB1"
+MAGIC = b"RPB2"
 
 
 class _Numbers(dict):
@@ -143,66 +144,77 @@ class UnitEncoder:
         return ids, n
 
 
-def re_pair(ids: np.ndarray, counts: np.ndarray, first: int, least: int = 8, rounds: int = 6, top: int = 3000) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def re_pair(ids: np.ndarray, counts: np.ndarray, first: int, least: int = 6) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rules (pairs, the k-th makes symbol ``first + k``), symbols and symbols per document.
 
-    Each round replaces the most frequent pairs, up to ``top``, that do not compete for a symbol's place: none begins with a symbol
-    that another ends with. Pairs found fewer than ``least`` times stay. Symbols stay below 65,536 while ``first`` does.
+    Each round replaces the most frequent pairs, down to 1/64 of the first one's count, that do not compete for a symbol's place: none
+    begins with a symbol that another ends with. Rounds end when no pair inside a document is found ``least`` times any more.
     """
-    seq = ids.astype(np.uint32)
-    doc = np.repeat(np.arange(len(counts)), counts)
+    n, counts = len(ids), np.asarray(counts, np.int64)
+    seq = np.append(ids, 0).astype(np.uint32)  # place n stands beyond every document
+    end, full = np.cumsum(counts), counts > 0
+    after, before = np.arange(1, n + 2, dtype=np.int32), np.arange(-1, n, dtype=np.int32)
+    after[end[full] - 1] = before[(end - counts)[full]] = after[n] = n
+    live = after < n  # places whose pair may be frequent; a pair once rare stays so, as new pairs have new symbols
+    gone = np.zeros(n, bool)
     rules: list[np.ndarray] = []
     n_rules = 0
-    room = max(0, 65_536 - first)
-    for _ in range(rounds):
-        if len(seq) < 2 or n_rules >= room:
+    while len(at := np.flatnonzero(live).astype(np.int32)):
+        bits = min(22, len(at).bit_length())
+        code = seq[at].astype(np.uint64) << np.uint64(32) | seq[after[at]]
+        bucket = (code * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits)).astype(np.int32)
+        often = (np.bincount(bucket, minlength=1 << bits) >= least)[bucket]
+        del bucket
+        live[at[~often]] = False
+        at, code = at[often], code[often]
+        code.sort()
+        edge = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else np.zeros(0, np.int64)
+        found = np.diff(np.append(edge, len(code)))
+        best = np.flatnonzero(found >= max(least, int(found.max(initial=0)) // 64))
+        if not len(best):
             break
-        code = seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:]
-        inside = doc[:-1] == doc[1:]
-        ranked = np.sort(code[inside])
-        edge = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]])) if len(ranked) else np.zeros(0, np.int64)
-        n = np.diff(np.append(edge, len(ranked)))
-        often = np.flatnonzero(n >= least)
-        if not len(often):
-            break
-        best = often[np.argsort(-n[often], kind="stable")[: 2 * top]]
+        best = best[np.argsort(-found[best], kind="stable")]
         lefts, rights, chosen = set(), set(), []
-        for c in ranked[edge[best]].tolist():
+        for c in code[edge[best]].tolist():
             a, b = c >> 32, c & 0xFFFFFFFF
             if a not in rights and b not in lefts and (a != b or a not in lefts and b not in rights):
                 lefts.add(a)
                 rights.add(b)
                 chosen.append(c)
-                if len(chosen) >= min(top, room - n_rules):
-                    break
+        del code, edge, found
         table = np.sort(np.array(chosen, np.uint64))
-        starts = np.zeros(max(first + room, int(seq.max()) + 1), bool)
+        starts = np.zeros(first + n_rules + 1, bool)
         starts[(table >> np.uint64(32)).astype(np.int64)] = True
-        maybe = np.flatnonzero(starts[seq[:-1]] & inside)
-        at = np.minimum(np.searchsorted(table, code[maybe]), len(table) - 1)
-        hit = table[at] == code[maybe]
-        where, which = maybe[hit], at[hit]
-        same = np.flatnonzero(np.diff(where) == 1) + 1  # runs of one symbol: every other place counts
-        if len(same):
-            run = np.arange(len(where)) - np.maximum.accumulate(np.where(np.concatenate([[True], np.diff(where) != 1]), np.arange(len(where)), 0))
+        where = at[starts[seq[at]]]
+        own = seq[where].astype(np.uint64) << np.uint64(32) | seq[after[where]]
+        which = np.minimum(np.searchsorted(table, own), len(table) - 1)
+        hit = table[which] == own
+        where, which = where[hit], which[hit]
+        follows = np.concatenate([[False], after[where[:-1]] == where[1:]])  # runs of one symbol: every other place counts
+        if follows.any():
+            run = np.arange(len(where)) - np.maximum.accumulate(np.where(follows, 0, np.arange(len(where))))
             where, which = where[run % 2 == 0], which[run % 2 == 0]
+        right = after[where]
         seq[where] = (first + n_rules + which).astype(np.uint32)
-        keep = np.ones(len(seq), bool)
-        keep[where + 1] = False
-        seq, doc = seq[keep], doc[keep]
+        gone[right], live[right] = True, False
+        after[where] = after[right]
+        before[after[where]] = where
+        live[where] = live[before[where]] = True
+        live[where[after[where] == n]] = live[n] = False
         rules.append(table)
         n_rules += len(table)
     all_ = np.concatenate(rules) if rules else np.zeros(0, np.uint64)
-    return np.column_stack([all_ >> np.uint64(32), all_ & np.uint64(0xFFFFFFFF)]).astype(np.uint32), seq, np.bincount(doc, minlength=len(counts))
+    lost = np.cumsum(np.append(0, gone), dtype=np.int64)[np.append(0, end)]
+    return np.column_stack([all_ >> np.uint64(32), all_ & np.uint64(0xFFFFFFFF)]).astype(np.uint32), seq[:n][~gone], counts - np.diff(lost)
 
 
 def expansion_lengths(rules: np.ndarray, first: int) -> np.ndarray:
     out = np.ones(first + len(rules), np.uint32)
+    needs = rules.max(axis=1, initial=0)
     i = 0
     while i < len(rules):  # rules only use symbols of earlier rounds; a round ends where one of its own would be used
-        j = i + 1
-        while j < len(rules) and rules[j].max() < first + i:
-            j += 1
+        own = needs[i:] >= first + i
+        j = i + int(own.argmax()) if own.any() else len(rules)
         out[first + i : first + j] = out[rules[i:j, 0]] + out[rules[i:j, 1]]
         i = j
     return out
@@ -212,9 +224,10 @@ def pack(ids: np.ndarray, counts: np.ndarray, first: int, **parameters) -> bytes
     """One block of whole documents. ``first``: the first nonterminal, above every id."""
     first = max(first, int(ids.max(initial=0)) + 1)
     rules, seq, symbols = re_pair(ids, counts, first, **parameters)
-    wide = 2 if first + len(rules) <= 65_536 else 4
-    head = np.array([first, len(rules), len(counts), len(seq), wide, 0], "<u4")
-    parts = [head, rules.astype("<u4"), expansion_lengths(rules, first)[first:].astype("<u4"), symbols.astype("<u4"), counts.astype("<u4"), seq.astype("<u2" if wide == 2 else "<u4")]
+    bits = max(16, (first + len(rules) - 1).bit_length())
+    head = np.array([first, len(rules), len(counts), len(seq), bits, 0], "<u4")
+    parts = [head, rules.astype("<u4"), expansion_lengths(rules, first)[first:].astype("<u4"), symbols.astype("<u4"), counts.astype("<u4"), (seq & np.uint32(0xFFFF)).astype("<u2")]
+    parts += [np.packbits((seq >> np.uint32(k) & np.uint32(1)).astype(bool)) for k in range(16, bits)]
     return MAGIC + b"".join(p.tobytes() for p in parts)
 
 
@@ -224,7 +237,7 @@ class Block:
     def __init__(self, data: bytes):
         if data[:4] != MAGIC:
             raise ValueError("not a block of token ids")
-        self.first, n_rules, n_docs, n_symbols, wide, _ = np.frombuffer(data, "<u4", 6, 4).tolist()
+        self.first, n_rules, n_docs, n_symbols, bits, _ = np.frombuffer(data, "<u4", 6, 4).tolist()
         at = 28
         take = lambda n, kind: (np.frombuffer(data, kind, n, at), at + n * np.dtype(kind).itemsize)
         rules, at = take(2 * n_rules, "<u4")
@@ -232,23 +245,26 @@ class Block:
         lengths, at = take(n_rules, "<u4")
         self.symbols, at = take(n_docs, "<u4")
         self.tokens, at = take(n_docs, "<u4")
-        self.seq, at = take(n_symbols, "<u2" if wide == 2 else "<u4")
+        low, at = take(n_symbols, "<u2")
+        self.seq = low.astype(np.uint32)
+        for k in range(16, bits):
+            plane, at = take(-(-n_symbols // 8), "u1")
+            self.seq |= np.unpackbits(plane, count=n_symbols).astype(np.uint32) << np.uint32(k)
         self.lengths = np.concatenate([np.ones(self.first, np.uint32), lengths])
         self.bounds = np.concatenate([[0], np.cumsum(self.symbols, dtype=np.int64)])
 
     def expand(self, seq: np.ndarray) -> np.ndarray:
-        """All nonterminals of one depth at once, until none is left."""
-        seq = seq.astype(np.int64)
-        while len(rule := np.flatnonzero(seq >= self.first)):
-            pairs = self.rules[seq[rule] - self.first]
-            wide = np.ones(len(seq), np.int64)
-            wide[rule] = 2
-            begin = np.cumsum(wide) - wide
-            out = np.empty(int(wide.sum()), np.int64)
-            out[begin] = seq
-            out[begin[rule]], out[begin[rule] + 1] = pairs[:, 0], pairs[:, 1]
-            seq = out
-        return seq.astype(np.uint32)
+        """All nonterminals of one depth at once, until none is left; lengths tell where the halves of each go."""
+        size = self.lengths[seq].astype(np.int64)
+        out = np.empty(int(size.sum()), np.uint32)
+        at = np.cumsum(size) - size
+        while len(seq):
+            rule = seq >= self.first
+            out[at[~rule]] = seq[~rule]
+            at, pairs = at[rule], self.rules[seq[rule] - np.uint32(self.first)]
+            at = np.concatenate([at, at + self.lengths[pairs[:, 0]]])
+            seq = pairs.T.ravel()
+        return out
 
     def document(self, k: int) -> np.ndarray:
         return self.expand(self.seq[self.bounds[k] : self.bounds[k + 1]])
@@ -265,12 +281,13 @@ class Block:
 BLOCK_SCHEMA = "shard int, block int, first_doc long, last_doc long, n_docs long, n_tokens long, doc_ids array<long>, payload binary"
 
 
-def write_tokens(documents: DataFrame, path: str, tokenizer: str, end_id: int = 2, shard_mb: int = 24, block_tokens: int = 1_000_000, first: int = 50_257, **parameters) -> None:
+def write_tokens(documents: DataFrame, path: str, tokenizer: str, end_id: int = 2, shard_mb: int = 24, block_tokens: int = 16_000_000, first: int = 50_257, **parameters) -> None:
     """Writes the ids of ``documents`` (doc_id, text; other columns are left out) in ascending doc_id order into folder ``path``.
 
     A null text is empty; each document ends with ``end_id``. Null ids come first; rows of one id follow each other in the order of a
     hash of their texts, then of the texts. Rows are dealt by ranges of id and hash, so one repeated id does not fill one task. A
-    shard takes about ``shard_mb`` of text, a block ``block_tokens`` tokens or one longer document.
+    shard takes about ``shard_mb`` of text and has one grammar; where rows alike in id and hash make it longer than ``block_tokens``
+    tokens, each run of so many, or one longer document, is a block with its own.
     """
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("__tie", F.xxhash64("text"))
     total = docs.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0)).alias("b")).first()["b"]
@@ -296,6 +313,7 @@ def _packer(tokenizer: str, end_id: int, block_tokens: int, first: int, paramete
 
         def flush() -> pa.RecordBatch:
             n, flat = np.concatenate(counts), np.concatenate(ids)
+            ids.clear()
             known = [x for x in names if x is not None]
             row = [[shard], [block], [known[0] if known else None], [known[-1] if known else None], [len(n)], [len(flat)], [names], [pack(flat, n, first, **parameters)]]
             kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
@@ -340,18 +358,23 @@ def _reader(with_ids: bool):
         for batch in batches:
             for row in range(batch.num_rows):
                 block = Block(batch.column("payload")[row].as_py())
-                flat = block.expand(block.seq)
                 ends = np.cumsum(block.tokens, dtype=np.int64)
-                begin = ends - block.tokens
-                raw = flat.astype("<u4").tobytes()
-                crc = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(begin.tolist(), ends.tolist(), strict=True)]
-                n = len(crc)
-                columns = [pa.array([batch.column(c)[row].as_py()] * n, pa.int32()) for c in ("shard", "block")]
-                columns += [batch.column("doc_ids")[row].values, pa.array(begin), pa.array(block.tokens.astype(np.int64)), pa.array(crc, pa.int64())]
-                names = ["shard", "block", "doc_id", "inside", "n_tokens", "ids_crc32"]
-                if with_ids:
-                    columns.append(pa.array([flat[a:b].astype(np.int64) for a, b in zip(begin.tolist(), ends.tolist(), strict=True)], pa.list_(pa.int64())))
-                    names.append("ids")
-                yield pa.RecordBatch.from_arrays(columns, names)
+                i = 0
+                while i < len(ends):  # whole documents of a million tokens together
+                    begin = ends[i:] - block.tokens[i:]
+                    j = max(i + 1, int(np.searchsorted(ends, begin[0] + 1_000_000, side="right")))
+                    begin, tokens = begin[: j - i], block.tokens[i:j].astype(np.int64)
+                    flat = block.expand(block.seq[block.bounds[i] : block.bounds[j]])
+                    places = list(zip((begin - begin[0]).tolist(), (begin - begin[0] + tokens).tolist(), strict=True))
+                    raw = flat.astype("<u4").tobytes()
+                    crc = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in places]
+                    columns = [pa.array([batch.column(c)[row].as_py()] * len(crc), pa.int32()) for c in ("shard", "block")]
+                    columns += [batch.column("doc_ids")[row].values.slice(i, j - i), pa.array(begin), pa.array(tokens), pa.array(crc, pa.int64())]
+                    names = ["shard", "block", "doc_id", "inside", "n_tokens", "ids_crc32"]
+                    if with_ids:
+                        columns.append(pa.array([flat[a:b].astype(np.int64) for a, b in places], pa.list_(pa.int64())))
+                        names.append("ids")
+                    yield pa.RecordBatch.from_arrays(columns, names)
+                    i = j
 
     return releasing(run)

@@ -249,6 +249,33 @@ def test_blocks():
     assert len(block.rules) > 0 and (block.lengths[12:] >= 2).all()
 
 
+def test_blocks_leave_no_frequent_pair():
+    rng = np.random.default_rng(6)
+    copies = np.tile(rng.integers(0, 40_000, 5000), 8)  # an expansion of 5000 ids takes more than a few rounds
+    many = np.tile(rng.integers(0, 50_000, 50_000), 8)  # more rules than 16-bit symbols have room for
+    for ids, counts in ((copies, [5000] * 8), (many, [50] * 8000), (np.full(10_001, 3), [10_000, 1]), (rng.integers(0, 3, 5000), [5000])):
+        ids = ids.astype(np.uint32)
+        data = token_output.pack(ids, np.array(counts), 50_257)
+        block = token_output.Block(data)
+        assert (block.expand(block.seq) == ids).all() and block.symbols.sum() == len(block.seq)
+        doc = np.repeat(np.arange(len(counts)), block.symbols)
+        pairs = Counter((a, b) for a, b, x, y in zip(block.seq[:-1].tolist(), block.seq[1:].tolist(), doc[:-1], doc[1:], strict=True) if x == y)
+        assert max(pairs.values(), default=0) < 6
+    assert len(token_output.Block(token_output.pack(copies.astype(np.uint32), np.array([5000] * 8), 50_257)).seq) == 8
+
+
+def test_one_grammar_for_a_shard(spark):
+    public = pytest.importorskip("public_tokenizers")
+    at = new_path(spark, "tokens-shard")
+    rng = random.Random(11)
+    docs = spark.createDataFrame([(i, prose(600, rng)) for i in range(900)], "doc_id long, text string")
+    token_output.write_tokens(docs, at, public.path("byte_bpe_50k.json"))
+    blocks = spark.read.parquet(at).collect()
+    assert len(blocks) == 1 and blocks[0]["n_tokens"] > 1_000_000
+    got = token_output.read_tokens(spark, at).orderBy("start").collect()
+    assert [r["doc_id"] for r in got] == list(range(900)) and sum(r["n_tokens"] for r in got) == blocks[0]["n_tokens"]
+
+
 def test_toxicity(spark):
     rng = random.Random(8)
     rows, labels = [], []
