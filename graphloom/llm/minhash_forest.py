@@ -1,9 +1,8 @@
 """MinHash near-dedup over an LSH forest, with every link confirmed on full shingle sets.
 
 Documents with one shingle set are one node. Each tree of the forest is an order of the nodes by its own ``depth`` minhashes. In an
-order, neighbours whose longest common prefix is at least ``shallow`` values are candidates; where more than ``crowd`` nodes share
-such a prefix, the region is read ``depth`` values deep instead. Candidates that hang together are a family. Families, not pairs,
-are what moves: each node's set is sent once to its family, or to one of the family's blocks, and the pairs inside are compared there,
+order, neighbours whose longest common prefix is at least ``shallow`` values are candidates, however many share it: a crowded region
+is one family, not read deeper. Candidates that hang together are a family. Families, not pairs, are what moves: each node's set is sent once to its family, or to one of the family's blocks, and the pairs inside are compared there,
 all of them, through an index from shingle to nodes. Between the blocks of a large family hubs are compared first; then every node
 outside the family's largest component is compared with all nodes of all blocks. So no pair of one family stays unseen, no list of
 pairs is made, and a family of near copies moves in proportion to its size.
@@ -91,25 +90,16 @@ def _trees(trees: int, depth: int):
     return releasing(run)
 
 
-def _neighbours(shallow: int, crowd: int):
+def _neighbours(shallow: int):
     """Over one range of the sorted orders: neighbours with a long common prefix, as links to the first node of their run; and the
     range's first and last row, for the links across its ends."""
     short = 2 * shallow
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
-        region: list[tuple[int, bytes, int]] = []
-        first = last = None
+        first = last = head = None
         part = TaskContext.get().partitionId()
 
-        def close() -> None:
-            heads: dict[bytes, int] = {}
-            for _, path, node in region:  # the first key is the region's head where it is no crowd
-                head = heads.setdefault(path if len(region) > crowd else b"", node)
-                if head != node:
-                    out.append((0, part, head, node, None, None))
-            region.clear()
-
         def emit() -> pa.RecordBatch:
             kind, p, a, b, tree, path = zip(*out, strict=True)
             out.clear()
@@ -117,14 +107,14 @@ def _neighbours(shallow: int, crowd: int):
 
         for batch in batches:
             for row in zip(batch.column("tree").to_pylist(), batch.column("path").to_pylist(), batch.column("node").to_pylist(), strict=True):
-                if region and (region[-1][0] != row[0] or region[-1][1][:short] != row[1][:short]):
-                    close()
+                if head and head[0] == row[0] and head[1][:short] == row[1][:short]:
+                    out.append((0, part, head[2], row[2], None, None))
                     if len(out) > 50_000:
                         yield emit()
-                region.append(row)
+                else:
+                    head = row
                 first, last = first or row, row
         if first:
-            close()
             out += [(1, part, first[2], first[2], first[0], first[1]), (2, part, last[2], last[2], last[0], last[1])]
             yield emit()
 
@@ -214,7 +204,7 @@ def _across(percent: int):
     return run
 
 
-def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, trees: int = 28, depth: int = 6, shallow: int = 4, crowd: int = 64, block_shingles: int = 1_500_000, block_nodes: int = 2_000, hubs: int = 4, with_tie: bool = False) -> DataFrame:
+def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, trees: int = 28, depth: int = 6, shallow: int = 4, crowd: int | None = None, block_shingles: int = 1_500_000, block_nodes: int = 2_000, hubs: int = 4, with_tie: bool = False) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for each row of ``documents``; ``with_tie`` adds tie, xxhash64 of the text.
 
     Shingles are ``k`` words, A-Z lower-cased; links need ``percent`` per cent of two sets' union in common. component_id is the least
@@ -222,15 +212,15 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, trees:
     and themselves as component. Rows with one doc_id and different texts are documents of their own. A null doc_id counts as larger
     than all others and comes out as null. Sets are compared by 64-bit hashes of shingles.
 
-    Two sets that share ``percent`` of 80 are neighbours in some order with probability 1 - (1 - 0.8^4)^28, and in a crowd still with
-    1 - (1 - 0.8^6)^28, 0.9998; families made by other members add to that.
+    Two sets that share ``percent`` of 80 are neighbours in some order with probability 1 - (1 - 0.8^4)^28, whatever else the table holds;
+    families made by other members add to that. ``crowd`` once bounded the nodes of one prefix; it is taken and has no effect.
     """
     docs = documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"), F.col("doc_id").isNull().alias("null_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
     signed = written(docs.mapInArrow(_signed(k, trees, depth), "id long, null_id boolean, tie long, node long, n long, signature binary"), "signatures")
     nodes = written(signed.filter("n > 0").groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("signature").alias("signature")), "nodes")
     orders = nodes.select("node", "signature").mapInArrow(_trees(trees, depth), "tree int, path binary, node long")
     orders = orders.repartitionByRange("tree", "path", "node").sortWithinPartitions("tree", "path", "node")
-    found = written(orders.mapInArrow(_neighbours(shallow, crowd), "kind int, part int, a long, b long, tree int, path binary"), "neighbours")
+    found = written(orders.mapInArrow(_neighbours(shallow), "kind int, part int, a long, b long, tree int, path binary"), "neighbours")
     ends = sorted(((r["part"], r["kind"], r["tree"], bytes(r["path"]), r["a"]) for r in found.filter("kind > 0").collect()))  # two rows per partition
     over = [(x[4], y[4]) for x, y in zip(ends[1::2], ends[2::2], strict=False) if x[2] == y[2] and x[3][: 2 * shallow] == y[3][: 2 * shallow]]
     links = found.filter("kind = 0").select("a", "b")

@@ -128,6 +128,14 @@ def test_near_duplicates(documents, rows, limits):
     assert Counter(map(tuple, got)) == components(rows, 4)
 
 
+def test_crowds_link_by_the_short_prefix(spark):
+    """Nodes of one 4-value prefix and different longer paths are candidates in a crowd as well as elsewhere."""
+    paths = [b"12345678" + i.to_bytes(4, "big") for i in range(200)]
+    rows = spark.createDataFrame([(0, bytearray(p), i) for i, p in enumerate(paths)], "tree int, path binary, node long").coalesce(1)
+    found = rows.mapInArrow(minhash_forest._neighbours(4), "kind int, part int, a long, b long, tree int, path binary").filter("kind = 0").collect()
+    assert {(r["a"], r["b"]) for r in found} == {(0, i) for i in range(1, 200)}
+
+
 def test_near_duplicates_of_nothing(documents):
     assert minhash_forest.near_duplicates(documents.limit(0)).collect() == []
     assert minhash_forest.near_duplicates(documents.filter("text is null")).count() == 2
