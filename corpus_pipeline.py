@@ -19,12 +19,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group whose sets of five-word shingles are alike to 0.8: the one with the least doc_id.
+    """One document of each group whose sets of five-word shingles are alike to 0.8: the one with the least doc_id, then hash of the text.
 
-    Rows with one doc_id and different texts are judged apart; of rows alike in both one stays.
+    Rows with one doc_id and different texts are judged apart; of rows alike in both one stays. A null doc_id is the largest.
     """
     found = minhash_forest.near_duplicates(docs.select("doc_id", "text"), k=5, percent=80, with_tie=True)
-    kept = written(found.filter("kept").select(F.col("doc_id").alias("__id"), F.col("tie").alias("__tie")).distinct(), "kept-ids")
+    kept = written(found.filter("chosen").select(F.col("doc_id").alias("__id"), F.col("tie").alias("__tie")).distinct(), "kept-ids")
     tie = F.xxhash64(F.coalesce("text", F.lit("")))
     return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")) & (tie == F.col("__tie")), "left_semi").dropDuplicates(["doc_id", "text"])
 

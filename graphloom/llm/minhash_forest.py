@@ -205,7 +205,8 @@ def _across(percent: int):
 
 
 def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, trees: int = 28, depth: int = 6, shallow: int = 4, crowd: int | None = None, block_shingles: int = 1_500_000, block_nodes: int = 2_000, hubs: int = 4, with_tie: bool = False) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for each row of ``documents``; ``with_tie`` adds tie, xxhash64 of the text.
+    """doc_id, n_shingles, component_id and kept for each row of ``documents``; ``with_tie`` adds tie, xxhash64 of the text,
+    and chosen, which tells whether the row is its component's least by doc_id and tie: one text of each component, whatever ids repeat.
 
     Shingles are ``k`` words, A-Z lower-cased; links need ``percent`` per cent of two sets' union in common. component_id is the least
     doc_id that links lead to, kept tells whether it is the row's own. Null and empty texts and texts without words have no shingle, no link
@@ -217,7 +218,7 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, trees:
     """
     docs = documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"), F.col("doc_id").isNull().alias("null_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
     signed = written(docs.mapInArrow(_signed(k, trees, depth), "id long, null_id boolean, tie long, node long, n long, signature binary"), "signatures")
-    nodes = written(signed.filter("n > 0").groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("signature").alias("signature")), "nodes")
+    nodes = written(signed.filter("n > 0").groupBy("node").agg(F.min(F.struct("id", "null_id", "tie")).alias("row"), F.first("n").alias("n"), F.first("signature").alias("signature")), "nodes")
     orders = nodes.select("node", "signature").mapInArrow(_trees(trees, depth), "tree int, path binary, node long")
     orders = orders.repartitionByRange("tree", "path", "node").sortWithinPartitions("tree", "path", "node")
     found = written(orders.mapInArrow(_neighbours(shallow), "kind int, part int, a long, b long, tree int, path binary"), "neighbours")
@@ -228,10 +229,10 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, trees:
         links = links.unionByName(documents.sparkSession.createDataFrame(over, "a long, b long"))
     families = connected_components(links).withColumnRenamed("root", "family")
 
-    members = families.join(nodes.select("node", "id", "n"), "node")
+    members = families.join(nodes.select("node", "row.*", "n"), "node")
     sizes = members.groupBy("family").agg(F.greatest(F.ceil(F.sum("n") / block_shingles), F.ceil(F.count(F.lit(1)) / block_nodes)).alias("blocks"))
     members = members.join(sizes, "family").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    texts = docs.select("id", "text").join(members.drop("n"), "id")
+    texts = docs.join(members.drop("n"), ["id", "null_id", "tie"]).select("text", "family", "block", "blocks", "node")
     sets = written(texts.mapInArrow(_member_sets(k), "family long, block long, blocks long, node long, shingles array<long>").dropDuplicates(["node"]), "sets")
     inside = written(sets.groupBy("family", "block").applyInPandas(_inside(percent, hubs), "family long, node long, root long, links long, hub boolean"), "inside")
     spans = inside.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
@@ -255,17 +256,17 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, trees:
         last = connected_components(spans_large.unionByName(across.select("a", "b"))).withColumnsRenamed({"node": "__node", "root": "__root"})
         roots = roots.join(last, F.col("node") == F.col("__node"), "left").select("node", F.coalesce("__root", "root").alias("root"))
 
-    labelled = written(nodes.select("node", "id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "labelled")
-    least = labelled.groupBy("root").agg(F.min("id").alias("component_id"))
-    components = written(labelled.join(least, "root").select(F.col("node").alias("__node"), "component_id"), "component-ids")
+    labelled = written(nodes.select("node", "row").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "labelled")
+    least = labelled.groupBy("root").agg(F.min("row").alias("least"))
+    components = written(labelled.join(least, "root").select(F.col("node").alias("__node"), "least"), "component-ids")
     out = signed.select("id", "null_id", "tie", "node", "n").join(components, (F.col("n") > 0) & (F.col("node") == F.col("__node")), "left")
-    component = F.coalesce("component_id", "id")
+    component = F.coalesce("least.id", "id")
     return out.select(
         F.when(~F.col("null_id"), F.col("id")).alias("doc_id"),
         F.col("n").alias("n_shingles"),
         F.when((component != NULL_ID) | ~F.col("null_id"), component).alias("component_id"),
         (component == F.col("id")).alias("kept"),
-        *(["tie"] if with_tie else []),
+        *(["tie", F.coalesce(F.col("least") == F.struct("id", "null_id", "tie"), F.lit(True)).alias("chosen")] if with_tie else []),
     )
 
 

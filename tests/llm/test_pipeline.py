@@ -42,5 +42,16 @@ def test_stages(spark, sf_dir):
     assert Counter(r["doc_id"] for r in last.collect()) == Counter(r["doc_id"] for r in docs.collect())
 
 
+def test_near_copies_with_one_id(spark, sf_dir):
+    words = [f"w{i}" for i in range(200)]
+    near = [" ".join([*words, *(f"end{k}{j}" for j in range(3))]) for k in range(5)]
+    rows = [(None, near[0]), (None, near[1]), (None, near[1]), (None, near[2])]
+    other = [(t or "").replace("w", "v") for _, t in rows]
+    rows += [(7, t) for t in other] + [(8, near[3].replace("w", "u")), (8, near[4].replace("w", "x")), (9, near[4].replace("w", "u")), (None, ""), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter((r["doc_id"], (r["text"] or " ")[0]) for r in corpus_pipeline.drop_near_duplicates(spark, docs, sf_dir).collect())
+    assert got == {(None, "w"): 1, (7, "v"): 1, (8, "u"): 1, (8, "x"): 1, (None, " "): got[None, " "]} and got[None, " "] >= 1
+
+
 def F_eq(a, b):
     return a["doc_id"].eqNullSafe(b["doc_id"]) & a["text"].eqNullSafe(b["text"])
