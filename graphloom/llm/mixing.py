@@ -10,24 +10,36 @@ from pyspark.sql.window import Window
 from graphloom.llm.common import written
 
 
-def water_fill(sizes: list[int], weights: list[float], total: float, max_epochs: float) -> list[float]:
-    """Targets that share ``total`` by weight; those above ``max_epochs`` times their size are clamped there, and the excess goes
-    to the others by weight until none is above. If all are clamped, their sum is less than ``total``."""
-    caps = [max_epochs * s for s in sizes]
-    out, open_ = [0.0] * len(sizes), set(range(len(sizes)))
-    left = float(total)
-    while open_:
-        share = left / sum(weights[i] for i in sorted(open_))
-        over = [i for i in sorted(open_) if weights[i] * share >= caps[i]]
-        if not over:
-            for i in open_:
-                out[i] = weights[i] * share
+def targets(totals: DataFrame, weights: tuple[float, ...], share: float, max_epochs: float) -> DataFrame:
+    """``totals`` (source, words) with target. Sources in code-point order, null last, take ``weights`` in turn and share ``share``
+    times all words by weight; those above ``max_epochs`` times their own words are clamped there, and the excess goes to the others by
+    weight until none is above. If all are clamped, their sum is less than the total.
+
+    A source is clamped once its weight times the words for one unit of weight reaches its cap, and these words only grow from round to round.
+    So a round is one aggregate over the sources, and only its sums reach the driver.
+    """
+    ranked = totals.repartitionByRange(F.col("source").asc_nulls_last()).sortWithinPartitions(F.col("source").asc_nulls_last())
+    ranked = written(ranked.withColumn("__at", F.monotonically_increasing_id()), "mix-sources").withColumn("__part", F.shiftright("__at", 33))
+    held = ranked.groupBy("__part").agg(F.count(F.lit(1)).alias("__n")).collect()  # a row per partition
+    before, so_far = {}, 0
+    for r in sorted(held, key=lambda r: r["__part"]):
+        before[r["__part"]] = so_far
+        so_far += r["__n"]
+    offset = F.element_at(F.create_map(*[F.lit(x) for kv in before.items() for x in kv]), F.col("__part")) if before else F.lit(0)
+    turn = ((offset + F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))) % len(weights)).cast("int")
+    ranked = written(ranked.withColumn("__weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), turn + 1)).drop("__at", "__part"), "mix-sources")
+    cap = F.col("words") * F.lit(float(max_epochs))
+    unit, clamped = 0.0, -1
+    while True:
+        over = F.col("__weight") * F.lit(unit) >= cap if clamped >= 0 else F.lit(False)
+        r = ranked.agg(
+            F.coalesce(F.sum("words"), F.lit(0)).alias("all"), F.coalesce(F.sum(F.when(over, F.col("words"))), F.lit(0)).alias("full"),
+            F.sum(F.when(~over, F.col("__weight"))).alias("open"), F.count(F.when(over, F.lit(1))).alias("n"),
+        ).first()
+        if r["n"] == clamped or not r["open"]:
             break
-        for i in over:
-            out[i] = float(caps[i])
-            left -= caps[i]
-            open_.discard(i)
-    return out
+        unit, clamped = max(unit, (share * r["all"] - max_epochs * r["full"]) / r["open"]), r["n"]
+    return ranked.withColumn("target", F.least(cap, F.col("__weight") * F.lit(unit)) if r["open"] else cap).drop("__weight")
 
 
 def _quotas(g: pd.DataFrame) -> pd.DataFrame:
@@ -48,7 +60,7 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]++")), F.lit(0)).cast("long")
 
 
-def mix(documents: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, max_epochs: float = 2, seed: int = 7, bucket_rows: int = 20_000, max_sources: int = 100_000) -> DataFrame:
+def mix(documents: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, max_epochs: float = 2, seed: int = 7, bucket_rows: int = 20_000) -> DataFrame:
     """``documents`` with size, source_size, target and copies: how often the mix takes each document.
 
     Sources in code-point order, null last, take ``weights`` in turn; size is the number of words, 0 for a null text. A source of
@@ -57,26 +69,19 @@ def mix(documents: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: flo
     goes from large to small, so what large documents leave over small ones make up. Empty documents are never drawn.
     Columns of ``documents`` with the four names are replaced.
 
-    Only totals by source reach the driver, at most ``max_sources``; more raise an error. The walk over a source sees one row per
+    Only sums over the sources reach the driver. The walk over a source sees one row per
     distinct size. The last hash that is drawn is searched in buckets of about ``bucket_rows`` rows after equal rows are counted
     together, so copies that hold a third of all rows spread over many tasks.
     """
-    spark = documents.sparkSession
     own = documents.drop("size", "source_size", "target", "copies").withColumns({"size": word_count(F.col("text")), "__hash": F.xxhash64(F.lit(seed), "doc_id", "text")})
     rows = written(own.groupBy("source", "size", "__hash").agg(F.count(F.lit(1)).alias("n")), "mix-rows")
     by_size = written(rows.groupBy("source", "size").agg(F.sum("n").alias("n")), "mix-sizes")
-    totals = by_size.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("words")).orderBy(F.col("source").asc_nulls_last()).limit(max_sources + 1).collect()
-    if len(totals) > max_sources:
-        raise ValueError(f"more than {max_sources} sources")
-    sizes = [r["words"] for r in totals]
-    targets = water_fill(sizes, [weights[i % len(weights)] for i in range(len(sizes))], share * sum(sizes), max_epochs)
-    ratio = [t / s if s else 0.0 for t, s in zip(targets, sizes, strict=True)]
-    sources = spark.createDataFrame(
-        [(r["source"], s, t, int(q), q - int(q)) for r, s, t, q in zip(totals, sizes, targets, ratio, strict=True)],
-        "__source string, source_size long, target double, __whole int, fraction double",
-    )
+    totals = by_size.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("words"))
+    ratio = F.when(F.col("words") > 0, F.col("target") / F.col("words")).otherwise(0.0)
+    sources = targets(totals, weights, share, max_epochs).withColumn("ratio", ratio)
+    sources = written(sources.select(F.col("source").alias("__source"), F.col("words").alias("source_size"), "target", F.floor("ratio").cast("int").alias("__whole"), (F.col("ratio") - F.floor("ratio")).alias("fraction")), "mix-targets")
     here = F.col("source").eqNullSafe(F.col("__source"))
-    quotas = by_size.join(F.broadcast(sources), here).select("source", "size", "n", "fraction").groupBy("source").applyInPandas(_quotas, "source string, size long, n long, drawn long")
+    quotas = by_size.join(sources, here).select("source", "size", "n", "fraction").groupBy("source").applyInPandas(_quotas, "source string, size long, n long, drawn long")
     quotas = written(quotas.withColumn("buckets", F.ceil(F.col("n") / bucket_rows)), "mix-quotas")
 
     named = lambda df: df.withColumnsRenamed({"source": "__source", "size": "__size"})
@@ -95,10 +100,11 @@ def mix(documents: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: flo
     # all rows below the bucket, and those in it up to the last that fits
     last = inside.groupBy("source", "size").agg(F.coalesce(F.max(F.when(F.col("upto") <= F.col("rest"), F.col("__hash"))), F.min("__hash") - 1).alias("last"))
     limits = named(quotas).join(named(last).withColumnsRenamed({"__source": "__s", "__size": "__z"}), F.col("__source").eqNullSafe(F.col("__s")) & (F.col("__size") == F.col("__z")), "left")
-    limits = limits.select("__source", "__size", F.coalesce("last", F.when((F.col("drawn") > 0) & (F.col("drawn") >= F.col("n")), F.lit(2**63 - 1))).alias("last"))
-    out = own.join(written(limits, "mix-limits"), at).drop("__source", "__size").join(F.broadcast(sources), here)
+    sources = sources.withColumnRenamed("__source", "__s")
+    limits = limits.drop("__s", "__z").join(sources, F.col("__source").eqNullSafe(F.col("__s"))).select("__source", "__size", "source_size", "target", "__whole", F.coalesce("last", F.when((F.col("drawn") > 0) & (F.col("drawn") >= F.col("n")), F.lit(2**63 - 1))).alias("last"))
+    out = own.join(written(limits, "mix-limits"), at)
     drawn = F.coalesce((F.col("__hash") <= F.col("last")) & (F.col("size") > 0), F.lit(False)).cast("int")
-    return out.withColumn("copies", (F.when(F.col("size") > 0, F.col("__whole")).otherwise(F.lit(0)) + drawn)).drop("__source", "__whole", "fraction", "last", "__hash")
+    return out.withColumn("copies", (F.when(F.col("size") > 0, F.col("__whole")).otherwise(F.lit(0)) + drawn)).drop("__source", "__size", "__whole", "last", "__hash")
 
 
 def mixed(documents: DataFrame, **parameters) -> DataFrame:

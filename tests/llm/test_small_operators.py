@@ -7,6 +7,7 @@ import hashlib
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from graphloom.llm import line_dedup, mixing, url_filter, warc
@@ -69,13 +70,31 @@ def test_archive(spark):
     assert warc.read_archive(spark, empty).collect() == []
 
 
-def test_water_fill():
-    assert mixing.water_fill([10, 10, 10], [3, 1, 2], 30, 2) == [15.0, 5.0, 10.0]
-    assert mixing.water_fill([10, 10, 10], [3, 1, 2], 45, 2) == pytest.approx([20, 25 / 3, 50 / 3])
-    assert mixing.water_fill([1, 100], [1, 1], 60, 2) == [2.0, 58.0]
-    assert mixing.water_fill([], [], 5, 2) == []
-    assert mixing.water_fill([0, 5], [1, 1], 5, 2) == [0.0, 5.0]
-    assert mixing.water_fill([1, 1], [1, 1], 9, 2) == [2.0, 2.0]
+def water_fill(sizes, weights, total, epochs):
+    """One source at a time, the one whose cap is reached first."""
+    out, open_, left = [0.0] * len(sizes), list(range(len(sizes))), total
+    while open_:
+        i = min(open_, key=lambda i: (epochs * sizes[i] / weights[i], i))
+        unit = left / sum(weights[j] for j in open_)
+        if weights[i] * unit < epochs * sizes[i]:
+            for j in open_:
+                out[j] = weights[j] * unit
+            break
+        out[i] = float(epochs * sizes[i])
+        left -= out[i]
+        open_.remove(i)
+    return out
+
+
+def test_water_fill(spark):
+    rng = np.random.default_rng(3)
+    cases = [([10, 10, 10], 1.0, 2), ([10, 10, 10], 1.5, 2), ([1, 100], 0.6, 2), ([], 1.5, 2), ([0, 5], 1.0, 2), ([1, 1], 4.5, 2), ((rng.pareto(0.7, 3000) * 50).astype(int).tolist(), 1.5, 2)]
+    for sizes, share, epochs in cases:
+        names = sorted(f"s{i}" for i in range(len(sizes)))
+        df = spark.createDataFrame([(n, x) for n, x in zip(names, sizes, strict=True)], "source string, words long")
+        got = {r["source"]: r["target"] for r in mixing.targets(df, (3, 1, 2), share, epochs).collect()}
+        want = water_fill(sizes, [(3, 1, 2)[i % 3] for i in range(len(sizes))], share * sum(sizes), epochs)
+        assert [got[n] for n in names] == pytest.approx(want, rel=1e-9)
 
 
 def test_mix(spark):
@@ -89,7 +108,7 @@ def test_mix(spark):
     assert sorted(map(key, out)) == sorted(map(key, again))
     sources = sorted({r[1] for r in rows if r[1]}) + [None]
     sizes = [sum(len((t or "").split()) for _, s, t in rows if s == x) for x in sources]
-    want = mixing.water_fill(sizes, [(3, 1, 2)[i % 3] for i in range(len(sources))], 1.5 * sum(sizes), 2)
+    want = water_fill(sizes, [(3, 1, 2)[i % 3] for i in range(len(sources))], 1.5 * sum(sizes), 2)
     for s, size, target in zip(sources, sizes, want, strict=True):
         own = [r for r in out if r["source"] == s]
         assert {(r["source_size"], round(r["target"], 6)) for r in own} == {(size, round(target, 6))}
