@@ -160,18 +160,19 @@ def _runs(raw: list[bytes]) -> Iterator[list[bytes]]:
         yield run
 
 
-def with_next(documents: DataFrame, bucket_mb: int = 16) -> DataFrame:
+def with_next(documents: DataFrame, bucket_mb: int = 16, max_parts: int = 10_000) -> DataFrame:
     """Rows of doc_id and text in partitions, such that a row's next document (descending doc_id, nulls last; rows of one id by a
     hash of the text; after the last the first) is the row behind it in its part. Columns part, ahead, doc_id, text and tie.
 
     Parts are ranges of (doc_id, tie), from bounds of a sample, so one repeated id does not fill one task. Each part ends with a copy of the
-    first row of the part below, marked ``ahead``. Texts are shuffled once.
+    first row of the part below, marked ``ahead``. Texts are shuffled once. There are at most ``max_parts`` parts, which bounds the sample (60 keys a
+    part) and the greatest keys that reach the driver; parts may be of any size, as they are read as streams.
     """
     spark = documents.sparkSession
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
     keys = docs.select(F.coalesce("doc_id", F.lit(-(2**63))).alias("id"), "tie", F.octet_length("text").cast("long").alias("size"))
     total = keys.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("b"), F.count(F.lit(1)).alias("n")).first()
-    n = max(1, total["b"] // (bucket_mb << 20))
+    n = min(max_parts, max(1, total["b"] // (bucket_mb << 20)))
     pair = np.dtype([("id", "<i8"), ("tie", "<i8")])
     drawn = keys.select("id", "tie").sample(min(1.0, 60 * n / max(1, total["n"])), 11).toPandas() if n > 1 else pd.DataFrame({"id": [], "tie": []})
     sample = np.zeros(len(drawn), pair)
