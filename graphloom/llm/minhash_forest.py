@@ -204,6 +204,21 @@ def _across(percent: int):
     return run
 
 
+def _levels(sets: DataFrame, percent: int, hubs: int, block_shingles: int, block_nodes: int) -> DataFrame:
+    """Spans (a, b) among the hubs of a family's blocks: compared in blocks of their own, then those blocks' hubs, until one block is left."""
+    spans = None
+    while True:
+        sizes = sets.groupBy("family").agg(F.greatest(F.ceil(F.sum(F.size("shingles")) / block_shingles), F.ceil(F.count(F.lit(1)) / block_nodes)).alias("blocks"))
+        sets = written(sets.join(sizes, "family").withColumn("block", F.pmod(F.xxhash64("node", F.lit("hubs")), F.col("blocks"))), "hub-sets")
+        found = written(sets.groupBy("family", "block").applyInPandas(_inside(percent, hubs), "family long, node long, root long, links long, hub boolean"), "hub-links")
+        own = found.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+        spans = own if spans is None else spans.unionByName(own)
+        several = sets.filter("blocks > 1")
+        if several.isEmpty():
+            return spans
+        sets = several.select("family", "node", "shingles").join(found.filter("hub").select("node"), "node")
+
+
 def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, trees: int = 28, depth: int = 6, shallow: int = 4, crowd: int | None = None, block_shingles: int = 1_500_000, block_nodes: int = 2_000, hubs: int = 4, with_tie: bool = False) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for each row of ``documents``; ``with_tie`` adds tie, xxhash64 of the text,
     and chosen, which tells whether the row is its component's least by doc_id and tie: one text of each component, whatever ids repeat.
@@ -240,8 +255,7 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, trees:
     large = sets.filter("blocks > 1")
     roots = inside.select("node", "root")
     if not large.isEmpty():
-        hub_sets = large.join(inside.filter("hub").select("node"), "node").withColumn("block", F.lit(0).cast("long"))
-        hub_spans = hub_sets.groupBy("family").applyInPandas(_inside(percent, 1), "family long, node long, root long, links long, hub boolean").filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+        hub_spans = _levels(large.select("family", "node", "shingles").join(inside.filter("hub").select("node"), "node"), percent, hubs, block_shingles, block_nodes)
         of_large = large.select("node")
         spans_large = written(spans.join(of_large, spans["a"] == of_large["node"], "left_semi").unionByName(hub_spans), "spans")
         first = connected_components(spans_large)
