@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphloom.functions.ids import MAIN_CHROMS
+from graphloom.operators import validate
 from graphloom.operators.alignment import gene_edges
 from graphloom.plans import append as appending
 from graphloom.plans import construct as constructing
@@ -96,15 +97,20 @@ def main(argv: list[str] | None = None) -> None:
         edges, nodes, manifest = package.load(spark, f"{a.history}_graph")
         package.check_provenance(manifest["generations"], {**manifest["generations"][-1], "scope": "append"})
         gdna, cdna = fasta.read(spark, a.gdna), fasta.read(spark, a.cdna)
-        places = bed.last_places(bed.parse(bed.read(spark, a.bed))).join(gdna.select(F.col("record_id").alias("gene_id")).distinct(), "gene_id", "left_semi")
+        places = bed.last_places(bed.parse(bed.read(spark, a.bed)))
+        with_sequence = gdna.select(F.col("record_id").alias("gene_id")).distinct()
+        validate.require(validate.missing_from(with_sequence, places), "sequences of genes outside the BED")
+        places = places.join(with_sequence, "gene_id", "left_semi")
         query_genes = constructing.gene_table(places, _targets(gdna))
-        lengths = appending.transcript_lengths(fasta.read(spark, a.history_cdna), cdna)
+        history_cdna, models = fasta.read(spark, a.history_cdna), gtf.models(gtf.read(spark, a.history_gtf))
+        appending.check_history(models, history_cdna, nodes)
+        lengths = appending.transcript_lengths(history_cdna, cdna)
         sequences = fasta.concatenate(fasta.read(spark, a.history_gdna), gdna)
         run = appending.append(
-            edges, nodes, spark.read.parquet(f"{a.history}_filtered"), gtf.models(gtf.read(spark, a.history_gtf)), query_genes, _alignments(spark, a.query_to_all_bam),
+            edges, nodes, spark.read.parquet(f"{a.history}_filtered"), models, query_genes, _alignments(spark, a.query_to_all_bam),
             _alignments(spark, a.history_to_query_bam), lengths, sequences, names(spark, a.history_names), names(spark, a.name), a.reference, chroms,
         )
-        genes = nodes.unionByName(query_genes.select(*nodes.columns))
+        genes = appending.all_genes(nodes, query_genes)
         save(run, a.output, a.prefix, [*manifest["generations"], {**manifest["generations"][-1], "scope": "append"}], genes)
     elif a.command == "export":
         gdna = fasta.read(spark, a.gdna)

@@ -35,6 +35,20 @@ def check_inputs(history_genes: DataFrame, history_varieties: list[str], query_g
     validate.require(history_genes.select("gene_id").intersect(query_genes.select("gene_id")), "genes in history and query")
 
 
+def check_history(models: DataFrame, records: DataFrame, genes: DataFrame) -> None:
+    """Raises unless the stored transcript models (transcript_id) and sequences (record_id) are of the same transcripts, none of a
+    renamed gene, and all of genes of the graph."""
+    found = validate.transcript_violations(models, records.select(F.col("record_id").alias("transcript_id")), genes)
+    validate.require(found.select(F.concat_ws(": ", "rule", "detail")), "stored transcripts that do not fit the graph")
+
+
+def all_genes(history_genes: DataFrame, query_genes: DataFrame) -> DataFrame:
+    """The genes of both parts in BED order: those of the query after those of the history."""
+    shift = history_genes.agg(F.coalesce(F.max("bed_ord"), F.lit(-1)).alias("m")).first()["m"] + 1
+    columns = ["gene_id", "gene_len", "chrom", "start", "end", "strand", "bed_ord"]
+    return history_genes.select(*columns).unionByName(query_genes.withColumn("bed_ord", F.col("bed_ord") + shift).select(*columns))
+
+
 def append(
     history_edges: DataFrame, history_genes: DataFrame, history_filtered: DataFrame, history_models: DataFrame, query_genes: DataFrame,
     query_to_all: DataFrame, history_to_query: DataFrame, lengths: DataFrame, sequences: DataFrame, history_varieties: list[str], new_varieties: list[str],
@@ -46,9 +60,7 @@ def append(
     ``lengths`` (record_id, seq_len) and ``sequences`` (record_id, seq) cover old and new records.
     """
     check_inputs(history_genes, history_varieties, query_genes, query_to_all.select(F.col("query_id").alias("transcript_id")).distinct(), new_varieties)
-    shift = history_genes.agg(F.coalesce(F.max("bed_ord"), F.lit(-1)).alias("m")).first()["m"] + 1
-    columns = ["gene_id", "gene_len", "chrom", "start", "end", "strand", "bed_ord"]
-    genes = written(history_genes.select(*columns).unionByName(query_genes.withColumn("bed_ord", F.col("bed_ord") + shift).select(*columns)), "genes")
+    genes = written(all_genes(history_genes, query_genes), "genes")
     new = [written(alignment.quality_filter(a, genes), "filtered") for a in (query_to_all, history_to_query)]
     edges = written(relations.union_edges(history_edges, *map(alignment.gene_edges, new)), "edges")
     # records of one table after the other

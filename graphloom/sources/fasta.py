@@ -13,7 +13,8 @@ from graphloom.functions.ids import gene_of
 def read(spark: SparkSession, path: str) -> DataFrame:
     """Records of one or more files, split at ``>`` at the beginning of a line, so that large files are read by many tasks.
 
-    record_ord orders the records of one file by the place where they begin (file splits are ordered, and rows in them).
+    record_ord orders the records of one file by the place where they begin (file splits are ordered, and rows in them). Over several
+    files the order is that of Spark's splits: where ids repeat across files, read each alone and put them together by concatenate().
     """
     text = spark.read.option("lineSep", "\n>").text(path).select(F.monotonically_increasing_id().alias("record_ord"), F.col("value").alias("record"))
     return parse(text)
@@ -21,11 +22,12 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 def parse(records: DataFrame) -> DataFrame:
     """From record_ord and ``record``, the text of one record with or without its ``>``. The id is the header's first word; blank
-    lines and blanks around lines are dropped. A record without an id is left out."""
+    lines and blanks around lines (space, U+0009 to U+000D, so line ends of two characters too) are dropped. A record without an id is left out."""
     body = F.regexp_replace("record", "^>", "")
-    header = F.trim(F.substring_index(body, "\n", 1))
+    stripped = lambda x: F.regexp_replace(x, r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
+    header = stripped(F.substring_index(body, "\n", 1))
     rest = F.when(F.instr(body, "\n") > 0, F.expr("substring(regexp_replace(record, '^>', ''), instr(regexp_replace(record, '^>', ''), '\n') + 1)")).otherwise(F.lit(""))
-    lines = F.transform(F.split(rest, "\n"), lambda x: F.trim(x))
+    lines = F.transform(F.split(rest, "\n"), stripped)
     rows = records.select("record_ord", F.regexp_extract(header, r"^\S+", 0).alias("record_id"), header.alias("header"), F.array_join(lines, "").alias("seq"))
     return rows.filter("record_id <> ''")
 

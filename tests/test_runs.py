@@ -79,3 +79,31 @@ def test_append(spark, first):
                 appending.append(*args, bad, "RefA")
     table = {(r["section"], r["metric"]): r["value"] for r in appending.compare(run.edges, out.edges, (run.clusters.pre, run.clusters.last), (out.clusters.pre, out.clusters.last)).collect()}
     assert table["directed_edges", "common"] == 5 and table["last_clusters", "exact"] == 2 and table["reciprocal_pairs", "jaccard"] == 0.5
+
+
+def test_no_rows_without_length_or_strand(spark):
+    from graphloom.operators import transcripts
+
+    exon = "array<struct<start:long,end:long>>"
+    reps = spark.createDataFrame([(h, 1, h + ".1", [(1, 900)]) for h in ("a", "b", "c")], f"hub string, group_no int, transcript_id string, exons {exon}")
+    genes = spark.createDataFrame([("a", 100, "+"), ("b", None, "+"), ("c", 100, None)], "gene_id string, gene_len long, strand string")
+    assert {(r["seqname"], r["feature"], r["end"]) for r in transcripts.gtf_rows(reps, genes).collect()} == {("a", "transcript", 100), ("a", "exon", 100)}
+
+
+def test_genes_stay_in_bed_order(spark):
+    history = spark.createDataFrame([("a", 1, "A1", 1, 2, "+", 0), ("b", 1, "A1", 1, 2, "+", 3)], BED)
+    query = spark.createDataFrame([("c", 1, "A1", 1, 2, "+", 0), ("d", 1, "A1", 1, 2, "+", 1)], BED)
+    assert [(r["gene_id"], r["bed_ord"]) for r in appending.all_genes(history, query).orderBy("bed_ord").collect()] == [("a", 0), ("b", 3), ("c", 4), ("d", 5)]
+
+
+def test_stored_transcripts_are_checked(spark):
+    models = spark.createDataFrame([("a.1",), ("b.1",)], "transcript_id string")
+    genes = spark.createDataFrame([("a",), ("b",)], "gene_id string")
+    records = lambda *ids: spark.createDataFrame([(i,) for i in ids], "record_id string")
+    appending.check_history(models, records("a.1", "b.1"), genes)
+    for other, known in ((records("a.1"), genes), (records("a.1", "b.1", "a.2"), genes), (records("a.1", "b.1"), genes.filter("gene_id = 'a'"))):
+        with pytest.raises(ValueError, match="do not fit"):
+            appending.check_history(models, other, known)
+    with pytest.raises(ValueError, match="renamed"):
+        pan = spark.createDataFrame([("Pan1A000001.1",)], "transcript_id string")
+        appending.check_history(pan, records("Pan1A000001.1"), spark.createDataFrame([("Pan1A000001",)], "gene_id string"))

@@ -138,3 +138,10 @@ def test_validations(spark):
     with pytest.raises(ValueError, match="bad: x1, x2"):
         validate.require(spark.createDataFrame([("x2",), ("x1",)], "g string"), "bad")
     validate.require(spark.createDataFrame([], "g string"), "bad")
+
+
+def test_fasta_with_line_ends_of_two_characters(spark, tmp_path):
+    path = tmp_path / "crlf.fa"
+    path.write_bytes(b">a one\r\nACGT\r\nAC\t\r\n>b\r\n\r\nGG\r\n")
+    rows = fasta.read(spark, str(path)).orderBy("record_ord").collect()
+    assert [(r["record_id"], r["header"], r["seq"]) for r in rows] == [("a", "a one", "ACGTAC"), ("b", "b", "GG")]
