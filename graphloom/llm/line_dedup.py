@@ -139,7 +139,7 @@ def _changed(state: LineState, documents: DataFrame, sign: int) -> LineState:
     crossed = crossed.select(shard.alias("shard"), "low", (F.col("n_docs") >= state.min_docs).alias("enters"))
     frequent = counts.filter(F.col("n_docs") >= state.min_docs).select(shard.alias("shard"), "low")
 
-    def build(key, held: pd.DataFrame, moves: pd.DataFrame) -> pd.DataFrame:
+    def build(key: tuple, held: pd.DataFrame, moves: pd.DataFrame) -> pd.DataFrame:
         if not len(moves):
             return held[["shard", "filter"]]
         low = moves["low"].to_numpy(np.int64).view(np.uint64)
@@ -150,7 +150,7 @@ def _changed(state: LineState, documents: DataFrame, sign: int) -> LineState:
             return pd.DataFrame({"shard": [int(key[0])], "filter": [b""]})  # full: built anew below
         return pd.DataFrame({"shard": [int(key[0])], "filter": [f.dumps()]})
 
-    def anew(key, keys: pd.DataFrame) -> pd.DataFrame:
+    def anew(key: tuple, keys: pd.DataFrame) -> pd.DataFrame:
         low, n = keys["low"].to_numpy(np.int64).view(np.uint64), len(keys)
         while not (f := CuckooFilter.sized(n)).insert(low):
             n *= 2
@@ -174,21 +174,22 @@ def delete_documents(state: LineState, documents: DataFrame) -> LineState:
     return _changed(state, documents, -1)
 
 
-def clean_lines(documents: DataFrame, state: LineState, broadcast_mb: int = 64) -> DataFrame:
+def clean_lines(documents: DataFrame, state: LineState, broadcast_mb: int = 64, spread: int = 16) -> DataFrame:
     """``documents`` with n_lines, n_dropped and kept_text: without the lines that at least ``min_docs`` documents of the state hold.
 
     A line's key is the line without blanks at both ends and with A-Z lower-cased; keys of fewer than ``min_chars`` code points (and
     empty ones) stay. A null or empty text is one empty line. Columns of the three names are replaced.
 
     The filters, and the digests of frequent lines that the filters lead to, are broadcast while both are within ``broadcast_mb``.
-    Beyond that, lines that are in any document are joined with the exact counts by digest instead, with the documents' other lines.
+    Beyond that, lines go to the filter of their shard, in ``spread`` parts of it, and those that it lets through are joined with the
+    exact counts by digest.
     """
     documents = documents.drop("n_lines", "n_dropped", "kept_text")
     spark = documents.sparkSession
     frequent = state.counts.filter(F.col("n_docs") >= state.min_docs)
     n_bytes = state.filters.agg(F.coalesce(F.sum(F.length("filter")), F.lit(0)).alias("b")).first()["b"] + 16 * frequent.count()
     if n_bytes > broadcast_mb << 20:
-        return _joined(documents, frequent, state.min_chars)
+        return _sharded(documents, frequent, state, spread)
     filters = {r["shard"]: bytes(r["filter"]) for r in state.filters.collect()}
     exact = np.array([(r["low"], r["high"]) for r in frequent.select("low", "high").collect()], PAIR)
     shared = spark.sparkContext.broadcast((filters, np.sort(exact).tobytes()))
@@ -244,23 +245,48 @@ def _dropper(shared, shards: int, min_chars: int):
     return drop
 
 
-def _joined(documents: DataFrame, frequent: DataFrame, min_chars: int) -> DataFrame:
+def _sharded(documents: DataFrame, frequent: DataFrame, state: LineState, spread: int) -> DataFrame:
     """clean_lines() without a broadcast: what is dropped depends on the text alone, so each distinct text is judged once."""
     text = F.coalesce("text", F.lit(""))
-    of = F.sha2(text, 256)
+    of, min_chars = F.sha2(text, 256), state.min_chars
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, data, offsets in text_slices(batch, "text"):
                 _, counts, low, high = _lines(data.tobytes(), offsets, min_chars)
-                which = np.repeat(np.arange(len(counts)), counts)
                 number = np.arange(len(low)) - np.repeat(np.cumsum(counts) - counts, counts)
-                yield pa.RecordBatch.from_arrays([rows.column("of").take(pa.array(which)), pa.array(number), pa.array(low), pa.array(high)], ["of", "line", "low", "high"])
+                keyed = np.flatnonzero((low != 0) | (high != 0))
+                which = np.repeat(np.arange(len(counts)), counts)[keyed]
+                yield pa.RecordBatch.from_arrays([rows.column("of").take(pa.array(which)), *(pa.array(x[keyed]) for x in (number, low, high))], ["of", "line", "low", "high"])
 
     once = documents.select(of.alias("of"), text.alias("text")).groupBy("of").agg(F.first("text").alias("text"))
     lines = once.mapInArrow(explode, "of string, line long, low long, high long")
-    gone = lines.join(written(frequent.select("low", "high"), "line-frequent"), ["low", "high"], "left_semi").groupBy("of").agg(F.collect_set("line").alias("gone"))
+    lines = lines.withColumns({"shard": F.pmod("high", F.lit(state.shards)).cast("int"), "part": F.pmod(F.xxhash64("of"), F.lit(spread)).cast("int"), "filter": F.lit(None).cast("binary")})
+    none = {"of": F.lit(None).cast("string"), **{c: F.lit(None).cast("long") for c in ("line", "low", "high")}}
+    filters = state.filters.withColumns({"part": F.explode(F.sequence(F.lit(0), F.lit(spread - 1))), **none})
+    dealt = lines.unionByName(filters).repartition("shard", "part").sortWithinPartitions("shard", "part", F.col("filter").isNull())
+    passed = dealt.mapInArrow(_probe, "of string, line long, low long, high long")
+    gone = passed.join(written(frequent.select("low", "high"), "line-frequent"), ["low", "high"], "left_semi").groupBy("of").agg(F.collect_set("line").alias("gone"))
     out = documents.withColumn("__of", of).join(written(gone, "line-gone").withColumnRenamed("of", "__of"), "__of", "left")
     all_ = F.split(text, "\n", -1)
     left = F.when(F.col("gone").isNull(), text).otherwise(F.array_join(F.filter(all_, lambda x, i: ~F.array_contains("gone", i.cast("long"))), "\n"))
     return out.withColumns({"n_lines": F.size(all_).cast("long"), "n_dropped": F.coalesce(F.size("gone"), F.lit(0)).cast("long"), "kept_text": left}).select(*documents.columns, "n_lines", "n_dropped", "kept_text")
+
+
+def _probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of lines that stand behind their shard's filter: those that it lets through. One filter is held at a time."""
+    at, own = None, None
+    for batch in batches:
+        place = np.column_stack([batch.column(c).to_numpy() for c in ("shard", "part")])
+        edge = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]).any(axis=1), [True]]))
+        low = batch.column("low").fill_null(0).to_numpy().view(np.uint64)
+        passed = np.zeros(batch.num_rows, bool)
+        for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+            if tuple(place[a]) != at:
+                at, own = tuple(place[a]), None
+            if batch.column("filter")[a].is_valid:
+                own, a = CuckooFilter.loads(batch.column("filter")[a].as_py()), a + 1
+            if own is not None and a < b:
+                passed[a:b] = own.contains(low[a:b])
+        rows = pa.array(np.flatnonzero(passed))
+        yield pa.RecordBatch.from_arrays([batch.column(c).take(rows) for c in ("of", "line", "low", "high")], ["of", "line", "low", "high"])
