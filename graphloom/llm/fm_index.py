@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import numpy as np
 
+#: Places of the suffix array whose least owner is found one by one; beyond, by tables.
+RUN = 16
+
 
 def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     """Suffixes of ``text`` in the order of their first ``depth`` symbols or more, by doubling; suffixes alike to that depth in any order."""
@@ -66,10 +69,14 @@ class FMIndex:
         self.n = len(text)
         self.wavelet = WaveletMatrix(text[sa - 1], n_symbols)
         self.first = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=n_symbols))])
-        # the least owner in any range of the suffix array, from a table of powers of two
-        owner = np.repeat(np.asarray(owners), sizes)[sa]
-        self.least = [owner]
-        while 2 << (len(self.least) - 1) <= self.n:
+        # the least owner in any range of the suffix array: runs of RUN from both ends, and a table of powers of two over whole runs
+        self.owner = np.repeat(np.asarray(owners), sizes)[sa]
+        runs = np.full((-(-self.n // RUN), RUN), np.iinfo(self.owner.dtype).max, self.owner.dtype)
+        runs.ravel()[: self.n] = self.owner
+        self.to_here = np.minimum.accumulate(runs, axis=1).ravel()
+        self.from_here = np.minimum.accumulate(runs[:, ::-1], axis=1)[:, ::-1].ravel()
+        self.least = [runs.min(axis=1)]
+        while 2 << (len(self.least) - 1) <= len(runs):
             a, half = self.least[-1], 1 << (len(self.least) - 1)
             self.least.append(np.minimum(a[: len(a) - half], a[half:]))
 
@@ -80,12 +87,24 @@ class FMIndex:
 
     def least_owner(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
         """Of nonempty ranges."""
-        k = np.frexp((high - low).astype(np.float64))[1] - 1
-        out = np.empty(len(low), self.least[0].dtype)
-        for level in np.unique(k).tolist():
-            i = np.flatnonzero(k == level)
-            a = self.least[level]
-            out[i] = np.minimum(a[low[i]], a[high[i] - (1 << level)])
+        last = high - 1
+        out = np.minimum(self.from_here[low], self.to_here[last])
+        first_run, last_run = low // RUN, last // RUN
+        inside = np.flatnonzero(first_run == last_run)
+        if len(inside):
+            a, b = low[inside], last[inside]
+            own = self.owner[a]
+            for k in range(1, int((b - a).max()) + 1):
+                own = np.minimum(own, self.owner[np.minimum(a + k, b)])
+            out[inside] = own
+        between = np.flatnonzero(last_run - first_run > 1)
+        if len(between):
+            a, b = first_run[between] + 1, last_run[between]
+            k = np.frexp((b - a).astype(np.float64))[1] - 1
+            for level in np.unique(k).tolist():
+                i = np.flatnonzero(k == level)
+                of, table = between[i], self.least[level]
+                out[of] = np.minimum(out[of], np.minimum(table[a[i]], table[b[i] - (1 << level)]))
         return out
 
     def held_earlier(self, flat: np.ndarray, begin: np.ndarray, end: np.ndarray, owner: np.ndarray) -> np.ndarray:
