@@ -106,10 +106,22 @@ def powers(n: int) -> np.ndarray:
     return _powers
 
 
+def span_hashes(data: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """64-bit hashes of runs of bytes, none of them empty."""
+    if not len(lens):
+        return np.zeros(0, np.uint64)
+    first = np.cumsum(lens) - lens
+    place = np.arange(int(lens.sum())) - np.repeat(first, lens)
+    # bytes are 1..256 so that leading zeros count; the sum wraps modulo 2^64
+    with np.errstate(over="ignore"):
+        part = (data[np.repeat(starts, lens) + place].astype(np.uint64) + np.uint64(1)) * powers(int(lens.max()))[place]
+    return mix(np.add.reduceat(part, first))
+
+
 class Words:
     """Words ``[^\\x20\\x09-\\x0D]+`` of several texts: byte ranges, 64-bit hashes and, for each text, its range of words."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = False, breaks: np.ndarray = _SPACE):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = False, breaks: np.ndarray = _SPACE, hashed: bool = True):
         """``breaks``: which bytes stand between words, instead of the blanks."""
         self.data, self.offsets = data, offsets
         n = len(data)
@@ -120,16 +132,8 @@ class Words:
         before[edge], after[edge - 1] = False, False
         self.starts = np.flatnonzero(solid & ~before)
         self.ends = np.flatnonzero(solid & ~after) + 1
-        lens = self.ends - self.starts
-        if len(lens):
-            at = np.flatnonzero(solid)
-            # bytes are 1..256 so that leading zeros count; the sum wraps modulo 2^64
-            first = np.cumsum(lens) - lens
-            with np.errstate(over="ignore"):
-                part = ((_ASCII_LOWER[data] if lower else data)[at].astype(np.uint64) + np.uint64(1)) * powers(int(lens.max()))[np.arange(len(at)) - np.repeat(first, lens)]
-            self.hashes = mix(np.add.reduceat(part, first))
-        else:
-            self.hashes = np.zeros(0, np.uint64)
+        if hashed:
+            self.hashes = span_hashes(_ASCII_LOWER[data] if lower else data, self.starts, self.ends - self.starts)
         self.bounds = np.searchsorted(self.starts, offsets)
 
     def grams(self, k: int) -> np.ndarray:

@@ -1,18 +1,18 @@
 """Token ids as Re-Pair grammars: shards that hold rules, expansion lengths and short symbol sequences.
 
-Documents are dealt into shards by ascending doc_id. A shard is one block with one grammar, or several where its tokens outgrow a
-block: the most frequent pairs of neighbouring symbols become nonterminals, until none is frequent, within documents only. A document can be
-decoded alone: its symbols are a slice of the block's sequence, and stored expansion lengths place any token of it without
-expanding what stands before.
+Documents are dealt to tasks by ascending doc_id, and each task cuts its own into shards with a grammar each: the most frequent pairs of
+neighbouring symbols become nonterminals, until none is frequent, within documents only. A document can be decoded alone: its symbols
+are a slice of the shard's sequence, and stored expansion lengths place any token of it without expanding what stands before.
 
-Block layout (little-endian): magic ``RPB2``; six uint32: first nonterminal, rules, documents, symbols, bits per symbol, 0; then
+Shard layout (little-endian): magic ``RPB2``; six uint32: first nonterminal, rules, documents, symbols, bits per symbol, 0; then
 rules (two uint32 each), expansion lengths (uint32 per rule), symbols per document (uint32), tokens per document (uint32), the lower 16
 bits of the symbols (uint16), and a bit plane for each higher bit of them, the lowest plane first, each filled up to whole bytes.
-Shard, block number and first and last doc_id are columns beside it, so that a reader skips blocks by the files' statistics.
+Task, shard number and first and last doc_id are columns beside it, so that a reader skips shards by the files' statistics.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -24,125 +24,223 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from graphloom.llm.common import releasing
+from graphloom.llm.common import Words, mix, releasing, span_hashes, text_slices
 
 MAGIC = b"RPB2"
 
 
-class _Numbers(dict):
-    """Numbers words in the order in which they are first asked for; ``new`` has those that were not known."""
-
-    def __init__(self):
-        self.new: list[str] = []
-
-    def __missing__(self, word: str) -> int:
-        n = self[word] = len(self)
-        self.new.append(word)
-        return n
-
-
-class _Units:
-    """Ids of units that are one separator and a word, or a word alone (separator "")."""
-
-    def __init__(self, tokenizer, separator: str, opens: np.ndarray | None):
-        self.tokenizer, self.separator, self.opens = tokenizer, separator, opens
-        self.numbers = _Numbers()
-        self.flat, self.begin = np.zeros(0, np.uint32), np.zeros(1, np.int64)
-
-    def learn(self) -> None:
-        """Encodes the new words: many in one text, which falls apart again where a token opens with the separator."""
-        new, self.numbers.new = self.numbers.new, []
-        if not new:
-            return
-        parts, sizes = [], []
-        runs = [new[k : k + 1000] for k in range(0, len(new), 1000)] if self.separator else [[w] for w in new]
-        joined = self.tokenizer.encode_batch_fast([self.separator + self.separator.join(r) for r in runs], add_special_tokens=False)
-        for run, e in zip(runs, joined, strict=True):
-            ids = np.array(e.ids, np.uint32)
-            at = np.flatnonzero(self.opens[ids]) if self.separator else np.zeros(1, np.int64)
-            if len(at) != len(run) or (len(ids) and at[0] != 0):  # never seen; one by one it is right in any case
-                own = [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast([self.separator + w for w in run], add_special_tokens=False)]
-                ids, lengths = np.concatenate(own), np.array([len(x) for x in own])
-            else:
-                lengths = np.diff(np.append(at, len(ids)))
-            parts.append(ids)
-            sizes.append(lengths)
-        self.flat = np.concatenate([self.flat, *parts])
-        self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(np.concatenate(sizes))])
+#: The UTF-8 forms of blanks beyond ASCII, which tokenizers may join to the blanks around them.
+_WIDE_BLANKS = np.array([int.from_bytes(c.encode().ljust(3, b"\0"), "big") for c in "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"])
+_WIDE_LEADS = np.zeros(256, bool)
+_WIDE_LEADS[[0xC2, 0xE1, 0xE2, 0xE3]] = True
+#: By the byte before a word; 0 where it opens its text.
+_SEPARATORS = {0: b"", 10: b"\n", 32: b" "}
+
+
+def _wide_blanks(data: np.ndarray) -> np.ndarray:
+    """Where blanks beyond ASCII begin."""
+    at = np.flatnonzero(_WIDE_LEADS[data])
+    code = np.zeros(len(at), np.int64)
+    for k in range(3):
+        code = code << 8 | data[np.minimum(at + k, len(data) - 1)]
+    two = data[at] == 0xC2
+    return at[np.isin(np.where(two, code & 0xFFFF00, code), _WIDE_BLANKS)]
+
+
+#: Bytes of letters: ASCII ones, and U+00C0 to U+024F in two bytes; without 97 and B7, which also end the signs of multiplication and division.
+_LETTERS = np.zeros(256, bool)
+_LETTERS[[*range(65, 91), *range(97, 123), *range(0x80, 0x97), *range(0x98, 0xB7), *range(0xB8, 0xC0), *range(0xC3, 0xCA)]] = True
+_ASCII_WORD = np.zeros(256, bool)
+_ASCII_WORD[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
+#: ASCII punctuation without the apostrophe, which may open a piece of its own.
+_MARKS = np.zeros(256, bool)
+_MARKS[[c for c in range(33, 127) if not chr(c).isalnum() and c != 39]] = True
+#: Marks at a word's end that are looked at.
+_TAIL = 8
 
 
 class UnitEncoder:
-    """Encodes texts through a tokenizer, unit by unit: a word with the single blank or line end before it.
+    """Encodes texts through a tokenizer, unit by unit: a word with the single blank or line end before it, or the marks that end a word.
 
     A byte-level tokenizer cuts a text into pieces before it merges. A single space between two other characters always begins a piece,
-    and a single line end is one, so the ids of a text are those of its units, and each distinct unit is encoded once. Texts with
-    other blanks or several in a row are encoded whole.
+    a single line end is one, and so are marks between a letter or digit and a blank; so the ids of a text are those of its units, and
+    each distinct unit is encoded once. Units of letters alone go straight to the tokenizer's model, as one piece each. Texts with
+    other blanks or several in a row are encoded whole. Units are found by hash and compared byte by byte; a text with a unit that
+    only shares another's hash is encoded whole too. Beyond ``max_units`` what was learned is forgotten. With a tokenizer of another kind
+    all texts are encoded whole.
     """
 
-    def __init__(self, path: str, max_units: int = 300_000):
+    def __init__(self, path: str, max_units: int = 1_000_000):
         # a task has one core; threads of the library's own would each keep memory and spin
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, models, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.max_units = max_units
-        vocabulary = self.tokenizer.get_vocab()
-        space, line = (self.tokenizer.id_to_token(self.tokenizer.encode(c, add_special_tokens=False).ids[0]) for c in " \n")
-        self.opens = {c: np.zeros(max(vocabulary.values()) + 1, bool) for c in " \n"}
-        for token, k in vocabulary.items():
-            for c, sign in ((" ", space), ("\n", line)):
-                self.opens[c][k] = token.startswith(sign)
-        self._reset()
-
-    def _reset(self) -> None:
-        self.spaced, self.lined, self.plain = (_Units(self.tokenizer, c, self.opens.get(c)) for c in (" ", "\n", ""))
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids in one array, and the number of each text's."""
-        if sum(len(u.numbers) for u in (self.spaced, self.lined, self.plain)) > self.max_units:
-            self._reset()
-        kinds, numbers, counts, whole = [], [], [], []
-        spaced, lined, plain = (u.numbers.__getitem__ for u in (self.spaced, self.lined, self.plain))
-        for k, text in enumerate(texts):
-            words = text.split()
-            lines = text.split("\n")
-            spaces = [x.count(" ") for x in lines]
-            single = len(lines) - 1 + sum(spaces)
-            if not words or len(words) - 1 != single or len(text) - len("".join(words)) != single:
-                counts.append(0)
-                whole.append(k)
-                continue
-            own = np.zeros(len(words), np.int8)
-            first = np.cumsum([0, *(n + 1 for n in spaces[:-1])])
-            own[first], own[0] = 1, 2
-            at = 0
-            for n in spaces:  # the first word of a line is another unit than the rest
-                numbers.append((lined if at else plain)(words[at]))
-                numbers.extend(map(spaced, words[at + 1 : at + n + 1]))
-                at += n + 1
-            kinds.append(own)
-            counts.append(len(words))
-        ids, sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64)
-        if kinds:
-            kind, number = np.concatenate(kinds), np.array(numbers, np.int64)
-            flat, begin, sizes, base = [], np.zeros(len(kind), np.int64), np.zeros(len(kind), np.int64), 0
-            for c, units in enumerate((self.spaced, self.lined, self.plain)):
-                units.learn()
-                own = np.flatnonzero(kind == c)
-                begin[own] = base + units.begin[number[own]]
-                sizes[own] = units.begin[number[own] + 1] - units.begin[number[own]]
-                flat.append(units.flat)
-                base += len(units.flat)
-            ends = np.cumsum(sizes)
-            ids = np.concatenate(flat)[np.arange(int(ends[-1])) + np.repeat(begin - (ends - sizes), sizes)]
-        total = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum([0, *counts])]
-        n = np.diff(total)
+        plan = json.loads(self.tokenizer.to_str())
+        model, cut = {k: v for k, v in plan["model"].items() if v is not None}, plan["pre_tokenizer"] or {}
+        kind = model.pop("type")
+        self.by_unit = kind == "BPE" and plan["normalizer"] is None and cut.get("type") == "ByteLevel" and cut["use_regex"] and not cut["add_prefix_space"]
+        if self.by_unit:  # as each unit comes once, the library's own cache of words would only be searched in vain
+            self.tokenizer.model = models.BPE(**model | {"merges": [tuple(m) for m in model["merges"]]}, cache_capacity=0)
+            self.pieces = Tokenizer(self.tokenizer.model)
+            self.pieces.pre_tokenizer = pre_tokenizers.CharDelimiterSplit("\n")
+            signs = [self.tokenizer.pre_tokenizer.pre_tokenize_str(chr(c))[0][0] for c in range(128)]  # a byte's sign in the vocabulary
+            latin = {c: self.tokenizer.pre_tokenizer.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x250)}
+            self.signs = dict(enumerate(signs)) | {b: s for c, two in latin.items() for b, s in zip(chr(c).encode(), two, strict=True)}
+            del self.signs[10]
+            vocabulary = self.tokenizer.get_vocab()
+            self.opens = {c: np.zeros(max(vocabulary.values()) + 1, bool) for c in (32, 10)}
+            for token, k in vocabulary.items():
+                for c in (32, 10):
+                    self.opens[c][k] = token.startswith(signs[c])
+        self.forget()
+
+    def forget(self) -> None:
+        self.keys, self.number = np.zeros(0, np.uint64), np.zeros(0, np.int32)  # sorted hashes, and the units they stand for
+        self.units, self.unit_at = np.zeros(0, np.uint8), np.zeros(1, np.int64)
+        self.ids, self.ids_at = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _spaced_letters(self, words: list[bytes]) -> list[np.ndarray]:
+        runs = [words[k : k + 1000] for k in range(0, len(words), 1000)]
+        texts = [(b" " + b"\n ".join(r)).decode("latin-1").translate(self.signs) for r in runs]
+        return [np.array(e.ids, np.uint32) for e in self.pieces.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _unit_ids(self, separator: int, letters: bool, words: list[bytes]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Ids of units with one separator, and how many each has: many in one text, which falls apart where a token opens with the separator."""
+        step = 1000 if separator else 1
+        runs = [words[k : k + step] for k in range(0, len(words), step)]
+        sign, sizes = _SEPARATORS[separator], []
+        found = self._spaced_letters(words) if letters and separator == 32 else self._whole([(sign + sign.join(r)).decode() for r in runs])
+        for k, (run, ids) in enumerate(zip(runs, found, strict=True)):
+            at = np.flatnonzero(self.opens[separator][ids]) if separator else np.zeros(1, np.int64)
+            if len(at) != len(run) or (len(ids) and at[0]):  # never seen; one by one it is right in any case
+                own = self._whole([(sign + w).decode() for w in run])
+                found[k] = np.concatenate(own)
+                sizes.append(np.array([len(x) for x in own]))
+            else:
+                sizes.append(np.diff(np.append(at, len(ids))))
+        return found, sizes
+
+    def _learn(self, keys: np.ndarray, separators: np.ndarray, data: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> None:
+        first = np.cumsum(lens) - lens
+        letters = np.logical_and.reduceat(_LETTERS[data[np.repeat(starts - first, lens) + np.arange(int(lens.sum()))]], first)
+        kind = separators.astype(np.int64) * 2 + letters
+        order = np.argsort(kind, kind="stable")
+        keys, kind, starts, lens = keys[order], kind[order], starts[order], lens[order]
+        raw = data.tobytes()
+        words = [raw[a:b] for a, b in zip(starts.tolist(), (starts + lens).tolist(), strict=True)]
+        ids, sizes = [], []
+        edge = np.flatnonzero(np.diff(kind, prepend=-1, append=-1))
+        for i, j in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+            own = self._unit_ids(int(kind[i]) // 2, bool(kind[i] % 2), words[i:j])
+            ids += own[0]
+            sizes += own[1]
+        sorted_ = np.argsort(keys)
+        at = np.searchsorted(self.keys, keys[sorted_])
+        self.keys, self.number = np.insert(self.keys, at, keys[sorted_]), np.insert(self.number, at, sorted_ + len(self.number))
+        self.units = np.concatenate([self.units, np.frombuffer(b"".join(words), np.uint8)])
+        self.unit_at = np.concatenate([self.unit_at, self.unit_at[-1] + np.cumsum(lens)])
+        self.ids = np.concatenate([self.ids, *ids])
+        self.ids_at = np.concatenate([self.ids_at, self.ids_at[-1] + np.cumsum(np.concatenate(sizes))])
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in one array, and the number of each text's. Text k is the UTF-8 bytes from ``offsets[k]`` to ``offsets[k + 1]``."""
+        if len(self.keys) > self.max_units:
+            self.forget()
+        n_texts = len(offsets) - 1
+        single, n, ids = np.zeros(n_texts, bool), np.zeros(n_texts, np.int64), np.zeros(0, np.uint32)
+        if self.by_unit:
+            single, n, ids = self._by_unit(data, offsets)
+        whole = np.flatnonzero(~single & (np.diff(offsets) > 0)).tolist()
         if whole:
-            own = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast([texts[k] for k in whole], add_special_tokens=False)]
-            ids = np.insert(ids, np.repeat(total[whole], [len(x) for x in own]), np.concatenate(own))
-            n[whole] = [len(x) for x in own]
+            found = self._whole([data[offsets[k] : offsets[k + 1]].tobytes().decode() for k in whole])
+            begin = np.cumsum(n) - n
+            ids = np.insert(ids, np.repeat(begin[whole], [len(x) for x in found]), np.concatenate(found))
+            n[whole] = [len(x) for x in found]
         return ids, n
 
+    def _by_unit(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which texts are encoded by units, the number of each text's ids, and the ids."""
+        words = Words(data, offsets, hashed=False)
+        n_texts, n_words = len(offsets) - 1, np.diff(words.bounds)
+        text = np.repeat(np.arange(n_texts), n_words)
+        before = np.zeros(len(text), np.uint8)
+        inner = np.ones(len(text), bool)
+        inner[words.bounds[:-1][n_words > 0]] = False
+        before[inner] = data[words.starts[inner] - 1]
+        odd = inner & (before != 32) & (before != 10)
+        odd[1:] |= inner[1:] & (words.starts[1:] - words.ends[:-1] != 1)
+        single = n_words > 0
+        single[single] = (words.starts[words.bounds[:-1][single]] == offsets[:-1][single]) & (words.ends[words.bounds[1:][single] - 1] == offsets[1:][single])
+        single[text[odd]] = False
+        wide = _wide_blanks(data)
+        single[np.searchsorted(offsets, wide, side="right") - 1] = False
+
+        own = np.flatnonzero(single[text])
+        if not len(own):
+            return single, np.zeros(n_texts, np.int64), np.zeros(0, np.uint32)
+        text, start, end, before = text[own], words.starts[own], words.ends[own], before[own]
+        tail = np.zeros(len(own), np.int64)
+        open_ = np.flatnonzero(_MARKS[data[end - 1]])
+        while len(open_) and int(tail[open_[0]]) < _TAIL:
+            tail[open_] += 1
+            open_ = open_[end[open_] - tail[open_] > start[open_]]
+            open_ = open_[_MARKS[data[end[open_] - 1 - tail[open_]]]]
+        at = np.flatnonzero(tail)
+        last = data[np.maximum(end[at] - 1 - tail[at], start[at])]
+        lead = data[np.maximum(end[at] - 2 - tail[at], start[at])]
+        two = (last >= 0x80) & (last < 0xC0) & _LETTERS[last] & (lead >= 0xC3) & (lead < 0xCA)
+        cut = (end[at] - tail[at] > start[at]) & (_ASCII_WORD[last] | two)
+        at, tail = at[cut], tail[at[cut]]
+        more = at + 1  # the marks of a word stand after it
+        start, end = np.insert(start, more, end[at] - tail), np.insert(end, more, end[at])
+        text, before = np.insert(text, more, text[at]), np.insert(before, more, 0)
+        end[at + np.arange(len(at))] -= tail
+        size = end - start
+
+        with np.errstate(over="ignore"):
+            key = mix(span_hashes(data, start, size) + before.astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
+        key, first, which = np.unique(key, return_index=True, return_inverse=True)
+        place = np.searchsorted(self.keys, key)
+        new = np.flatnonzero(self.keys[np.minimum(place, len(self.keys) - 1)] != key) if len(self.keys) else np.arange(len(key))
+        if len(new):
+            of = first[new]
+            self._learn(key[new], before[of], data, start[of], size[of])
+            place = np.searchsorted(self.keys, key)
+        unit = self.number[place][which]
+        begin = self.unit_at[unit]
+        same = self.unit_at[unit + 1] - begin == size
+        # byte by byte; where the lengths differ the comparison may be of anything
+        lead = np.cumsum(size) - size
+        run = np.arange(int(size.sum()))
+        alike = data[np.repeat(start - lead, size) + run] == self.units[np.minimum(np.repeat(begin - lead, size) + run, len(self.units) - 1)]
+        same &= np.logical_and.reduceat(alike, lead)
+        if not same.all():
+            single[text[~same]] = False
+            unit, text = unit[single[text]], text[single[text]]
+        begin = self.ids_at[unit]
+        sizes = self.ids_at[unit + 1] - begin
+        ends = np.cumsum(sizes)
+        ids = self.ids[np.arange(int(sizes.sum())) + np.repeat(begin - (ends - sizes), sizes)]
+        return single, np.bincount(text, weights=sizes, minlength=n_texts).astype(np.int64), ids
+
+
+_encoders: dict[str, UnitEncoder] = {}  # of this worker process
+
+
+def encoder_of(path: str) -> UnitEncoder:
+    """The process's encoder, which tasks leave to those after them: a tokenizer, and units in arrays of some 50 MB at most."""
+    if path not in _encoders:
+        _encoders[path] = UnitEncoder(path)
+    return _encoders[path]
+
+
+SPREAD = np.uint64(0x9E3779B97F4A7C15)
+
 
 def re_pair(ids: np.ndarray, counts: np.ndarray, first: int, least: int = 6) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rules (pairs, the k-th makes symbol ``first + k``), symbols and symbols per document.
@@ -150,62 +248,63 @@ def re_pair(ids: np.ndarray, counts: np.ndarray, first: int, least: int = 6) ->
     Each round replaces the most frequent pairs, down to 1/64 of the first one's count, that do not compete for a symbol's place: none
     begins with a symbol that another ends with. Rounds end when no pair inside a document is found ``least`` times any more.
     """
-    n, counts = len(ids), np.asarray(counts, np.int64)
-    seq = np.append(ids, 0).astype(np.uint32)  # place n stands beyond every document
-    end, full = np.cumsum(counts), counts > 0
-    after, before = np.arange(1, n + 2, dtype=np.int32), np.arange(-1, n, dtype=np.int32)
-    after[end[full] - 1] = before[(end - counts)[full]] = after[n] = n
-    live = after < n  # places whose pair may be frequent; a pair once rare stays so, as new pairs have new symbols
-    gone = np.zeros(n, bool)
+    seq, counts = np.array(ids, np.uint32), np.asarray(counts, np.int64)
+    joined = np.ones(len(seq), bool)  # to the symbol after it, as one of the same document
+    joined[np.cumsum(counts)[counts > 0] - 1] = False
+    live = joined.copy()  # places whose pair may be frequent; a pair once rare stays so, as new pairs have new symbols
     rules: list[np.ndarray] = []
-    n_rules = 0
-    while len(at := np.flatnonzero(live).astype(np.int32)):
-        bits = min(22, len(at).bit_length())
-        code = seq[at].astype(np.uint64) << np.uint64(32) | seq[after[at]]
-        bucket = (code * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits)).astype(np.int32)
-        often = (np.bincount(bucket, minlength=1 << bits) >= least)[bucket]
-        del bucket
-        live[at[~often]] = False
-        at, code = at[often], code[often]
-        code.sort()
-        edge = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else np.zeros(0, np.int64)
+    n_rules = n_rounds = 0
+    while len(at := np.flatnonzero(live)):
+        code = seq[at].astype(np.uint64) << np.uint64(32) | seq[at + 1]
+        if n_rounds % 4 == 0:  # drop rare pairs by counts of their hashes; in every round that would cost more than it saves
+            bits = min(22, len(at).bit_length())
+            bucket = (code * SPREAD >> np.uint64(64 - bits)).astype(np.int32)
+            often = (np.bincount(bucket, minlength=1 << bits) >= least)[bucket]
+            live[at[~often]] = False
+            at, code = at[often], code[often]
+            del bucket, often
+        n_rounds += 1
+        ranked = np.sort(code)
+        edge = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]])) if len(code) else np.zeros(0, np.int64)
         found = np.diff(np.append(edge, len(code)))
         best = np.flatnonzero(found >= max(least, int(found.max(initial=0)) // 64))
         if not len(best):
             break
         best = best[np.argsort(-found[best], kind="stable")]
         lefts, rights, chosen = set(), set(), []
-        for c in code[edge[best]].tolist():
+        for c in ranked[edge[best]].tolist():
             a, b = c >> 32, c & 0xFFFFFFFF
             if a not in rights and b not in lefts and (a != b or a not in lefts and b not in rights):
                 lefts.add(a)
                 rights.add(b)
                 chosen.append(c)
-        del code, edge, found
+        del ranked, edge, found
         table = np.sort(np.array(chosen, np.uint64))
-        starts = np.zeros(first + n_rules + 1, bool)
-        starts[(table >> np.uint64(32)).astype(np.int64)] = True
-        where = at[starts[seq[at]]]
-        own = seq[where].astype(np.uint64) << np.uint64(32) | seq[after[where]]
+        marked = np.zeros(1 << 18, bool)
+        marked[table * SPREAD >> np.uint64(46)] = True
+        may = np.flatnonzero(marked[code * SPREAD >> np.uint64(46)])
+        where, own = at[may], code[may]
+        del at, code, may
         which = np.minimum(np.searchsorted(table, own), len(table) - 1)
         hit = table[which] == own
         where, which = where[hit], which[hit]
-        follows = np.concatenate([[False], after[where[:-1]] == where[1:]])  # runs of one symbol: every other place counts
+        follows = np.concatenate([[False], where[:-1] + 1 == where[1:]])  # runs of one symbol: every other place counts
         if follows.any():
             run = np.arange(len(where)) - np.maximum.accumulate(np.where(follows, 0, np.arange(len(where))))
             where, which = where[run % 2 == 0], which[run % 2 == 0]
-        right = after[where]
         seq[where] = (first + n_rules + which).astype(np.uint32)
-        gone[right], live[right] = True, False
-        after[where] = after[right]
-        before[after[where]] = where
-        live[where] = live[before[where]] = True
-        live[where[after[where] == n]] = live[n] = False
+        joined[where] = joined[where + 1]
+        for changed in (where, np.maximum(where - 1, 0)):
+            live[changed] = joined[changed]
+        stays = np.ones(len(seq), bool)
+        stays[where + 1] = False
+        seq, joined, live = seq[stays], joined[stays], live[stays]
         rules.append(table)
         n_rules += len(table)
     all_ = np.concatenate(rules) if rules else np.zeros(0, np.uint64)
-    lost = np.cumsum(np.append(0, gone), dtype=np.int64)[np.append(0, end)]
-    return np.column_stack([all_ >> np.uint64(32), all_ & np.uint64(0xFFFFFFFF)]).astype(np.uint32), seq[:n][~gone], counts - np.diff(lost)
+    symbols = np.zeros(len(counts), np.int64)
+    symbols[counts > 0] = np.diff(np.concatenate([[-1], np.flatnonzero(~joined)]))
+    return np.column_stack([all_ >> np.uint64(32), all_ & np.uint64(0xFFFFFFFF)]).astype(np.uint32), seq, symbols
 
 
 def expansion_lengths(rules: np.ndarray, first: int) -> np.ndarray:
@@ -221,7 +320,7 @@ def expansion_lengths(rules: np.ndarray, first: int) -> np.ndarray:
 
 
 def pack(ids: np.ndarray, counts: np.ndarray, first: int, **parameters) -> bytes:
-    """One block of whole documents. ``first``: the first nonterminal, above every id."""
+    """One shard of whole documents. ``first``: the first nonterminal, above every id."""
     first = max(first, int(ids.max(initial=0)) + 1)
     rules, seq, symbols = re_pair(ids, counts, first, **parameters)
     bits = max(16, (first + len(rules) - 1).bit_length())
@@ -231,12 +330,12 @@ def pack(ids: np.ndarray, counts: np.ndarray, first: int, **parameters) -> bytes
     return MAGIC + b"".join(p.tobytes() for p in parts)
 
 
-class Block:
-    """Reads a block; documents can be decoded alone, and any range of a document's tokens too."""
+class Shard:
+    """Reads a shard; documents can be decoded alone, and any range of a document's tokens too."""
 
     def __init__(self, data: bytes):
         if data[:4] != MAGIC:
-            raise ValueError("not a block of token ids")
+            raise ValueError("not a shard of token ids")
         self.first, n_rules, n_docs, n_symbols, bits, _ = np.frombuffer(data, "<u4", 6, 4).tolist()
         at = 28
         take = lambda n, kind: (np.frombuffer(data, kind, n, at), at + n * np.dtype(kind).itemsize)
@@ -278,59 +377,61 @@ class Block:
         return self.expand(own[a : b + 1])[skip : skip + stop - start]
 
 
-BLOCK_SCHEMA = "shard int, block int, first_doc long, last_doc long, n_docs long, n_tokens long, doc_ids array<long>, payload binary"
+SHARD_SCHEMA = "task int, shard int, first_doc long, last_doc long, n_docs long, n_tokens long, doc_ids array<long>, payload binary"
 
 
-def write_tokens(documents: DataFrame, path: str, tokenizer: str, end_id: int = 2, shard_mb: int = 24, block_tokens: int = 16_000_000, first: int = 50_257, **parameters) -> None:
+def write_tokens(documents: DataFrame, path: str, tokenizer: str, end_id: int = 2, task_mb: int = 24, max_tasks: int = 50_000, shard_tokens: int = 16_000_000, first: int = 50_257, **parameters) -> None:
     """Writes the ids of ``documents`` (doc_id, text; other columns are left out) in ascending doc_id order into folder ``path``.
 
     A null text is empty; each document ends with ``end_id``. Null ids come first; rows of one id follow each other in the order of a
-    hash of their texts, then of the texts. Rows are dealt by ranges of id and hash, so one repeated id does not fill one task. A
-    shard takes about ``shard_mb`` of text and has one grammar; where rows alike in id and hash make it longer than ``block_tokens``
-    tokens, each run of so many, or one longer document, is a block with its own.
+    hash of their texts, then of the texts. Rows are dealt by ranges of id and hash, so one repeated id does not fill one task. A task takes
+    about ``task_mb`` of text, more where that would make over ``max_tasks``. A shard ends at ``shard_tokens`` tokens, which bounds a
+    task's memory whatever it is dealt; a longer document is a shard alone.
     """
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("__tie", F.xxhash64("text"))
     total = docs.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0)).alias("b")).first()["b"]
-    shards = max(1, -(-total // (shard_mb << 20)))
+    tasks = min(max_tasks, max(1, -(-total // (task_mb << 20))))
     order = ["doc_id", "__tie", "text"]
-    dealt = docs.repartitionByRange(shards, "doc_id", "__tie").sortWithinPartitions(*order).drop("__tie")
-    dealt.mapInArrow(_packer(tokenizer, end_id, block_tokens, first, parameters), BLOCK_SCHEMA).write.parquet(path)
-
-
-_encoders: dict[str, UnitEncoder] = {}  # of this worker process: tasks that follow know the units of those before
+    dealt = docs.repartitionByRange(tasks, "doc_id", "__tie").sortWithinPartitions(*order).drop("__tie")
+    dealt.mapInArrow(_packer(tokenizer, end_id, shard_tokens, first, parameters), SHARD_SCHEMA).write.parquet(path)
 
 
-def _packer(tokenizer: str, end_id: int, block_tokens: int, first: int, parameters: dict):
+def _packer(tokenizer: str, end_id: int, shard_tokens: int, first: int, parameters: dict):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if tokenizer not in _encoders:
-            _encoders[tokenizer] = UnitEncoder(tokenizer)
-        encoder = _encoders[tokenizer]
-        shard, block = TaskContext.get().partitionId(), 0
+        encoder = encoder_of(tokenizer)
+        task, shard = TaskContext.get().partitionId(), 0
         ids: list[np.ndarray] = []
         counts: list[np.ndarray] = []
-        names: list[int | None] = []
+        names: list[pa.Array] = []
         held = 0
 
         def flush() -> pa.RecordBatch:
-            n, flat = np.concatenate(counts), np.concatenate(ids)
-            ids.clear()
-            known = [x for x in names if x is not None]
-            row = [[shard], [block], [known[0] if known else None], [known[-1] if known else None], [len(n)], [len(flat)], [names], [pack(flat, n, first, **parameters)]]
+            nonlocal shard, held
+            n, flat, own = np.concatenate(counts), np.concatenate(ids), pa.concat_arrays(names).cast(pa.int64())
+            for x in (ids, counts, names):
+                x.clear()
+            known = own.drop_null()
+            row = [[task], [shard], [known[0] if len(known) else None], [known[-1] if len(known) else None], [len(n)], [len(flat)], [own], [pack(flat, n, first, **parameters)]]
             kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
-            return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds, strict=True)], ["shard", "block", "first_doc", "last_doc", "n_docs", "n_tokens", "doc_ids", "payload"])
+            shard, held = shard + 1, 0
+            return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds, strict=True)], ["task", "shard", "first_doc", "last_doc", "n_docs", "n_tokens", "doc_ids", "payload"])
 
         for batch in batches:
-            for i in range(0, batch.num_rows, 200):
-                part = batch.slice(i, 200)
-                flat, n = encoder.encode(part.column("text").to_pylist())
-                ids.append(np.insert(flat, np.cumsum(n), np.uint32(end_id)))
-                counts.append(n + 1)
-                names += part.column("doc_id").to_pylist()
-                held += len(ids[-1])
-                if held >= block_tokens:
-                    yield flush()
-                    block += 1
-                    ids, counts, names, held = [], [], [], 0
+            for part, data, offsets in text_slices(batch, "text"):
+                flat, n = encoder.encode(data, offsets)
+                flat, n = np.insert(flat, np.cumsum(n), np.uint32(end_id)), n + 1
+                ends, i = np.cumsum(n), 0
+                while i < len(n):
+                    begin = ends[i] - n[i]
+                    j = int(np.searchsorted(ends, begin + shard_tokens - held, side="right"))
+                    if j <= i and held:
+                        yield flush()
+                        continue
+                    j = max(i + 1, j)
+                    ids.append(flat[begin : ends[j - 1]])
+                    counts.append(n[i:j])
+                    names.append(part.column("doc_id").slice(i, j - i))
+                    held, i = held + len(ids[-1]), j
         if names:
             yield flush()
 
@@ -340,37 +441,37 @@ def _packer(tokenizer: str, end_id: int, block_tokens: int, first: int, paramete
 def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
     """One row per document from the files: doc_id, start (tokens of all documents before it), n_tokens, ids_crc32, and ``ids`` on demand.
 
-    Starts come from the blocks' token counts: summed within shards, and over the shards' totals (one row per shard).
+    Starts come from the shards' token counts: summed within tasks, and over the tasks' totals (one row per task).
     """
-    blocks = spark.read.schema(BLOCK_SCHEMA).parquet(path)
-    sizes = blocks.select("shard", "block", "n_tokens")
-    shards = sizes.groupBy("shard").agg(F.sum("n_tokens").alias("n"))
-    before = shards.select("shard", (F.sum("n").over(Window.orderBy("shard")) - F.col("n")).alias("before"))
-    inside = sizes.withColumn("inside", F.sum("n_tokens").over(Window.partitionBy("shard").orderBy("block")) - F.col("n_tokens"))
-    starts = inside.join(before, "shard").select("shard", "block", (F.col("before") + F.col("inside")).alias("begin"))
-    schema = "shard int, block int, doc_id long, inside long, n_tokens long, ids_crc32 long" + (", ids array<long>" if with_ids else "")
-    docs = blocks.select("shard", "block", "doc_ids", "payload").mapInArrow(_reader(with_ids), schema)
-    return docs.join(starts, ["shard", "block"]).select("doc_id", (F.col("begin") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32", *(["ids"] if with_ids else []))
+    shards = spark.read.schema(SHARD_SCHEMA).parquet(path)
+    sizes = shards.select("task", "shard", "n_tokens")
+    tasks = sizes.groupBy("task").agg(F.sum("n_tokens").alias("n"))
+    before = tasks.select("task", (F.sum("n").over(Window.orderBy("task")) - F.col("n")).alias("before"))
+    inside = sizes.withColumn("inside", F.sum("n_tokens").over(Window.partitionBy("task").orderBy("shard")) - F.col("n_tokens"))
+    starts = inside.join(before, "task").select("task", "shard", (F.col("before") + F.col("inside")).alias("begin"))
+    schema = "task int, shard int, doc_id long, inside long, n_tokens long, ids_crc32 long" + (", ids array<long>" if with_ids else "")
+    docs = shards.select("task", "shard", "doc_ids", "payload").mapInArrow(_reader(with_ids), schema)
+    return docs.join(starts, ["task", "shard"]).select("doc_id", (F.col("begin") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32", *(["ids"] if with_ids else []))
 
 
 def _reader(with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                block = Block(batch.column("payload")[row].as_py())
-                ends = np.cumsum(block.tokens, dtype=np.int64)
+                shard = Shard(batch.column("payload")[row].as_py())
+                ends = np.cumsum(shard.tokens, dtype=np.int64)
                 i = 0
                 while i < len(ends):  # whole documents of a million tokens together
-                    begin = ends[i:] - block.tokens[i:]
+                    begin = ends[i:] - shard.tokens[i:]
                     j = max(i + 1, int(np.searchsorted(ends, begin[0] + 1_000_000, side="right")))
-                    begin, tokens = begin[: j - i], block.tokens[i:j].astype(np.int64)
-                    flat = block.expand(block.seq[block.bounds[i] : block.bounds[j]])
+                    begin, tokens = begin[: j - i], shard.tokens[i:j].astype(np.int64)
+                    flat = shard.expand(shard.seq[shard.bounds[i] : shard.bounds[j]])
                     places = list(zip((begin - begin[0]).tolist(), (begin - begin[0] + tokens).tolist(), strict=True))
                     raw = flat.astype("<u4").tobytes()
                     crc = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in places]
-                    columns = [pa.array([batch.column(c)[row].as_py()] * len(crc), pa.int32()) for c in ("shard", "block")]
+                    columns = [pa.array([batch.column(c)[row].as_py()] * len(crc), pa.int32()) for c in ("task", "shard")]
                     columns += [batch.column("doc_ids")[row].values.slice(i, j - i), pa.array(begin), pa.array(tokens), pa.array(crc, pa.int64())]
-                    names = ["shard", "block", "doc_id", "inside", "n_tokens", "ids_crc32"]
+                    names = ["task", "shard", "doc_id", "inside", "n_tokens", "ids_crc32"]
                     if with_ids:
                         columns.append(pa.array([flat[a:b].astype(np.int64) for a, b in places], pa.list_(pa.int64())))
                         names.append("ids")

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -11,7 +13,7 @@ import numpy as np
 import pytest
 
 from graphloom.llm import decontam, fm_index, imatch, minhash_forest, substring_dedup, token_output, toxicity
-from graphloom.llm.common import Words, new_path
+from graphloom.llm.common import PUNCTUATION, Words, new_path
 
 RNG = random.Random(5)
 VOCABULARY = [f"w{i}" for i in range(300)] + ["É", "ß", "Foo,", "ends."]
@@ -212,6 +214,65 @@ def test_fingerprints(documents, rows):
     assert imatch.edited_fingerprints(one).first()["near_next"] == 1.0
 
 
+def _plain_imatch(texts, p):
+    """Fingerprints and likeness term by term; only the hash of a single word is the library's."""
+    mask = 2**64 - 1
+    one = lambda x: int(imatch.mix(np.array([x & mask], np.uint64))[0])
+    break_ = "".join(c for c in map(chr, range(128)) if PUNCTUATION[ord(c)])
+    terms = [{w for w in t.translate(str.maketrans(break_, " " * len(break_))).split(" ") if w} for t in texts]
+    lower = lambda w: "".join(c.lower() if c.isascii() else c for c in w)
+    terms = [{lower(w) for w in own} for own in terms]
+    hashes = {w: int(Words(np.frombuffer(w.encode(), np.uint8), np.array([0, len(w.encode())])).hashes[0]) for own in terms for w in own}
+    return terms, hashes, one, mask
+
+
+def test_fingerprints_against_plain_python(spark, documents, rows):
+    p = imatch.IMatch(idf=(0.2, 3.0), chunk_docs=7)
+    order = sorted(((i, t or "") for i, t in rows if i is not None), key=lambda r: -r[0])
+    order = [r for k, r in enumerate(order) if k == 0 or r[0] != order[k - 1][0]]
+    docs = spark.createDataFrame(order, "doc_id long, text string")
+    terms, hashes, one, mask = _plain_imatch([t for _, t in order], p)
+    df = Counter(w for own in terms for w in own)
+    lex = {w for w, n in df.items() if len(order) * np.exp(-p.idf[1]) <= n <= len(order) * np.exp(-p.idf[0])}
+    assert {int(x) for x in imatch.lexicon(docs, p)} == {hashes[w] for w in lex} and len(lex) > 10
+
+    def made(text):
+        (own,), more, _, _ = _plain_imatch([text], p)
+        values = {**hashes, **more}
+        out = []
+        for s in range(p.subsets):
+            chosen = [one(values[w] + 7919 * (s + 1)) for w in own & lex]
+            for rate in p.rates:
+                chosen = [x for x in chosen if x < int(rate * 2**64)]
+                out.append(max(1, one_sum(chosen)) if chosen else 0)
+        return out, own
+
+    def one_sum(chosen):
+        return one(sum(one(x) for x in chosen)) >> 48
+
+    def alike(a, b):
+        (x, own), (y, other) = a, b
+        n = len(p.rates)
+        agree = used = 0
+        for s in range(p.subsets):
+            at = [k for k in range(n) if x[s * n + k] or y[s * n + k]]
+            if at:
+                used += 1
+                agree += x[s * n + at[-1]] == y[s * n + at[-1]]
+        return agree / used if used else float(own == other)
+
+    got = {r["doc_id"]: r for r in imatch.edited_fingerprints(docs, p).collect()}
+    for k, (i, text) in enumerate(order):
+        after = order[(k + 1) % len(order)][1]
+        edited = text[: len(text) - len(text) // 3] + after[: len(text) // 3]
+        a, b, c = made(text), made(edited), made(after)
+        r = got[i]
+        assert [int(r["fingerprint"][j : j + 4], 16) for j in range(0, 4 * len(a[0]), 4)] == a[0]
+        assert [int(r["edited_fingerprint"][j : j + 4], 16) for j in range(0, 4 * len(b[0]), 4)] == b[0]
+        assert r["near_edited"] == pytest.approx(alike(a, b)) and r["near_next"] == pytest.approx(alike(a, c))
+    assert len({r["fingerprint"] for r in got.values()}) > len(order) // 3
+
+
 def test_lexicon_paths_agree(documents):
     few = imatch.IMatch(idf=(0.2, 3.0), chunk_docs=4)
     all_ = imatch.IMatch(idf=(0.2, 3.0), chunk_docs=4, broadcast_terms=0)
@@ -227,11 +288,13 @@ def test_tokens(spark, documents, rows):
     odd = [(900, "two  blanks \n line"), (901, " lead"), (902, "trail "), (903, "a<|endoftext|>b it's"), (904, "tab\tand nbsp 　x")]
     docs = documents.select("doc_id", "text").unionByName(spark.createDataFrame(odd, "doc_id long, text string"))
     at = new_path(spark, "tokens-test")
-    token_output.write_tokens(docs, at, path, block_tokens=500)
+    token_output.write_tokens(docs, at, path, shard_tokens=500, task_mb=1)
     got = token_output.read_tokens(spark, at, with_ids=True).orderBy("start").collect()
     encode = Tokenizer.from_file(path).encode
     want = Counter((i, tuple(encode(t or "", add_special_tokens=False).ids) + (2,)) for i, t in rows + odd)
     assert Counter((r["doc_id"], tuple(r["ids"])) for r in got) == want
+    sizes = spark.read.parquet(at).select("n_docs", "n_tokens").collect()
+    assert len(sizes) > 5 and all(r["n_tokens"] <= 500 or r["n_docs"] == 1 for r in sizes)
     start, last = 0, -1
     for r in got:
         assert r["start"] == start and r["n_tokens"] == len(r["ids"]) and (r["doc_id"] if r["doc_id"] is not None else -1) >= last
@@ -242,34 +305,34 @@ def test_tokens(spark, documents, rows):
     assert token_output.read_tokens(spark, empty).collect() == []
 
 
-def test_blocks():
+def test_shards():
     rng = np.random.default_rng(4)
     for counts in ([0], [1], [5, 0, 7], [400, 3, 900], [2000]):
         ids = rng.integers(0, 12, sum(counts)).astype(np.uint32)
         ids[: len(ids) // 3] = 7  # runs of one symbol
-        block = token_output.Block(token_output.pack(ids, np.array(counts), 12))
-        assert (block.expand(block.seq) == ids).all() and block.tokens.tolist() == counts
+        shard = token_output.Shard(token_output.pack(ids, np.array(counts), 12))
+        assert (shard.expand(shard.seq) == ids).all() and shard.tokens.tolist() == counts
         begin = np.cumsum([0, *counts])
         for k, n in enumerate(counts):
-            assert (block.document(k) == ids[begin[k] : begin[k + 1]]).all()
+            assert (shard.document(k) == ids[begin[k] : begin[k + 1]]).all()
             if n > 3:
-                assert (block.slice(k, 1, n - 1) == ids[begin[k] + 1 : begin[k + 1] - 1]).all()
-    assert len(block.rules) > 0 and (block.lengths[12:] >= 2).all()
+                assert (shard.slice(k, 1, n - 1) == ids[begin[k] + 1 : begin[k + 1] - 1]).all()
+    assert len(shard.rules) > 0 and (shard.lengths[12:] >= 2).all()
 
 
-def test_blocks_leave_no_frequent_pair():
+def test_shards_leave_no_frequent_pair():
     rng = np.random.default_rng(6)
     copies = np.tile(rng.integers(0, 40_000, 5000), 8)  # an expansion of 5000 ids takes more than a few rounds
     many = np.tile(rng.integers(0, 50_000, 50_000), 8)  # more rules than 16-bit symbols have room for
     for ids, counts in ((copies, [5000] * 8), (many, [50] * 8000), (np.full(10_001, 3), [10_000, 1]), (rng.integers(0, 3, 5000), [5000])):
         ids = ids.astype(np.uint32)
         data = token_output.pack(ids, np.array(counts), 50_257)
-        block = token_output.Block(data)
-        assert (block.expand(block.seq) == ids).all() and block.symbols.sum() == len(block.seq)
-        doc = np.repeat(np.arange(len(counts)), block.symbols)
-        pairs = Counter((a, b) for a, b, x, y in zip(block.seq[:-1].tolist(), block.seq[1:].tolist(), doc[:-1], doc[1:], strict=True) if x == y)
+        shard = token_output.Shard(data)
+        assert (shard.expand(shard.seq) == ids).all() and shard.symbols.sum() == len(shard.seq)
+        doc = np.repeat(np.arange(len(counts)), shard.symbols)
+        pairs = Counter((a, b) for a, b, x, y in zip(shard.seq[:-1].tolist(), shard.seq[1:].tolist(), doc[:-1], doc[1:], strict=True) if x == y)
         assert max(pairs.values(), default=0) < 6
-    assert len(token_output.Block(token_output.pack(copies.astype(np.uint32), np.array([5000] * 8), 50_257)).seq) == 8
+    assert len(token_output.Shard(token_output.pack(copies.astype(np.uint32), np.array([5000] * 8), 50_257)).seq) == 8
 
 
 def test_one_grammar_for_a_shard(spark):
@@ -278,10 +341,23 @@ def test_one_grammar_for_a_shard(spark):
     rng = random.Random(11)
     docs = spark.createDataFrame([(i, prose(600, rng)) for i in range(900)], "doc_id long, text string")
     token_output.write_tokens(docs, at, public.path("byte_bpe_50k.json"))
-    blocks = spark.read.parquet(at).collect()
-    assert len(blocks) == 1 and blocks[0]["n_tokens"] > 1_000_000
+    shards = spark.read.parquet(at).collect()
+    assert len(shards) == 1 and shards[0]["n_tokens"] > 1_000_000
+    assert len(shards[0]["payload"]) < 0.75 * 2 * shards[0]["n_tokens"]  # of two bytes a token
     got = token_output.read_tokens(spark, at).orderBy("start").collect()
-    assert [r["doc_id"] for r in got] == list(range(900)) and sum(r["n_tokens"] for r in got) == blocks[0]["n_tokens"]
+    assert [r["doc_id"] for r in got] == list(range(900)) and sum(r["n_tokens"] for r in got) == shards[0]["n_tokens"]
+
+
+def test_units_that_share_a_hash_are_encoded_whole(monkeypatch):
+    public = pytest.importorskip("public_tokenizers")
+    path = public.path("byte_bpe_50k.json")
+    encoder = token_output.UnitEncoder(path, max_units=3)
+    monkeypatch.setattr(token_output, "mix", lambda x: x % np.uint64(5))
+    texts = ["ab cd ef\ngh", "", " ", "gh ab", "x\u00a0y z", "one two three four five six seven", "été über niño", "cd\n\nab", "z"]
+    for _ in range(2):
+        raw = [t.encode() for t in texts]
+        ids, n = encoder.encode(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+        assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 def test_toxicity(spark):
@@ -313,10 +389,102 @@ def test_toxicity(spark):
 
 
 def test_clause_states():
-    model = toxicity.ToxicityModel({"zork$": 2.0})
-    names = dict(zip(toxicity.FEATURES, range(len(toxicity.FEATURES)), strict=True))
-    f = lambda t: model.features(t)
-    assert f("a zork b")[names["affirmed"]] == 2 and f("not a zork")[names["negated"]] == 2
-    assert f("not so, a zork")[names["affirmed"]] == 2
-    assert f("she said zork")[names["reported"]] == 2 and f("you zork")[names["aimed"]] == 2 and f("zork is what you are")[names["aimed"]] == 2
-    assert f("I will kill")[names["threats"]] == 1 and f("nice words")[names["affirmed"]] == 0
+    model = toxicity.ToxicityModel({"zork$": 2.0, "grum": 3.0})
+    f = lambda t: dict(zip(toxicity.FEATURES, model.features(t), strict=True))
+    assert f("a zork b")["affirmed"] == 2 and f("not a zork")["negated"] == 2 and f("zorks")["total"] == 0
+    assert f("not so, a zork")["affirmed"] == 2 and f("kein Grumpf")["negated"] == 3
+    assert f("she said zork")["reported"] == 2 and f("il dit grum")["reported"] == 3 and f("she said not zork")["reported"] == 2
+    assert f("you zork")["aimed"] == 1 and f("zork is what you are")["aimed"] == 1 and f("zork in some other way you")["aimed"] == 0
+    assert f("I will kill")["threats"] == 1 and f("nice words")["affirmed"] == 0
+    assert f("you zork")["total"] == 2 * toxicity.AIMED and f("not you zork")["total"] == 2 * toxicity.AIMED * toxicity.NEGATED
+    assert f("zork. zork zork. zork")["worst"] == 4 and f("zork. zork zork. zork")["total"] == 8
+
+
+def _clause_by_hand(kinds):
+    """What the grammar makes of a clause's classes, told from the positions alone: (output, weight) of each."""
+    out, waits = [], None
+    for i, x in enumerate(kinds):
+        near = lambda name, i=i: any(k == name for k in kinds[max(0, i - toxicity.REACH) : i])
+        if x in ("insult", "threat"):
+            mark, weight = "", 1.0
+            if near("negation"):
+                mark, weight = "-", toxicity.NEGATED
+            if "reported" in kinds[:i]:
+                mark, weight = "~", weight * toxicity.QUOTED
+            if near("target"):
+                mark, weight, waits = mark + "@", weight * toxicity.AIMED, None
+            else:
+                waits = i
+            out.append((x + mark, weight))
+        elif x == "target":
+            aimed = waits is not None and i - waits <= toxicity.REACH
+            out.append(("target@" if aimed else "target", 1.0))
+            waits = None
+        else:
+            out.append((x, 1.0))
+    return out
+
+
+def test_grammar_is_its_parts_and_its_meaning():
+    parts = toxicity.negation(), toxicity.reported(), toxicity.aim()
+    for n in range(1, 6):
+        for kinds in itertools.product(toxicity.CLASSES, repeat=n):
+            want = _clause_by_hand(kinds)
+            assert toxicity.GRAMMAR.run(kinds) == want
+    rng = random.Random(5)
+    for _ in range(500):  # one after the other gives what the composition gives
+        kinds = rng.choices(toxicity.CLASSES, k=20)
+        symbols, weights = kinds, [1.0] * 20
+        for t in parts:
+            steps = t.run(symbols)
+            symbols, weights = [y for y, _ in steps], [w * v for w, (_, v) in zip(weights, steps, strict=True)]
+        assert toxicity.GRAMMAR.run(kinds) == list(zip(symbols, weights, strict=True)) == _clause_by_hand(kinds)
+
+
+def test_composition_against_all_paths():
+    rng = random.Random(6)
+    for _ in range(30):
+        machine = lambda inputs, outputs: toxicity.Transducer({(p, x): (rng.randrange(3), rng.choice(outputs), rng.choice([0.5, 1.0, 2.0])) for p in range(3) for x in inputs if rng.random() < 0.8})
+        a, b = machine("xy", "uv"), machine("uv", "st")
+        both = toxicity.compose(a, b)
+        for n in range(5):
+            for word in itertools.product("xy", repeat=n):
+                try:
+                    first = a.run(word)
+                    second = b.run([y for y, _ in first])
+                    want = [(z, w * v) for (_, w), (z, v) in zip(first, second, strict=True)]
+                except KeyError:
+                    want = None
+                try:
+                    got = both.run(word)
+                except KeyError:
+                    got = None
+                assert got == want
+
+
+def test_word_transducer():
+    rng = random.Random(7)
+    words = ["".join(rng.choices("abß", k=rng.randint(1, 9))) for _ in range(400)]
+    lexicon = {rng.choice(toxicity.stems(w)): rng.random() for w in words[:60]}
+    read = toxicity.WordTransducer(lexicon).read
+    for w in words:
+        best = max((lexicon.get(x, 0.0) for x in toxicity.stems(w) + [w[:k] for k in toxicity.STEM_LENGTHS if len(w) == k]), default=0.0)
+        assert read(w) == ((0, best) if best else (toxicity.CLASSES.index("other"), 0.0))
+    for name, languages in (("target", toxicity.TARGET), ("negation", toxicity.NEGATION), ("reported", toxicity.REPORTED), ("threat", toxicity.THREAT)):
+        assert set(languages) == {"en", "de", "fr", "es"}
+        assert all(toxicity.WordTransducer({}).read(w)[0] == toxicity.CLASSES.index(name) for v in languages.values() for w in v.split() if w not in ("no", "ni", "te", "ton", "sie"))
+
+
+def test_specific_stems():
+    toxic = {"zork$": 10, "zor": 10, "grumpfel$": 5, "grumpfing$": 6, "grump": 11, "grumpf": 11, "gru": 11}
+    assert toxicity.specific(dict.fromkeys(toxic, 1.0), toxic) == {"zork$": 1.0, "grumpfel$": 1.0, "grumpfing$": 1.0, "grumpf": 1.0}
+
+
+def test_many_null_ids_end_soon(spark):
+    rng = random.Random(12)
+    docs = spark.createDataFrame([(None, prose(60, rng)) for _ in range(5000)], "doc_id long, text string")
+    begin = time.monotonic()
+    assert substring_dedup.remove_repeats(docs).agg({"n_removed": "sum"}).first()[0] == 0
+    near = minhash_forest.near_duplicates(docs)
+    assert near.filter("component_id is null and doc_id is null").count() == 5000
+    assert time.monotonic() - begin < 90
