@@ -380,7 +380,7 @@ class Shard:
 SHARD_SCHEMA = "task int, shard int, first_doc long, last_doc long, n_docs long, n_tokens long, doc_ids array<long>, payload binary"
 
 
-def write_tokens(documents: DataFrame, path: str, tokenizer: str, end_id: int = 2, task_mb: int = 24, max_tasks: int = 50_000, shard_tokens: int = 16_000_000, first: int = 50_257, **parameters) -> None:
+def write_tokens(documents: DataFrame, path: str, tokenizer: str, end_id: int = 2, task_mb: int = 12, max_tasks: int = 50_000, shard_tokens: int = 6_000_000, first: int = 50_257, **parameters) -> None:
     """Writes the ids of ``documents`` (doc_id, text; other columns are left out) in ascending doc_id order into folder ``path``.
 
     A null text is empty; each document ends with ``end_id``. Null ids come first; rows of one id follow each other in the order of a
