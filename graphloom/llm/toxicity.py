@@ -22,7 +22,16 @@ from pyspark.sql import functions as F
 
 from graphloom.llm.common import release, releasing, written
 
-#: Words of the closed classes by language. There is no list of insults: these are learned.
+#: Plain insults by language that the lexicon starts from, for where few rows are labelled; labelled rows confirm, outweigh or drop them.
+INSULTS = {
+    "en": "idiot moron fool imbecile stupid dumb loser clown jerk creep scum trash filth vermin pathetic worthless useless disgusting despicable",
+    "de": "idiot trottel depp dummkopf blödmann versager abschaum dreckskerl widerlich wertlos erbärmlich",
+    "fr": "idiot idiote imbécile crétin abruti connard ordure minable pathétique dégoûtant",
+    "es": "idiota imbécil estúpido estúpida tonto basura escoria payaso patético asqueroso inútil",
+}
+#: The weight of an insult that labelled rows say nothing about.
+PRIOR = 4.0
+#: Words of the closed classes by language.
 TARGET = {
     "en": "you your yours yourself yourselves u ur he him his she her hers they them their theirs",
     "de": "du dich dir dein deine deiner deinem deinen ihr euch euer eure sie ihn ihm ihnen er",
@@ -319,7 +328,7 @@ def train(documents: DataFrame, labels: DataFrame, max_rows: int = 30_000, max_c
 
     A stem enters the lexicon if toxic documents hold it more often than chance explains (binomial tail against the share of toxic
     documents, at level ``alpha`` over all candidate stems) and most that hold it (``purity``) are toxic. Its weight is the log odds. Null labels, ids and texts teach nothing;
-    several labels of one id count as toxic if one is. Without toxic or without clean rows the lexicon is empty: only threats match.
+    several labels of one id count as toxic if one is. Without toxic or without clean rows the lexicon is the fixed insults alone.
     """
     spark = documents.sparkSession
     known = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (bucket(F.col("doc_id")) != 2)).groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
@@ -333,12 +342,13 @@ def train(documents: DataFrame, labels: DataFrame, max_rows: int = 30_000, max_c
         size = rows.agg(F.sum("toxic").alias("t"), F.count(F.lit(1)).alias("n")).first()
     n_toxic, n_all = size["t"] or 0, size["n"]
     n_clean = n_all - n_toxic
+    fixed = [w + "$" for words in INSULTS.values() for w in words.split()]
     if not n_toxic or not n_clean:
-        return ToxicityModel({})
+        return ToxicityModel(dict.fromkeys(fixed, PRIOR))
     counts = lambda toxic, wanted: rows.filter(F.col("toxic") == toxic).select("text").mapInArrow(_stem_counts(wanted), "stem string, n long").groupBy("stem").agg(F.sum("n").alias("n"))
     least = max(3, n_toxic // 500)
     toxic = {r["stem"]: r["n"] for r in counts(1, None).filter(F.col("n") >= least).collect()}
-    clean = {r["stem"]: r["n"] for r in counts(0, frozenset(toxic)).collect()}
+    clean = {r["stem"]: r["n"] for r in counts(0, frozenset([*toxic, *fixed])).collect()}
     base = n_toxic / n_all
     lexicon: dict[str, float] = {}
     for s, t in toxic.items():
@@ -348,7 +358,9 @@ def train(documents: DataFrame, labels: DataFrame, max_rows: int = 30_000, max_c
             tail = t * np.log(q / base) + (c * np.log((1 - q) / (1 - base)) if c else 0.0)
             if tail > np.log(len(toxic) / alpha):
                 lexicon[s] = float(np.log((t + 0.5) / (n_toxic + 1)) - np.log((c + 0.5) / (n_clean + 1)))
-    lexicon = specific(lexicon, toxic)
+    # a fixed insult stays while the labelled rows that hold it are toxic no less often than others
+    kept = {s: PRIOR for s in fixed if clean.get(s, 0) * base <= toxic.get(s, 0) * (1 - base) + 1}
+    lexicon = kept | specific(lexicon, toxic)
     model = ToxicityModel(lexicon)
     shared = spark.sparkContext.broadcast(lexicon)
     found = rows.select("text", "toxic").mapInArrow(_features(shared), f"toxic int, {', '.join(f'{f} double' for f in FEATURES)}").toPandas()
