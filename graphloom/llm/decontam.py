@@ -9,11 +9,11 @@ sentences were moved is covered as well as one that was copied whole.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -129,25 +129,121 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, threshold: float =
     """Pairs doc_id, item_id, coverage, n_tiles, n_words, one for each row of ``documents`` and item with coverage >= ``threshold``.
 
     Words are runs without blanks and ASCII punctuation, A-Z lower-cased; ``k`` words are a seed and the shortest tile. Null and
-    empty texts and items of fewer than ``k`` words are in no pair. Repeated rows give repeated pairs. Documents are not shuffled:
-    the benchmark goes to them in blocks of at most ``block_mb`` of text (one larger item is a block), each by one broadcast
-    and one pass, so a large benchmark takes more passes and not more memory.
+    empty texts and items of fewer than ``k`` words are in no pair. Repeated rows give repeated pairs. A benchmark of at most
+    ``block_mb`` of text is broadcast to the documents, which are not shuffled; a larger one meets them in a join on seeds, and what
+    is broadcast is a bit set of at most ``block_mb``. Both ways give the same pairs.
     """
     spark = documents.sparkSession
     items = benchmark.filter(F.col("text").isNotNull()).select("item_id", "text")
-    sized = items.withColumn("bytes", F.octet_length("text").cast("long"))
-    total = sized.agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("b")).first()["b"]
-    limit = max(1, int(block_mb * 2**20))
-    n_blocks = -(-2 * total // limit) if total > limit else 1
-    schema = T.StructType([documents.schema["doc_id"], benchmark.schema["item_id"], *(T.StructField(n, t) for n, t in (("coverage", T.DoubleType()), ("n_tiles", T.LongType()), ("n_words", T.LongType())))])
-    if n_blocks > 1:
-        items = written(items.withColumn("__block", F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)).cast("int")), "benchmark", "__block")
-    found = []
-    for block in range(n_blocks):
-        own = items.filter(F.col("__block") == block) if n_blocks > 1 else items
-        rows = sorted(((r["item_id"], r["text"]) for r in own.select("item_id", "text").collect()), key=lambda r: (r[0] is None, r))
-        found.append(documents.select("doc_id", "text").mapInArrow(_judge(spark.sparkContext.broadcast((rows, k)), threshold), schema))
-    return reduce(DataFrame.unionByName, found)
+    total = items.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0)).alias("b")).first()["b"]
+    measures = [T.StructField(n, t) for n, t in (("coverage", T.DoubleType()), ("n_tiles", T.LongType()), ("n_words", T.LongType()))]
+    if total > int(block_mb * 2**20):
+        return _seed_joined(documents.select("doc_id", "text"), items, T.StructType(measures), threshold, k, block_mb)
+    rows = sorted(((r["item_id"], r["text"]) for r in items.collect()), key=lambda r: (r[0] is None, r))
+    schema = T.StructType([documents.schema["doc_id"], benchmark.schema["item_id"], *measures])
+    return documents.select("doc_id", "text").mapInArrow(_judge(spark.sparkContext.broadcast((rows, k)), threshold), schema)
+
+
+_BIT_SEGMENT = 1 << 20  # bits that one task packs
+
+
+def _text_grams(k: int, bits=None):
+    """Distinct grams of each text by its digest ``__text``, with their places counted (n) and the text's words (words). With ``bits``, a
+    broadcast bit set by the grams' low bits, only those whose bit is set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = np.frombuffer(bits.value, np.uint8) if bits is not None else None
+        for batch in batches:
+            for rows, data, offsets in text_slices(batch, "text"):
+                words = Words(data, offsets, lower=True, breaks=PUNCTUATION)
+                grams, b = words.grams(k), words.bounds
+                owner = np.repeat(np.arange(len(b) - 1), np.diff(b))[: len(grams)]
+                inside = np.arange(len(grams)) + k <= b[owner + 1]
+                if known is not None:
+                    low = grams & np.uint64(8 * len(known) - 1)
+                    inside &= (known[low >> np.uint64(3)] >> (low & np.uint64(7)).astype(np.uint8)) & 1 == 1
+                grams, owner = grams[inside], owner[inside]
+                order = np.lexsort((grams, owner))
+                grams, owner = grams[order], owner[order]
+                first = np.flatnonzero(np.concatenate([[True], (grams[1:] != grams[:-1]) | (owner[1:] != owner[:-1])])) if len(grams) else np.zeros(0, np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column("__text").take(pa.array(owner[first])), pa.array(grams[first].view(np.int64)), pa.array(np.diff(np.append(first, len(grams)))), pa.array(np.diff(b)[owner[first]])],
+                    ["__text", "gram", "n", "words"],
+                )
+
+    return run
+
+
+def _bit_set(seeds: DataFrame, block_mb: float) -> bytes:
+    """Bits of the low bits of ``seeds`` (gram), about 16 for each seed and ``block_mb`` in all at most; packed by tasks in equal segments."""
+    n = seeds.count()
+    limit = max(_BIT_SEGMENT, int(block_mb * 2**23))
+    size = _BIT_SEGMENT
+    while size < 16 * n and 2 * size <= limit:
+        size *= 2
+    low = F.col("gram").bitwiseAND(F.lit(size - 1))
+    places = seeds.select(F.floor(low / _BIT_SEGMENT).alias("segment"), (low % _BIT_SEGMENT).cast("int").alias("at")).distinct()
+
+    def pack(key: tuple, own: pd.DataFrame) -> pd.DataFrame:
+        held = np.zeros(_BIT_SEGMENT, np.uint8)
+        held[own["at"].to_numpy()] = 1
+        return pd.DataFrame({"segment": [key[0]], "bits": [np.packbits(held, bitorder="little").tobytes()]})
+
+    out = bytearray(size // 8)
+    for r in places.groupBy("segment").applyInPandas(pack, "segment long, bits binary").collect():
+        out[r["segment"] * _BIT_SEGMENT // 8 : (r["segment"] + 1) * _BIT_SEGMENT // 8] = r["bits"]
+    return bytes(out)
+
+
+def _seed_joined(documents: DataFrame, items: DataFrame, measures: T.StructType, threshold: float, k: int, block_mb: float) -> DataFrame:
+    """contaminated() for a benchmark of any size, by digests of texts.
+
+    An item's seeds meet those of the texts in a join, where a bit set of all seeds has kept out most words of the corpus. A covered
+    item shares at least m of its seed places, as a place covers k words; so the floor((m - 1) / 2) places whose seeds are in most texts are
+    left out of the join, and of the pairs only those with m less these in common have their texts compared.
+    """
+    spark = documents.sparkSession
+    digest = F.sha2("text", 256)
+    docs, keyed = documents.withColumn("__text", digest), items.withColumn("__item", digest)
+    grams = "__text string, gram long, n long, words long"
+    item_texts = written(keyed.groupBy(F.col("__item").alias("__text")).agg(F.first("text").alias("text")), "items")
+    item_grams = written(item_texts.mapInArrow(_text_grams(k), grams), "item-grams")
+    bits = spark.sparkContext.broadcast(_bit_set(item_grams.select("gram").distinct(), block_mb))
+    hits = written(docs.filter("text is not null").select("__text", "text").mapInArrow(_text_grams(k, bits), grams).select("__text", "gram").distinct(), "seed-hits")
+    bits.destroy()
+
+    spread = item_grams.join(hits.groupBy("gram").agg(F.count(F.lit(1)).alias("texts")), "gram")
+    by_item = Window.partitionBy("__text").orderBy(F.desc("texts"), "gram").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    least = F.greatest(F.lit(1), F.ceil(F.col("words") * F.lit(threshold / k) - F.lit(1e-9)))
+    ranked = spread.withColumns({"least": least, "upto": F.sum("n").over(by_item)}).withColumn("spare", F.floor((F.col("least") - 1) / 2))
+    # a seed goes whole or stays whole, so at most ``spare`` places go
+    kept = ranked.filter("upto > spare").select(F.col("__text").alias("__item"), "gram", "n", (F.col("least") - F.col("spare")).alias("needed"))
+    shared = hits.join(kept, "gram").groupBy("__text", "__item").agg(F.sum("n").alias("n"), F.first("needed").alias("needed"))
+    pairs = written(shared.filter("n >= needed").select("__text", "__item"), "seed-pairs")
+
+    texts = docs.select("__text", "text").join(pairs.select("__text").distinct(), "__text", "left_semi").groupBy("__text").agg(F.first("text").alias("text"))
+    both = pairs.join(item_texts.select(F.col("__text").alias("__item"), F.col("text").alias("item")), "__item").join(texts, "__text")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for row, (item, text) in enumerate(zip(batch.column("item"), batch.column("text"), strict=True)):
+                bench, data = Benchmark([(row, item.as_py())], k), np.frombuffer(text.as_py().encode("utf-8", "surrogatepass"), np.uint8)
+                words = Words(data, np.array([0, len(data)]), lower=True, breaks=PUNCTUATION)
+                gram = words.grams(k)
+                at = np.flatnonzero(np.isin(gram, bench.seeds))
+                out += bench.judge(words.hashes, at, gram[at], threshold)
+            if out:
+                row, *found = zip(*out, strict=True)
+                at = pa.array(row)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("__text").take(at), batch.column("__item").take(at), *(pa.array(c, t) for c, t in zip(found, (pa.float64(), pa.int64(), pa.int64()), strict=True))],
+                    ["__text", "__item", *measures.names],
+                )
+
+    schema = T.StructType([T.StructField("__text", T.StringType()), T.StructField("__item", T.StringType()), *measures])
+    found = written(both.select("__text", "__item", "item", "text").mapInArrow(compare, schema), "tiled-pairs")
+    return docs.select("doc_id", "__text").join(found, "__text").join(keyed.select("item_id", "__item"), "__item").select("doc_id", "item_id", *measures.names)
 
 
 def _judge(shared, threshold: float):
