@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import argparse
 import json
+import warnings
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphloom.functions.ids import MAIN_CHROMS
-from graphloom.operators import validate
-from graphloom.operators.alignment import gene_edges
+from graphloom.functions.ids import MAIN_CHROMS, gene_of
+from graphloom.operators import alignment, relations, validate
 from graphloom.plans import append as appending
 from graphloom.plans import construct as constructing
 from graphloom.sources import bed, fasta, gtf, package, sam
@@ -28,21 +30,64 @@ def names(spark: SparkSession, text: str) -> list[str]:
     return items
 
 
-def _alignments(spark: SparkSession, path: str) -> DataFrame:
-    if path.rstrip("/").endswith(".sam"):
-        return sam.read_sam(spark, path)
-    return sam.read_bam(spark, path) if path.endswith(".bam") else spark.read.parquet(path)
+THRESHOLDS = {"coverage": alignment.COVERAGE, "identity": alignment.IDENTITY, "soft_clip": alignment.SOFT_CLIP}
+
+
+@dataclass(frozen=True)
+class Alignments:
+    """Records of one or more files, and the header lines of those that have a header (None if they are Parquet)."""
+
+    records: DataFrame
+    header: DataFrame | None
+
+    @property
+    def filtered(self) -> bool:
+        noted = self.header is not None and not sam.comments(self.header).filter(F.col("comment") == alignment.FILTERED).isEmpty()
+        return noted or alignment.is_marked_filtered(self.records)
+
+    def generation(self, a: argparse.Namespace, scope: str, thresholds: dict) -> dict:
+        """Provenance from the header, else from the command line; where both tell something, they must agree."""
+        told = {k: getattr(a, k) for k in ("aligner", "aligner_version", "aligner_options") if getattr(a, k, None) is not None}
+        found = sam.last_aligner(self.header, a.aligner) if self.header is not None else None
+        for key, value in (found or {}).items():
+            if key in told and told[key] != value:
+                raise ValueError(f"{key} is {told[key]!r}, but {value!r} in the header")
+        one = {"aligner": None, "aligner_version": None, "aligner_options": None, **told, **(found or {})}
+        return package.generation(one["aligner"], one["aligner_version"], one["aligner_options"], scope, thresholds)
+
+
+def _alignments(spark: SparkSession, text: str, targets: DataFrame) -> Alignments:
+    """BAM, SAM or Parquet from a list of paths with ","; several files are put together if all their targets are among ``targets``."""
+    parts, headers = [], []
+    for path in [x.strip() for x in text.split(",") if x.strip()]:
+        if path.rstrip("/").endswith((".sam", ".bam")):
+            headers.append(sam.header_lines(spark, path))
+            parts.append((sam.read_bam(spark, path) if path.endswith(".bam") else sam.read_sam(spark, path), sam.targets(headers[-1])))
+        else:
+            parts.append((spark.read.parquet(path), targets.limit(0)))
+    records = parts[0][0] if len(parts) == 1 else alignment.merged(parts, targets)
+    return Alignments(records, reduce(DataFrame.unionByName, headers) if len(headers) == len(parts) else None)
+
+
+def _sequence_genes(places: DataFrame, gdna: DataFrame) -> DataFrame:
+    """Places of genes with a sequence; a sequence without a place is an error, places without a sequence are left out with a warning."""
+    with_sequence = gdna.select(F.col("record_id").alias("gene_id")).distinct()
+    validate.require(validate.missing_from(with_sequence, places), "sequences of genes outside the BED")
+    without = validate.missing_from(places, with_sequence).count()
+    if without:
+        warnings.warn(f"{without} BED genes without a sequence are left out", stacklevel=2)
+    return places.join(with_sequence, "gene_id", "left_semi")
 
 
 def _targets(records: DataFrame) -> DataFrame:
     return fasta.lengths(records).select(F.col("record_id").alias("name"), F.col("seq_len").alias("length"))
 
 
-def save(run: constructing.Construct, out: str, prefix: str, generations: list[dict], genes: DataFrame) -> None:
+def save(run: constructing.Construct, out: str, prefix: str, generations: list[dict], genes: DataFrame, gdna: DataFrame) -> None:
     """Tables and text files of a run, each a folder below ``out``."""
     at = lambda name: f"{out}/{prefix}_{name}"
-    package.write(run.edges, genes, at("graph"), generations)
-    run.filtered.write.parquet(at("filtered"))
+    package.write(run.edges, genes, at("graph"), generations, sequences=gdna.select("record_id", "seq"), filtered=run.filtered)
+    alignment.marked_filtered(run.filtered).write.parquet(at("filtered"))
     for label, members in (("pre", run.clusters.pre), ("last", run.clusters.last)):
         members.write.parquet(at(f"{label}_clusters"))
         constructing.cluster_lines(members).orderBy(*constructing.CLUSTER_ORDER).select("line").write.text(at(f"{label}_cluster_lines"))
@@ -68,8 +113,10 @@ def parser() -> argparse.ArgumentParser:
         c.add_argument("--main-chroms", help="chromosome names in order, or a file of them")
         c.add_argument("-p", "--prefix", default=name)
         c.add_argument("-o", "--output", required=True)
+        for flag in ("--aligner", "--aligner-version", "--aligner-options"):
+            c.add_argument(flag, help="provenance of the alignments, where their header does not tell it")
     c = sub.choices["construct"]
-    c.add_argument("--bam", required=True, help="alignments: BAM, SAM or Parquet")
+    c.add_argument("--bam", required=True, help="alignments: BAM, SAM or Parquet, or a list of them with commas")
     c.add_argument("-r", "--reference")
     c = sub.choices["append"]
     for flag in ("--history", "--history-gtf", "--history-cdna", "--history-gdna", "--history-names", "--query-to-all-bam", "--history-to-query-bam", "--reference"):
@@ -77,6 +124,8 @@ def parser() -> argparse.ArgumentParser:
     c = sub.add_parser("export", help="a graph package from filtered alignments")
     for flag in ("--alignments", "--bed", "--gdna", "--aligner", "--aligner-version", "--aligner-options", "--output"):
         c.add_argument(flag, required=True)
+    for key, value in THRESHOLDS.items():
+        c.add_argument("--" + key.replace("_", "-"), type=float, default=value, help="threshold the alignments were filtered by")
     c = sub.add_parser("compare", help="two runs: edges (Parquet) and clusters (Parquet)")
     for flag in ("--left-edges", "--right-edges", "--left-pre", "--right-pre", "--left-last", "--right-last", "--output"):
         c.add_argument(flag, required=True)
@@ -86,41 +135,51 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> None:
     a = parser().parse_args(argv)
     spark = SparkSession.builder.appName("graphloom").getOrCreate()
-    own = package.generation("external", "unknown", "unknown", a.command, {"coverage": 0.8, "identity": 0.9, "soft_clip": 0.1})
     chroms = tuple(names(spark, a.main_chroms)) if getattr(a, "main_chroms", None) else MAIN_CHROMS
     if a.command == "construct":
         gdna, cdna = fasta.read(spark, a.gdna), fasta.read(spark, a.cdna)
         genes = constructing.gene_table(bed.last_places(bed.parse(bed.read(spark, a.bed))), _targets(gdna))
-        run = constructing.construct(_alignments(spark, a.bam), genes, fasta.lengths(cdna), gdna, names(spark, a.name), a.reference, chroms)
-        save(run, a.output, a.prefix, [own], genes)
+        given = _alignments(spark, a.bam, _targets(gdna))
+        run = constructing.construct(given.records, genes, fasta.lengths(cdna), gdna, names(spark, a.name), a.reference, chroms)
+        save(run, a.output, a.prefix, [given.generation(a, "construct", THRESHOLDS)], genes, gdna)
     elif a.command == "append":
         edges, nodes, manifest = package.load(spark, f"{a.history}_graph")
-        package.check_provenance(manifest["generations"], {**manifest["generations"][-1], "scope": "append"})
-        gdna, cdna = fasta.read(spark, a.gdna), fasta.read(spark, a.cdna)
-        places = bed.last_places(bed.parse(bed.read(spark, a.bed)))
-        with_sequence = gdna.select(F.col("record_id").alias("gene_id")).distinct()
-        validate.require(validate.missing_from(with_sequence, places), "sequences of genes outside the BED")
-        places = places.join(with_sequence, "gene_id", "left_semi")
-        query_genes = constructing.gene_table(places, _targets(gdna))
-        history_cdna, models = fasta.read(spark, a.history_cdna), gtf.models(gtf.read(spark, a.history_gtf))
+        gdna, cdna, history_gdna, history_cdna = (fasta.read(spark, path) for path in (a.gdna, a.cdna, a.history_gdna, a.history_cdna))
+        filtered = spark.read.parquet(f"{a.history}_filtered")
+        package.check_inputs(manifest, sequences=history_gdna.select("record_id", "seq"), filtered=filtered)
+        query_genes = constructing.gene_table(_sequence_genes(bed.last_places(bed.parse(bed.read(spark, a.bed))), gdna), _targets(gdna))
+        query_transcripts = cdna.select(gene_of(F.col("record_id")).alias("gene_id"))
+        validate.require(validate.missing_from(query_transcripts, query_genes), "transcripts of genes without a sequence")
+        sequences = fasta.concatenate(history_gdna, gdna)
+        to_all, to_query = _alignments(spark, a.query_to_all_bam, _targets(sequences)), _alignments(spark, a.history_to_query_bam, _targets(gdna))
+        for given, records, targets, label in ((to_all, cdna, sequences, "query to all"), (to_query, history_cdna, gdna, "history to query")):
+            expected = fasta.identities(records).withColumnRenamed("record_id", "query_id")
+            own_targets = None if given.header is None else (sam.targets(given.header), _targets(targets))
+            validate.check_raw(given.records, expected, label, own_targets, given.filtered)
+            package.check_provenance(manifest["generations"], given.generation(a, "append", THRESHOLDS))
+        models = gtf.models(gtf.read(spark, a.history_gtf))
         appending.check_history(models, history_cdna, nodes)
         lengths = appending.transcript_lengths(history_cdna, cdna)
-        sequences = fasta.concatenate(fasta.read(spark, a.history_gdna), gdna)
         run = appending.append(
-            edges, nodes, spark.read.parquet(f"{a.history}_filtered"), models, query_genes, _alignments(spark, a.query_to_all_bam),
-            _alignments(spark, a.history_to_query_bam), lengths, sequences, names(spark, a.history_names), names(spark, a.name), a.reference, chroms,
+            edges, nodes, filtered, models, query_genes, to_all.records, to_query.records, lengths, sequences, names(spark, a.history_names), names(spark, a.name),
+            a.reference, chroms,
         )
         genes = appending.all_genes(nodes, query_genes)
-        save(run, a.output, a.prefix, [*manifest["generations"], {**manifest["generations"][-1], "scope": "append"}], genes)
+        save(run, a.output, a.prefix, [*manifest["generations"], to_all.generation(a, "append", THRESHOLDS)], genes, sequences)
     elif a.command == "export":
         gdna = fasta.read(spark, a.gdna)
         genes = constructing.gene_table(bed.package_rows(bed.read(spark, a.bed)), _targets(gdna))
-        one = package.generation(a.aligner, a.aligner_version, a.aligner_options, "export", own["filter_thresholds"])
-        package.write(gene_edges(_alignments(spark, a.alignments)), genes, a.output, [one])
+        given = _alignments(spark, a.alignments, _targets(gdna))
+        one = given.generation(a, "export", {key: getattr(a, key) for key in THRESHOLDS})
+        package.write(alignment.gene_edges(given.records), genes, a.output, [one], sequences=gdna.select("record_id", "seq"), filtered=given.records)
     else:
         read = spark.read.parquet
         out = appending.compare(read(a.left_edges), read(a.right_edges), (read(a.left_pre), read(a.left_last)), (read(a.right_pre), read(a.right_last)))
-        out.write.json(a.output)
+        out.write.json(f"{a.output}/summary")
+        for label, left, right in (("pre", a.left_pre, a.right_pre), ("last", a.left_last, a.right_last)):
+            sides = relations.one_sided_representatives(read(left), read(right))
+            for side in ("left", "right"):
+                sides.filter(F.col("side") == side).select("hub").orderBy("hub").write.text(f"{a.output}/{label}_{side}_only")
         print(json.dumps([r.asDict() for r in out.collect()], sort_keys=True))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from graphloom.functions import cigar
 from graphloom.functions.ids import gene_of, safe_ratio
+from graphloom.operators import validate
 
 #: Least coverage and identity, most soft clipping.
 COVERAGE, IDENTITY, SOFT_CLIP = 0.80, 0.90, 0.10
@@ -42,6 +43,34 @@ def quality_filter(alignments: DataFrame, genes: DataFrame) -> DataFrame:
     return summarise_cigar(rows).filter((gene_of(F.col("query_id")) == F.col("target")) | passes())
 
 
+#: What tells filtered alignments from raw ones: a comment in a header, a key in the metadata of a column.
+FILTERED = "graphloom.filtered"
+
+
+def marked_filtered(filtered: DataFrame) -> DataFrame:
+    """The same rows, marked in the metadata of rec_ord, which Parquet files keep."""
+    return filtered.withColumn("rec_ord", F.col("rec_ord").alias("rec_ord", metadata={FILTERED: True}))
+
+
+def is_marked_filtered(alignments: DataFrame) -> bool:
+    return any(f.metadata.get(FILTERED) for f in alignments.schema)
+
+
+def merged(parts: list[tuple[DataFrame, DataFrame]], targets: DataFrame) -> DataFrame:
+    """Records of several tables, one after the other in rec_ord, from pairs of records and their own targets (name, length), all of
+    which must be among ``targets`` with the same length. At most 64 tables of up to 2^52 record numbers each."""
+    if len(parts) > 64:
+        raise ValueError("more than 64 tables of alignments: give folders of files")
+    out = None
+    for k, (records, own) in enumerate(parts):
+        both = own.join(targets.select("name", F.col("length").alias("want")).distinct(), "name", "left")
+        validate.require(both.filter("want is null").select("name"), "alignment targets that are no gene")
+        validate.require(both.filter("want <> length").select("name"), "alignment targets of another length")
+        records = records.withColumn("rec_ord", F.col("rec_ord") + F.lit(k * 2**52))
+        out = records if out is None else out.unionByName(records)
+    return out
+
+
 def gene_edges(filtered: DataFrame) -> DataFrame:
     """Distinct (src, dst) from query genes to targets; loops stay."""
     return primary_lines(filtered).select(gene_of(F.col("query_id")).alias("src"), F.col("target").alias("dst")).distinct()

@@ -52,6 +52,18 @@ def resume_violations(alignments: DataFrame, expected: DataFrame) -> DataFrame:
     return both.select(rule.alias("rule"), "query_id").filter("rule is not null")
 
 
+def check_raw(alignments: DataFrame, expected: DataFrame, label: str, targets: tuple[DataFrame, DataFrame] | None = None, filtered: bool = False) -> None:
+    """Raises unless alignments that are used again are raw, of exactly the ``expected`` transcripts (query_id, seq_len, sha256) and, where
+    ``targets`` gives those of the header and those wanted (name, length each), on exactly these targets."""
+    if filtered:
+        raise ValueError(f"{label}: alignments are filtered already, give the raw ones")
+    if targets:
+        own, wanted = (t.select("name", "length").distinct() for t in targets)
+        marked = own.withColumn("s", F.lit(1)).unionByName(wanted.withColumn("s", F.lit(2))).groupBy("name", "length").agg(F.sum("s").alias("s"))
+        require(marked.filter("s <> 3").select("name").distinct(), f"{label}: targets other than the genes' sequences")
+    require(resume_violations(alignments, expected).select(F.concat_ws(": ", "rule", "query_id")), f"{label}: transcripts other than expected")
+
+
 def gtf_violations(rows: DataFrame) -> DataFrame:
     """rule, line and detail of GTF rows (line, raw): fields, ids, names, numbers, order, one place per transcript, exons and their gaps."""
     f = F.split("raw", "\t")

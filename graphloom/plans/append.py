@@ -61,6 +61,7 @@ def append(
     """
     check_inputs(history_genes, history_varieties, query_genes, query_to_all.select(F.col("query_id").alias("transcript_id")).distinct(), new_varieties)
     genes = written(all_genes(history_genes, query_genes), "genes")
+    validate.require(validate.missing_from(lengths.select(gene_of(F.col("record_id")).alias("gene_id")), genes), "transcript sequences of unknown genes")
     new = [written(alignment.quality_filter(a, genes), "filtered") for a in (query_to_all, history_to_query)]
     edges = written(relations.union_edges(history_edges, *map(alignment.gene_edges, new)), "edges")
     # records of one table after the other

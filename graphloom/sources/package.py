@@ -11,7 +11,7 @@ from graphloom.operators.alignment import COVERAGE, IDENTITY, SOFT_CLIP
 from graphloom.operators.relations import nodes_of
 from graphloom.operators.validate import missing_from, require
 
-FORMAT, VERSION = "graphloom-package", 1
+FORMAT, VERSION = "graphloom-package", 2
 #: Keys that must be equal in all generations of one graph.
 PROVENANCE_KEYS = ("aligner", "aligner_version", "aligner_options", "filter_thresholds")
 
@@ -22,8 +22,26 @@ def generation(aligner: str, version: str, options: str, scope: str, thresholds:
     return {"aligner": aligner, "aligner_version": version, "aligner_options": options, "scope": scope, "filter_thresholds": thresholds or own, "filter_thresholds_assumed": thresholds is None}
 
 
+def digest(df: DataFrame) -> dict:
+    """Rows and a hash of ``df`` that does not depend on their order; one aggregate."""
+    columns = sorted(df.columns)
+    row = df.select(F.xxhash64(*(F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in columns)).alias("h")).agg(F.count(F.lit(1)).alias("n"), F.bit_xor("h").alias("x"), F.sum(F.col("h").cast("decimal(38,0)")).alias("s")).first()
+    return {"columns": columns, "rows": row["n"], "hash": f"{row['x'] or 0}/{row['s'] or 0}"}
+
+
+def check_inputs(manifest: dict, **inputs: DataFrame) -> None:
+    """Raises unless each of ``inputs`` has the digest that the manifest keeps under its name."""
+    for name, df in inputs.items():
+        if manifest["inputs"].get(name) != digest(df):
+            raise ValueError(f"{name}: not those the graph was made with")
+
+
 def check_provenance(generations: list[dict], new: dict) -> None:
-    """Raises unless every generation has the new one's aligner, version, options and thresholds, none of them only assumed."""
+    """Raises unless every generation has the new one's aligner, version, options and thresholds, all known and none only assumed."""
+    if not generations:
+        raise ValueError("a graph without generations")
+    if new.get("aligner") is None:
+        raise ValueError("the aligner of the new alignments is not known")
     for i, g in enumerate(generations):
         if g.get("filter_thresholds_assumed", True):
             raise ValueError(f"generation {i}: filter thresholds are assumed")
@@ -32,8 +50,9 @@ def check_provenance(generations: list[dict], new: dict) -> None:
                 raise ValueError(f"generation {i}: {key} is {g.get(key)!r}, not {new.get(key)!r}")
 
 
-def write(edges: DataFrame, genes: DataFrame, path: str, generations: list[dict]) -> None:
-    """Distinct edges in order, the nodes of ``genes`` (gene_id, gene_len, chrom, start, end, strand, bed_ord) and the manifest.
+def write(edges: DataFrame, genes: DataFrame, path: str, generations: list[dict], **inputs: DataFrame) -> None:
+    """Distinct edges in order, the nodes of ``genes`` (gene_id, gene_len, chrom, start, end, strand, bed_ord) and the manifest, which
+    keeps digests of both and of ``inputs`` for check_inputs().
 
     Genes without a length, and edge ends that are no gene, are errors that name up to ten of them.
     """
@@ -47,18 +66,18 @@ def write(edges: DataFrame, genes: DataFrame, path: str, generations: list[dict]
     own.orderBy("src", "dst").write.parquet(f"{path}/edges")
     genes.orderBy("bed_ord").write.parquet(f"{path}/nodes")
     spark = edges.sparkSession
-    counts = {"edges": spark.read.parquet(f"{path}/edges").count(), "nodes": spark.read.parquet(f"{path}/nodes").count()}
-    manifest = json.dumps({"format": FORMAT, "version": VERSION, "counts": counts, "generations": generations}, sort_keys=True)
+    tables = {name: digest(spark.read.parquet(f"{path}/{name}")) for name in ("edges", "nodes")}
+    manifest = json.dumps({"format": FORMAT, "version": VERSION, "tables": tables, "inputs": {n: digest(df) for n, df in inputs.items()}, "generations": generations}, sort_keys=True)
     spark.createDataFrame([(manifest,)], "value string").coalesce(1).write.text(f"{path}/manifest")
 
 
 def load(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, dict]:
-    """Edges, nodes and manifest; another format or version, or tables that differ from the manifest's counts, are errors."""
+    """Edges, nodes and manifest; another format or version, or tables that differ from the manifest's digests, are errors."""
     manifest = json.loads("".join(r["value"] for r in spark.read.text(f"{path}/manifest").collect()))
     if (manifest.get("format"), manifest.get("version")) != (FORMAT, VERSION):
         raise ValueError(f"not a {FORMAT} of version {VERSION}")
     edges, nodes = spark.read.parquet(f"{path}/edges"), spark.read.parquet(f"{path}/nodes")
-    if manifest["counts"] != {"edges": edges.count(), "nodes": nodes.count()}:
+    if manifest["tables"] != {"edges": digest(edges), "nodes": digest(nodes)}:
         raise ValueError("the package's tables are not those of its manifest")
     return edges, nodes, manifest
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gzip
 import io
+import shlex
 import struct
 from collections.abc import Iterator
 
@@ -48,10 +49,69 @@ def read_sam(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def sam_targets(spark: SparkSession, path: str) -> DataFrame:
-    """name and length from the @SQ lines."""
-    rows = spark.read.text(path).filter(F.startswith("value", F.lit("@SQ")))
-    return rows.select(F.regexp_extract("value", r"\tSN:([^\t]+)", 1).alias("name"), F.regexp_extract("value", r"\tLN:([0-9]+)", 1).cast("long").alias("length"))
+def header_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Header lines of SAM text or, where ``path`` ends in .bam, of BAM files: file, line_ord (ascending in a file) and line. The
+    @SQ lines of a BAM file are made from its own list of targets."""
+    if not path.endswith(".bam"):
+        rows = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("line_ord"), F.col("value").alias("line"))
+        return rows.filter(F.startswith("line", F.lit("@")))
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for file, content in zip(batch.column("path"), batch.column("content"), strict=True):
+                with gzip.open(io.BytesIO(content.as_buffer().to_pybytes())) as stream:
+                    text, targets = header(stream)
+                lines = [x for x in text.splitlines() if x and not x.startswith("@SQ")] + [f"@SQ\tSN:{name}\tLN:{n}" for name, n in targets]
+                yield pa.RecordBatch.from_arrays([pa.array([file.as_py()] * len(lines), pa.string()), pa.array(range(len(lines)), pa.int64()), pa.array(lines, pa.string())], ["file", "line_ord", "line"])
+
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, "file string, line_ord long, line string")
+
+
+def _field(name: str) -> Column:
+    return F.nullif(F.regexp_extract("line", rf"\t{name}:([^\t]+)", 1), F.lit(""))
+
+
+def targets(lines: DataFrame) -> DataFrame:
+    """name and length from the @SQ lines of a header, each once."""
+    return lines.filter(F.startswith("line", F.lit("@SQ"))).select(_field("SN").alias("name"), _field("LN").cast("long").alias("length")).distinct()
+
+
+def programs(lines: DataFrame) -> DataFrame:
+    """file, line_ord, name, version and command of the @PG lines; null where a line does not have one."""
+    return lines.filter(F.startswith("line", F.lit("@PG"))).select("file", "line_ord", _field("PN").alias("name"), _field("VN").alias("version"), _field("CL").alias("command"))
+
+
+def comments(lines: DataFrame) -> DataFrame:
+    """file and comment of the @CO lines."""
+    return lines.filter(F.startswith("line", F.lit("@CO\t"))).select("file", F.substring("line", 5, 2**31 - 1).alias("comment"))
+
+
+def aligner_options(command: str | None) -> str | None:
+    """The options of an aligner's command line: without the program, the number of threads (-t) and the two files at its end. None
+    if the line is missing or has no two files."""
+    words = shlex.split(command or "")
+    if len(words) < 3:
+        return None
+    rest, kept = iter(words[1:-2]), []
+    for word in rest:
+        if word == "-t":
+            next(rest, None)
+        elif not (word.startswith("-t") and word[2:].isdigit()):
+            kept.append(word)
+    return " ".join(kept)
+
+
+def last_aligner(lines: DataFrame, name: str | None = None) -> dict | None:
+    """aligner, aligner_version and aligner_options of the last @PG line of program ``name`` (of any that has a command, if None). Files
+    with different ones are an error; None if no file has such a line."""
+    rows = programs(lines).filter(F.col("name") == name if name else F.col("command").isNotNull())
+    last = rows.groupBy("file").agg(F.max_by(F.struct("name", "version", "command"), "line_ord").alias("p")).select("p.*").distinct().limit(1_000)
+    found = [{"aligner": r["name"], "aligner_version": r["version"], "aligner_options": aligner_options(r["command"])} for r in last.collect()]
+    if any(x != found[0] for x in found):
+        raise ValueError(f"alignments of several programs, versions or options: {found[:10]}")
+    return found[0] if found else None
 
 
 def read_bam(spark: SparkSession, path: str) -> DataFrame:

@@ -108,7 +108,7 @@ def test_sam_and_bam(spark, tmp_path):
     assert (a[0]["as_score"], a[0]["ms_score"], a[0]["nm"], a[0]["is_reverse"]) == (4, 7, 1, True) and a[2]["seq_len"] is None
     forward = spark.createDataFrame([("AGTC",)], "s string").select(F.sha2("s", 256)).first()[0]
     assert a[0]["seq_sha256"] == forward
-    assert {tuple(r) for r in sam.sam_targets(spark, str(tmp_path / "a.sam")).collect()} == {("A", 100), ("B", 50)}
+    assert {tuple(r) for r in sam.targets(sam.header_lines(spark, str(tmp_path / "a.sam"))).collect()} == {("A", 100), ("B", 50)}
 
 
 def test_package(spark, tmp_path):
