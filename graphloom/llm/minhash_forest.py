@@ -23,6 +23,8 @@ from graphloom.llm.common import Words, fold, mix, release, releasing, text_slic
 from graphloom.llm.components import connected_components
 
 NULL_ID = 2**63 - 1
+#: Sets that a block may hold whatever their size: fewer would let a level of hubs pass all of them on.
+FEW = 4
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -156,7 +158,7 @@ def _root(parent: np.ndarray, i: int) -> int:
 
 def _inside(percent: int, hubs: int):
     """All pairs of one block: each node with the least node it is connected with, and how many links it has; hubs are the block's
-    nodes with most links in its largest component."""
+    nodes with most links in its largest component, a quarter of the nodes at most (one at least)."""
 
     def run(g: pd.DataFrame) -> pd.DataFrame:
         g = g.sort_values("node", kind="stable")
@@ -172,7 +174,7 @@ def _inside(percent: int, hubs: int):
                     parent[max(a, b)] = min(a, b)
         roots = np.array([_root(parent, i) for i in range(len(nodes))])
         largest = np.bincount(roots).argmax()
-        best = np.argsort(np.where(roots == largest, -degree, 1), kind="stable")[:hubs]
+        best = np.argsort(np.where(roots == largest, -degree, 1), kind="stable")[: max(1, min(hubs, len(nodes) // FEW))]
         is_hub = np.zeros(len(nodes), bool)
         is_hub[best] = True
         if len(index.owner) > 200_000:
@@ -204,11 +206,20 @@ def _across(percent: int):
     return run
 
 
+def _blocks(shingles, block_shingles: int, block_nodes: int):
+    """Number of a family's blocks, by its members' summed shingles: never more than one for each few members."""
+    n = F.count(F.lit(1))
+    by_size = F.greatest(F.ceil(F.sum(shingles) / block_shingles), F.ceil(n / block_nodes))
+    return F.least(by_size, F.ceil(n / FEW)).alias("blocks")
+
+
 def _levels(sets: DataFrame, percent: int, hubs: int, block_shingles: int, block_nodes: int) -> DataFrame:
-    """Spans (a, b) among the hubs of a family's blocks: compared in blocks of their own, then those blocks' hubs, until one block is left."""
+    """Spans (a, b) among the hubs of a family's blocks: compared in blocks of their own, then those blocks' hubs, until one block is left.
+
+    Of n > 4 sets some block has 4 at least and passes a quarter of them on, others one: about half of n at most, so levels end."""
     spans = None
     while True:
-        sizes = sets.groupBy("family").agg(F.greatest(F.ceil(F.sum(F.size("shingles")) / block_shingles), F.ceil(F.count(F.lit(1)) / block_nodes)).alias("blocks"))
+        sizes = sets.groupBy("family").agg(_blocks(F.size("shingles"), block_shingles, block_nodes))
         sets = written(sets.join(sizes, "family").withColumn("block", F.pmod(F.xxhash64("node", F.lit("hubs")), F.col("blocks"))), "hub-sets")
         found = written(sets.groupBy("family", "block").applyInPandas(_inside(percent, hubs), "family long, node long, root long, links long, hub boolean"), "hub-links")
         own = found.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
@@ -219,7 +230,7 @@ def _levels(sets: DataFrame, percent: int, hubs: int, block_shingles: int, block
         sets = several.select("family", "node", "shingles").join(found.filter("hub").select("node"), "node")
 
 
-def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, trees: int = 28, depth: int = 6, shallow: int = 4, crowd: int | None = None, block_shingles: int = 1_500_000, block_nodes: int = 2_000, hubs: int = 4, with_tie: bool = False) -> DataFrame:
+def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, trees: int = 28, depth: int = 6, shallow: int = 4, block_shingles: int = 1_500_000, block_nodes: int = 2_000, hubs: int = 4, with_tie: bool = False) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for each row of ``documents``; ``with_tie`` adds tie, xxhash64 of the text,
     and chosen, which tells whether the row is its component's least by doc_id and tie: one text of each component, whatever ids repeat.
 
@@ -229,7 +240,8 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, trees:
     than all others and comes out as null. Sets are compared by 64-bit hashes of shingles.
 
     Two sets that share ``percent`` of 80 are neighbours in some order with probability 1 - (1 - 0.8^4)^28, whatever else the table holds;
-    families made by other members add to that. ``crowd`` once bounded the nodes of one prefix; it is taken and has no effect.
+    families made by other members add to that. A block of a family holds about ``block_shingles`` shingles and ``block_nodes`` sets at
+    most, but four sets in any case.
     """
     docs = documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"), F.col("doc_id").isNull().alias("null_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
     signed = written(docs.mapInArrow(_signed(k, trees, depth), "id long, null_id boolean, tie long, node long, n long, signature binary"), "signatures")
@@ -245,7 +257,7 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, trees:
     families = connected_components(links).withColumnRenamed("root", "family")
 
     members = families.join(nodes.select("node", "row.*", "n"), "node")
-    sizes = members.groupBy("family").agg(F.greatest(F.ceil(F.sum("n") / block_shingles), F.ceil(F.count(F.lit(1)) / block_nodes)).alias("blocks"))
+    sizes = members.groupBy("family").agg(_blocks(F.col("n"), block_shingles, block_nodes))
     members = members.join(sizes, "family").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
     texts = docs.join(members.drop("n"), ["id", "null_id", "tie"]).select("text", "family", "block", "blocks", "node")
     sets = written(texts.mapInArrow(_member_sets(k), "family long, block long, blocks long, node long, shingles array<long>").dropDuplicates(["node"]), "sets")
