@@ -63,10 +63,11 @@ class UnitEncoder:
     """Encodes texts through a tokenizer, unit by unit: a word with the single blank or line end before it, or the marks that end a word.
 
     A byte-level tokenizer cuts a text into pieces before it merges. A single space between two other characters always begins a piece,
-    a single line end is one, and so are marks between a letter or digit and a blank; so the ids of a text are those of its units, and
-    each distinct unit is encoded once. Units of letters alone go straight to the tokenizer's model, as one piece each. Texts with
+    a single line end is one, and so are marks between a letter or digit and a blank; so the ids of a text without added tokens are those of
+    its units, and each distinct unit is encoded once. Units of letters alone go straight to the tokenizer's model, as one piece each. Texts with
     other blanks or several in a row are encoded whole. Units are found by hash and compared byte by byte; a text with a unit that
-    only shares another's hash is encoded whole too. Beyond ``max_units`` what was learned is forgotten. With a tokenizer of another kind
+    only shares another's hash is encoded whole too, and so is one that holds an added token of the tokenizer, which the library takes out
+    before it cuts. Beyond ``max_units`` what was learned is forgotten. With a tokenizer of another kind
     all texts are encoded whole.
     """
 
@@ -81,6 +82,9 @@ class UnitEncoder:
         model, cut = {k: v for k, v in plan["model"].items() if v is not None}, plan["pre_tokenizer"] or {}
         kind = model.pop("type")
         self.by_unit = kind == "BPE" and plan["normalizer"] is None and cut.get("type") == "ByteLevel" and cut["use_regex"] and not cut["add_prefix_space"]
+        added = [t for t in plan["added_tokens"] if t["content"]]
+        self.added = [t["content"].encode() for t in added]
+        self.by_unit &= not any(t["normalized"] and plan["normalizer"] for t in added)
         if self.by_unit:  # as each unit comes once, the library's own cache of words would only be searched in vain
             self.tokenizer.model = models.BPE(**model | {"merges": [tuple(m) for m in model["merges"]]}, cache_capacity=0)
             self.pieces = Tokenizer(self.tokenizer.model)
@@ -177,6 +181,12 @@ class UnitEncoder:
         single = n_words > 0
         single[single] = (words.starts[words.bounds[:-1][single]] == offsets[:-1][single]) & (words.ends[words.bounds[1:][single] - 1] == offsets[1:][single])
         single[text[odd]] = False
+        raw = data.tobytes()
+        for token in self.added:
+            at = raw.find(token)
+            while at >= 0:  # over two texts at the worst: then one is encoded whole that need not be
+                single[np.searchsorted(offsets, at, side="right") - 1] = False
+                at = raw.find(token, at + 1)
         wide = _wide_blanks(data)
         single[np.searchsorted(offsets, wide, side="right") - 1] = False
 
