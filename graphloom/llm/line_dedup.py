@@ -10,6 +10,7 @@ the few lines that the filter lets through.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,6 +24,8 @@ from pyspark.sql import types as T
 from graphloom.llm.common import BLANKS, text_slices, written
 
 SLOTS = 4
+#: Tasks that lines are dealt to at most; beyond, a task takes several filters one after the other.
+MAX_TASKS = 20_000
 _BLANKS = BLANKS.encode()
 
 
@@ -121,11 +124,13 @@ class LineState:
     min_docs: int
     min_chars: int
     shards: int
+    shard_keys: int
 
 
-def empty_state(spark, min_docs: int = 10, min_chars: int = 1, shards: int = 16) -> LineState:
-    """No documents yet. ``shards``: of the filters; about one for each 100,000 frequent lines that are expected."""
-    return LineState(spark.createDataFrame([], "low long, high long, n_docs long"), spark.createDataFrame([], "shard int, filter binary"), min_docs, min_chars, shards)
+def empty_state(spark, min_docs: int = 10, min_chars: int = 1, shards: int = 1, shard_keys: int = 100_000) -> LineState:
+    """No documents yet. ``shards``: of the filters to begin with; where more than ``shard_keys`` frequent lines come to one, all filters
+    are built anew in at least twice as many shards, so that they stay small at any size."""
+    return LineState(spark.createDataFrame([], "low long, high long, n_docs long"), spark.createDataFrame([], "shard int, filter binary"), min_docs, min_chars, shards, shard_keys)
 
 
 def _changed(state: LineState, documents: DataFrame, sign: int) -> LineState:
@@ -135,9 +140,13 @@ def _changed(state: LineState, documents: DataFrame, sign: int) -> LineState:
     merged = written(both.groupBy("low", "high").agg(F.sum("n_docs").alias("before"), (F.sum("n_docs") + F.sum("change")).alias("n_docs")), "line-counts")
     counts = merged.filter("n_docs > 0").select("low", "high", "n_docs")
     crossed = merged.filter((F.col("before") >= state.min_docs) != (F.col("n_docs") >= state.min_docs))
-    shard = F.pmod(F.col("high"), F.lit(state.shards)).cast("int")
+    held = counts.filter(F.col("n_docs") >= state.min_docs)
+    wanted, shards = -(-held.count() // state.shard_keys), state.shards
+    if wanted > shards:
+        shards = max(wanted, 2 * shards)
+    shard = F.pmod(F.col("high"), F.lit(shards)).cast("int")
     crossed = crossed.select(shard.alias("shard"), "low", (F.col("n_docs") >= state.min_docs).alias("enters"))
-    frequent = counts.filter(F.col("n_docs") >= state.min_docs).select(shard.alias("shard"), "low")
+    frequent = held.select(shard.alias("shard"), "low")
 
     def build(key: tuple, held: pd.DataFrame, moves: pd.DataFrame) -> pd.DataFrame:
         if not len(moves):
@@ -157,11 +166,13 @@ def _changed(state: LineState, documents: DataFrame, sign: int) -> LineState:
         return pd.DataFrame({"shard": [int(key[0])], "filter": [f.dumps()]})
 
     schema = "shard int, filter binary"
+    if shards > state.shards:
+        return LineState(counts, written(frequent.groupBy("shard").applyInPandas(anew, schema), "line-filters"), state.min_docs, state.min_chars, shards, state.shard_keys)
     moved = written(state.filters.groupBy("shard").cogroup(crossed.groupBy("shard")).applyInPandas(build, schema), "line-filters")
     full = moved.filter(F.length("filter") == 0).select("shard")
     rebuilt = frequent.join(full, "shard", "left_semi").groupBy("shard").applyInPandas(anew, schema)
     filters = written(moved.filter(F.length("filter") > 0).unionByName(rebuilt), "line-filters")
-    return LineState(counts, filters, state.min_docs, state.min_chars, state.shards)
+    return LineState(counts, filters, state.min_docs, state.min_chars, shards, state.shard_keys)
 
 
 def insert_documents(state: LineState, documents: DataFrame) -> LineState:
@@ -174,22 +185,23 @@ def delete_documents(state: LineState, documents: DataFrame) -> LineState:
     return _changed(state, documents, -1)
 
 
-def clean_lines(documents: DataFrame, state: LineState, broadcast_mb: int = 64, spread: int = 16) -> DataFrame:
+def clean_lines(documents: DataFrame, state: LineState, broadcast_mb: int = 64, part_mb: int = 64) -> DataFrame:
     """``documents`` with n_lines, n_dropped and kept_text: without the lines that at least ``min_docs`` documents of the state hold.
 
     A line's key is the line without blanks at both ends and with A-Z lower-cased; keys of fewer than ``min_chars`` code points (and
     empty ones) stay. A null or empty text is one empty line. Columns of the three names are replaced.
 
     The filters, and the digests of frequent lines that the filters lead to, are broadcast while both are within ``broadcast_mb``.
-    Beyond that, lines go to the filter of their shard, in ``spread`` parts of it, and those that it lets through are joined with the
-    exact counts by digest.
+    Beyond that, lines go to the filter of their shard, in as many parts of it as give each about ``part_mb`` of the texts, and those that
+    it lets through are joined with the exact counts by digest.
     """
     documents = documents.drop("n_lines", "n_dropped", "kept_text")
     spark = documents.sparkSession
     frequent = state.counts.filter(F.col("n_docs") >= state.min_docs)
     n_bytes = state.filters.agg(F.coalesce(F.sum(F.length("filter")), F.lit(0)).alias("b")).first()["b"] + 16 * frequent.count()
     if n_bytes > broadcast_mb << 20:
-        return _sharded(documents, frequent, state, spread)
+        text_mb = (documents.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0) / (1 << 20)
+        return _sharded(documents, frequent, state, max(1, math.ceil(text_mb / part_mb / state.shards)))
     filters = {r["shard"]: bytes(r["filter"]) for r in state.filters.collect()}
     exact = np.array([(r["low"], r["high"]) for r in frequent.select("low", "high").collect()], PAIR)
     shared = spark.sparkContext.broadcast((filters, np.sort(exact).tobytes()))
@@ -264,7 +276,8 @@ def _sharded(documents: DataFrame, frequent: DataFrame, state: LineState, spread
     lines = lines.withColumns({"shard": F.pmod("high", F.lit(state.shards)).cast("int"), "part": F.pmod(F.xxhash64("of"), F.lit(spread)).cast("int"), "filter": F.lit(None).cast("binary")})
     none = {"of": F.lit(None).cast("string"), **{c: F.lit(None).cast("long") for c in ("line", "low", "high")}}
     filters = state.filters.withColumns({"part": F.explode(F.sequence(F.lit(0), F.lit(spread - 1))), **none})
-    dealt = lines.unionByName(filters).repartition("shard", "part").sortWithinPartitions("shard", "part", F.col("filter").isNull())
+    parts = min(state.shards * spread, MAX_TASKS)
+    dealt = lines.unionByName(filters).repartition(parts, "shard", "part").sortWithinPartitions("shard", "part", F.col("filter").isNull())
     passed = dealt.mapInArrow(_probe, "of string, line long, low long, high long")
     gone = passed.join(written(frequent.select("low", "high"), "line-frequent"), ["low", "high"], "left_semi").groupBy("of").agg(F.collect_set("line").alias("gone"))
     out = documents.withColumn("__of", of).join(written(gone, "line-gone").withColumnRenamed("of", "__of"), "__of", "left")

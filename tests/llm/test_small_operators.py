@@ -133,8 +133,8 @@ TEXTS = [None, "", "\n", "one\nTwo\n two \n", "É\né", "two", "TWO\t", "only\x1
 def test_lines(spark):
     df = spark.createDataFrame([(i % 9, t, 1) for i, t in enumerate(TEXTS)], "doc_id long, text string, n_lines int")
     state = line_dedup.insert_documents(line_dedup.empty_state(spark, min_docs=3, shards=2), df)
-    for broadcast_mb in (64, -1):
-        got = line_dedup.clean_lines(df, state, broadcast_mb).collect()
+    for broadcast_mb, part_mb in ((64, 64), (-1, 64), (-1, 0.001)):
+        got = line_dedup.clean_lines(df, state, broadcast_mb, part_mb).collect()
         assert Counter((r["n_lines"], r["n_dropped"], r["kept_text"]) for r in got) == clean(TEXTS, 3)
     assert line_dedup.clean_lines(df.limit(0), state).collect() == []
 
@@ -152,6 +152,21 @@ def test_lines_are_reversible(spark):
     assert rows(line_dedup.delete_documents(back, a).counts) == []
 
 
+def test_filters_get_more_shards_as_lines_come(spark):
+    """Both paths of cleaning over a state whose shards grew, by an insert into an empty one and by later ones."""
+    texts = [f"a {i % 30}\nb {i % 17}\nown {i}" for i in range(120)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    first = line_dedup.insert_documents(line_dedup.empty_state(spark, min_docs=4, shard_keys=8), df.filter("doc_id < 60"))
+    state = line_dedup.insert_documents(first, df.filter("doc_id >= 60"))
+    assert first.shards == 2 and state.shards >= 5 and state.filters.count() == state.shards
+    for broadcast_mb in (64, -1):
+        got = line_dedup.clean_lines(df, state, broadcast_mb, 0.001).collect()
+        assert Counter((r["n_lines"], r["n_dropped"], r["kept_text"]) for r in got) == clean(texts, 4)
+    back = line_dedup.delete_documents(state, df.filter("doc_id >= 60"))
+    got = line_dedup.clean_lines(df.filter("doc_id < 60"), back).collect()
+    assert Counter((r["n_lines"], r["n_dropped"], r["kept_text"]) for r in got) == clean(texts[:60], 4)
+
+
 def test_cuckoo_filter():
     import numpy as np
 
