@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from graphloom.llm.common import SLICE_BYTES, Words, release, releasing, text_slices, written
 from graphloom.llm.fm_index import FMIndex
 
+#: Tasks of the search at most; beyond, a task takes several shards one after the other.
+MAX_TASKS = 5_000
 PIECE = ["digest", "owner", "anchor", "at", "n_windows", "body"]
 
 
@@ -203,7 +205,7 @@ def repeated_windows(documents: DataFrame, window: int = 50, gram: int = 16, hot
     searched = written(pieces.filter("not hot").select("piece", "body", "anchor", "owner").unionByName(again), "pieces-distinct")
     n_words = searched.agg(F.coalesce(F.sum(F.size(F.split(F.decode("body", "ISO-8859-1"), " ")).cast("long")), F.lit(0)).alias("n")).first()["n"]
     shards = max(1, -(-n_words // shard_words))
-    judged = searched.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards))).repartition(shards, "shard").groupBy("shard").applyInPandas(_search(window), "piece binary, owner long, windows string")
+    judged = searched.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards))).repartition(min(shards, MAX_TASKS), "shard").groupBy("shard").applyInPandas(_search(window), "piece binary, owner long, windows string")
     judged = written(judged, "pieces-judged").withColumnRenamed("owner", "first")
 
     # a piece of a later document than the piece's first one repeats all of it
