@@ -124,12 +124,29 @@ def components(rows, k):
     return Counter((rows[i][0], len(sets[i]), null(least[root(i)]), least[root(i)] == ids[i]) for i in range(len(rows)))
 
 
-@pytest.mark.parametrize("limits", [{}, {"block_nodes": 3, "crowd": 2, "hubs": 1}])
+@pytest.mark.parametrize("limits", [{}, {"block_nodes": 3, "hubs": 1}])
 def test_near_duplicates(documents, rows, limits):
     got = minhash_forest.near_duplicates(documents, k=4, **limits).collect()
     assert Counter(map(tuple, got)) == components(rows, 4)
 
 
+@pytest.mark.parametrize("copies", [5, 40])
+def test_long_near_copies_end(spark, copies):
+    """A text of more shingles than a block takes, in a few and in many near copies, beside a pair that is near only to itself."""
+    rng = random.Random(copies)
+    base = prose(400, rng).split()
+    rows = []
+    for i in range(copies):
+        words = list(base)
+        for _ in range(i % 4 * 6):
+            words[rng.randrange(len(words))] = f"e{rng.randrange(999)}"
+        rows.append((i, " ".join(words)))
+    rows += [(1000, prose(200, rng))] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for limits in ({"block_shingles": 150}, {"block_shingles": 1200, "hubs": 1}):
+        assert Counter(map(tuple, minhash_forest.near_duplicates(df, k=4, **limits).collect())) == components(rows, 4)
+
+
 def test_crowds_link_by_the_short_prefix(spark):
     """Nodes of one 4-value prefix and different longer paths are candidates in a crowd as well as elsewhere."""
     paths = [b"12345678" + i.to_bytes(4, "big") for i in range(200)]
@@ -366,6 +383,21 @@ def test_one_grammar_for_a_shard(spark):
     assert [r["doc_id"] for r in got] == list(range(900)) and sum(r["n_tokens"] for r in got) == shards[0]["n_tokens"]
 
 
+def test_added_tokens_anywhere():
+    """Texts with the tokenizer's added token, or a part of it, glued, spaced, at line ends and after marks."""
+    public = pytest.importorskip("public_tokenizers")
+    encoder = token_output.UnitEncoder(public.path("byte_bpe_50k.json"))
+    token, rng = "<|endoftext|>", random.Random(8)
+    texts = [f"foo.{token} bar", f"a {token} b", f"foo{token}", f"a\n{token}\nb", token, token * 2, f"{token} x", "a <|endoftext| > b", "a <|", "endoftext|> b"]
+    parts = [token, "<|", "|>", "endoftext", " ", "\n", ".", "foo", "Ü", "9", "'s"]
+    texts += ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 9))) for _ in range(4000)]
+    for begin in range(0, len(texts), 500):
+        own = texts[begin : begin + 500]
+        raw = [t.encode() for t in own]
+        ids, n = encoder.encode(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+        assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in own]
+
+
 def test_units_that_share_a_hash_are_encoded_whole(monkeypatch):
     public = pytest.importorskip("public_tokenizers")
     path = public.path("byte_bpe_50k.json")
