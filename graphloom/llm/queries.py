@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphloom.llm import decontam, imatch, line_dedup, minhash_forest, mixing, substring_dedup, token_output, toxicity, url_filter, warc
+from graphloom.llm import decontam, embedding_dedup, hard_negatives, imatch, line_dedup, minhash_forest, mixing, prefix_trie, substring_dedup, token_output, toxicity, url_filter, warc
 from graphloom.llm.common import new_path, table
 
 URL_RULES = [
@@ -74,12 +74,35 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(documents, table(spark, sf_dir, "benchmark"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(embeddings.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"), least=0.98)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_substring_dedup, op2_url_filter, op3_token_output, op4_imatch, op5_line_dedup, op6_mixing, op7_warc, op8_toxicity, op9_minhash_forest, op10_decontamination)}
+    return {
+        f.__name__: f
+        for f in (
+            op1_substring_dedup, op2_url_filter, op3_token_output, op4_imatch, op5_line_dedup, op6_mixing, op7_warc, op8_toxicity, op9_minhash_forest, op10_decontamination,
+            op11_hard_negatives, op12_prefix_trie, op13_embedding_dedup,
+        )
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": SUBSTRING_SQL, "op2_url_filter": URL_SQL, "op5_line_dedup": LINE_SQL, "op7_warc": WARC_SQL, "op9_minhash_forest": NEAR_SQL}
+    return {
+        "op1_substring_dedup": SUBSTRING_SQL, "op2_url_filter": URL_SQL, "op5_line_dedup": LINE_SQL, "op7_warc": WARC_SQL, "op9_minhash_forest": NEAR_SQL,
+        "op11_hard_negatives": HARD_SQL, "op12_prefix_trie": TRIE_SQL, "op13_embedding_dedup": VECTOR_SQL,
+    }
 
 
 SUBSTRING_SQL = r"""
@@ -181,3 +204,82 @@ select page_id, strlen(html)::bigint as payload_bytes,
        case when page_id <> first then first end as refers_to
 from hashed
 """
+
+HARD_SQL = """
+with rows as (
+    select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+           list_transform(embedding, lambda x: floor(256 * x::double)) as q
+    from embeddings
+    where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+    select a.vec_id as anchor, a.label as own, r.vec_id as other, r.label, list_inner_product(a.q, r.q)::bigint as score
+    from rows a join rows r on a.vec_id % 100 = 0 and a.vec_id <> r.vec_id
+), positives as (
+    select * from (select *, row_number() over (partition by anchor order by score desc, other) as place from scored where label = own) where place <= 5
+), hard as (
+    select p.anchor as anchor_id, p.other as positive_id, p.score as positive_score, s.other as negative_id, s.score as negative_score,
+           row_number() over (partition by p.anchor, p.other order by s.score desc, s.other) as rank
+    from positives p join scored s on s.anchor = p.anchor and s.label <> s.own and 30 * p.score <= 100 * s.score and 100 * s.score <= 90 * p.score
+)
+select anchor_id, positive_id, rank::integer as rank, negative_id, positive_score, negative_score from hard where rank <= 10
+"""
+
+TRIE_SQL = """
+with keyed as (
+    select conv_id, turn, coalesce(text, '') as text, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) as key
+    from conversations where conv_id is not null
+), own as (
+    select conv_id, strlen(text) as bytes, key, row_number() over (partition by conv_id order by turn nulls first, key) as pos from keyed
+), convs as (
+    select conv_id, conv_id - conv_id % 5 as base,
+           xor(4294967295, list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(conv_id::varchar, ''), lambda d: ord(d)::bigint)),
+               lambda crc, d: list_reduce(list_prepend(xor(crc, d), range(8)), lambda c, k: xor(c >> 1, 3988292384 * (c & 1))))) % 9 as h
+    from (select distinct conv_id from own)
+), turns as (
+    select c.conv_id, 0 as late, o.pos, o.key, o.bytes from convs c join own o on o.conv_id = c.base and o.pos <= c.h
+    union all
+    select c.conv_id, 1, o.pos, o.key, o.bytes from convs c join own o on o.conv_id = c.conv_id and o.pos > c.h
+), built as (
+    select c.conv_id, coalesce(list(t.key order by t.late, t.pos) filter (t.key is not null), []) as keys,
+           coalesce(list(t.bytes order by t.late, t.pos) filter (t.key is not null), []) as sizes
+    from convs c left join turns t on t.conv_id = c.conv_id group by c.conv_id
+), prefixes as (
+    select conv_id, keys, sizes, unnest(range(0, len(keys) + 1)) as depth from built
+), members as (
+    select conv_id, depth, array_to_string(keys[1:depth], '') as node, array_to_string(keys[1:depth - 1], '') as parent,
+           case when depth = 0 then 0 else sizes[depth] end as bytes, len(keys) = depth as ended
+    from prefixes
+), nodes as (
+    select node, depth, min(conv_id) as conv_id, any_value(parent) as parent, count(*) as n_convs, any_value(bytes) as bytes,
+           sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (ended), '')) as ends_sha256
+    from members group by node, depth
+), families as (
+    select parent, count(*) as n_children from nodes where depth > 0 group by parent
+), sized as (
+    select nodes.*, coalesce(n_children, 0) as n_children from nodes left join families on families.parent = nodes.node
+), subtrees as (
+    select a.node, count(*) filter (b.n_children = 0) as n_leaves, sum((b.n_convs - 1) * b.bytes) as saved from sized a join sized b on starts_with(b.node, a.node) group by a.node
+)
+select s.conv_id, s.depth::bigint as depth, p.conv_id as parent_conv_id, s.n_convs::bigint as n_convs, s.n_children::bigint as n_children,
+       t.n_leaves::bigint as n_leaves, t.saved::bigint as saved_tokens, s.ends_sha256
+from sized s join subtrees t on t.node = s.node left join sized p on s.depth > 0 and p.node = s.parent
+"""
+
+VECTOR_SQL = """
+with recursive usable as (
+    select vec_id, label, list_transform(embedding, lambda x: x::double) as v from embeddings
+    where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+      and len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links as (
+    select a.vec_id as x, b.vec_id as y from usable a join usable b on a.label = b.label and a.vec_id <> b.vec_id and len(a.v) = len(b.v)
+    where list_cosine_similarity(a.v, b.v) >= 0.98
+), reach as (
+    select vec_id as x, vec_id as y from embeddings union select reach.x, links.y from reach join links on reach.y = links.x
+), least as (
+    select x as vec_id, min(y) as component_id from reach group by x
+), counts as (
+    select x as vec_id, count(*) as n_links from links group by x
+)
+select least.vec_id, coalesce(n_links, 0)::bigint as n_links, component_id, component_id = least.vec_id as kept
+from least left join counts on counts.vec_id = least.vec_id
+"""
