@@ -12,7 +12,7 @@ import corpus_pipeline
 from graphloom.llm import queries
 from graphloom.llm.common import written
 
-TABLES = "documents pages benchmark labels".split()
+TABLES = "documents embeddings pages benchmark labels conversations".split()
 
 
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
