@@ -2,30 +2,26 @@
 
 from __future__ import annotations
 
-import gzip
 import io
+import json
+import re
 import shlex
-import struct
-from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from graphloom.sources import bam
+
 ALIGNMENT = (
     "rec_ord long, query_id string, target string, is_unmapped boolean, is_secondary boolean, is_supplementary boolean, is_reverse boolean,"
     " pos0 long, cigar string, seq_len int, seq_sha256 string, as_score int, ms_score int, nm int"
 )
-#: Fixed values of the BAM format: CIGAR operations, sequence letters, and the sizes of tag types.
-CIGAR_OPS, LETTERS = "MIDNSHP=X", "=ACMGRSVTWYHKDBN"
-TAG_FORMATS = {"A": "c", "c": "b", "C": "B", "s": "h", "S": "H", "i": "i", "I": "I", "f": "f"}
-
-
 def _flag(c: Column, bit: int) -> Column:
     return c.bitwiseAND(F.lit(bit)) != 0
 
 
 def _typed(rows: DataFrame) -> DataFrame:
-    """From rec_ord, query_id, flag, target, pos0, cigar, seq, as_score, ms_score, nm. Sequence identity is that of the forward strand."""
+    """From rec_ord, query_id, flag, target, pos0, cigar, seq_len, seq, as_score, ms_score, nm. Sequence identity is that of the forward strand."""
     from graphloom.functions.sequence import reverse_complement
 
     flag = F.col("flag")
@@ -33,19 +29,24 @@ def _typed(rows: DataFrame) -> DataFrame:
     forward = F.when(_flag(flag, 16), reverse_complement(seq)).otherwise(seq)
     return rows.select(
         "rec_ord", "query_id", F.when(F.col("target") != "*", F.col("target")).alias("target"), _flag(flag, 4).alias("is_unmapped"), _flag(flag, 256).alias("is_secondary"),
-        _flag(flag, 2048).alias("is_supplementary"), _flag(flag, 16).alias("is_reverse"), "pos0", "cigar", F.length(seq).alias("seq_len"), F.sha2(forward, 256).alias("seq_sha256"),
+        _flag(flag, 2048).alias("is_supplementary"), _flag(flag, 16).alias("is_reverse"), "pos0", "cigar", "seq_len", F.sha2(forward, 256).alias("seq_sha256"),
         "as_score", "ms_score", "nm",
     )
 
 
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of SAM text behind its headers: rec_ord and value."""
+    return spark.read.text(path).filter(~F.startswith("value", F.lit("@"))).select(F.monotonically_increasing_id().alias("rec_ord"), "value")
+
+
 def read_sam(spark: SparkSession, path: str) -> DataFrame:
     """Alignment records of SAM text; header lines are passed over. Splits are read in parallel; rec_ord ascends along each file."""
-    rows = spark.read.text(path).filter(~F.startswith("value", F.lit("@"))).select(F.monotonically_increasing_id().alias("rec_ord"), F.split("value", "\t").alias("f"))
+    rows = _lines(spark, path).select("rec_ord", F.split("value", "\t").alias("f"))
     rows = rows.filter(F.size("f") >= 11)
     tag = lambda name: F.regexp_extract(F.try_element_at(F.filter(F.slice("f", 12, 100_000), lambda x: F.startswith(x, F.lit(f"{name}:i:"))), F.lit(1)), ":i:(-?[0-9]+)$", 1).try_cast("int")
     f = lambda k: F.col("f")[k]
     return _typed(
-        rows.select("rec_ord", f(0).alias("query_id"), f(1).cast("int").alias("flag"), f(2).alias("target"), (f(3).cast("long") - 1).alias("pos0"), f(5).alias("cigar"), f(9).alias("seq"), tag("AS").alias("as_score"), tag("ms").alias("ms_score"), tag("NM").alias("nm"))
+        rows.select("rec_ord", f(0).alias("query_id"), f(1).cast("int").alias("flag"), f(2).alias("target"), (f(3).cast("long") - 1).alias("pos0"), f(5).alias("cigar"), F.when(~f(9).isin("*", ""), F.length(f(9))).alias("seq_len"), f(9).alias("seq"), tag("AS").alias("as_score"), tag("ms").alias("ms_score"), tag("NM").alias("nm"))
     )
 
 
@@ -56,17 +57,30 @@ def header_lines(spark: SparkSession, path: str) -> DataFrame:
         rows = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("line_ord"), F.col("value").alias("line"))
         return rows.filter(F.startswith("line", F.lit("@")))
 
+    def lines_of(text, targets):
+        return [x for x in text.splitlines() if x and not x.startswith("@SQ")] + [f"@SQ\tSN:{name}\tLN:{n}" for name, n in targets]
+
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
-            for file, content in zip(batch.column("path"), batch.column("content"), strict=True):
-                with gzip.open(io.BytesIO(content.as_buffer().to_pybytes())) as stream:
-                    text, targets = header(stream)
-                lines = [x for x in text.splitlines() if x and not x.startswith("@SQ")] + [f"@SQ\tSN:{name}\tLN:{n}" for name, n in targets]
-                yield pa.RecordBatch.from_arrays([pa.array([file.as_py()] * len(lines), pa.string()), pa.array(range(len(lines)), pa.int64()), pa.array(lines, pa.string())], ["file", "line_ord", "line"])
+            for file in batch.column("path").to_pylist():
+                with bam.open_at(file) as at:
+                    lines = lines_of(*bam.header_of(at, at.size()))
+                yield pa.RecordBatch.from_arrays([pa.array([file] * len(lines), pa.string()), pa.array(range(len(lines)), pa.int64()), pa.array(lines, pa.string())], ["file", "line_ord", "line"])
+
+    def run_whole(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for file, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
+                raw = io.BytesIO(content.as_buffer().to_pybytes())
+                lines = lines_of(*bam.header_of(raw, len(raw.getbuffer())))
+                yield pa.RecordBatch.from_arrays([pa.array([file] * len(lines), pa.string()), pa.array(range(len(lines)), pa.int64()), pa.array(lines, pa.string())], ["file", "line_ord", "line"])
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, "file string, line_ord long, line string")
+    schema, (near, far) = "file string, line_ord long, line string", _files(spark, path)
+    out = spark.createDataFrame([(p,) for p, _ in near], "path string").repartition(max(1, len(near))).mapInArrow(run, schema)
+    return out if not far else out.unionByName(_contents(spark, far).mapInArrow(run_whole, schema))
 
 
 def _field(name: str) -> Column:
@@ -92,15 +106,7 @@ def aligner_options(command: str | None) -> str | None:
     """The options of an aligner's command line: without the program, the number of threads (-t) and the two files at its end. None
     if the line is missing or has no two files."""
     words = shlex.split(command or "")
-    if len(words) < 3:
-        return None
-    rest, kept = iter(words[1:-2]), []
-    for word in rest:
-        if word == "-t":
-            next(rest, None)
-        elif not (word.startswith("-t") and word[2:].isdigit()):
-            kept.append(word)
-    return " ".join(kept)
+    return " ".join(re.sub(r"(?<!\S)-t\s*\d+(?!\S)", "", " ".join(words[1:-2])).split()) if len(words) > 2 else None
 
 
 def last_aligner(lines: DataFrame, name: str | None = None) -> dict | None:
@@ -114,78 +120,91 @@ def last_aligner(lines: DataFrame, name: str | None = None) -> dict | None:
     return found[0] if found else None
 
 
-def read_bam(spark: SparkSession, path: str) -> DataFrame:
-    """Alignment records of BAM files. A file is read by one task, since its blocks can only be followed from the start: give many
-    files, or SAM or Parquet, for large inputs. rec_ord counts from 0 in each file."""
-    schema = "rec_ord long, query_id string, flag int, target string, pos0 long, cigar string, seq string, as_score int, ms_score int, nm int"
-    files = spark.read.format("binaryFile").load(path).select("content")
+#: Columns of the data source that a column of ``ALIGNMENT`` is made from, besides its own name.
+_MADE_FROM = {"is_unmapped": "flag", "is_secondary": "flag", "is_supplementary": "flag", "is_reverse": "flag"}
+
+
+def _files(spark: SparkSession, path: str) -> tuple[list[tuple[str, int]], list[str]]:
+    """BAM files (path, size) that Python can read in ranges, and those that only Spark reads or that have no blocks."""
+    near, far = [], []
+    for r in spark.read.format("binaryFile").load(path).select("path", "length").collect():  # of names, not of contents
+        try:
+            with bam.open_at(r["path"]) as file:
+                ranged = bam.is_blocked(file)
+        except (OSError, ValueError, NotImplementedError):
+            ranged = False
+        if ranged:
+            near.append((r["path"], r["length"]))
+        else:
+            far.append(r["path"])
+    return near, far
+
+
+def _contents(spark: SparkSession, paths: list[str]) -> DataFrame:
+    return spark.read.format("binaryFile").load(paths).select("path", "content")
+
+
+def _records(spark: SparkSession, path: str, columns: list[str], range_mb: float) -> DataFrame:
+    near, far = _files(spark, path)
+    spark.dataSource.register(bam.BamSource)
+    options = {"columns": ",".join(columns), "files": json.dumps(near), "step": str(max(1, int(range_mb * (1 << 20))))}
+    out = spark.read.format(bam.BamSource.name()).options(**options).load()
+    if not far:
+        return out
+    want = set(columns)
 
     def run(batches):
-        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_schema
 
-        names = [c.split()[0] for c in schema.split(", ")]
-        kinds = [pa.int64(), pa.string(), pa.int32(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32()]
+        schema = to_arrow_schema(kinds)
         for batch in batches:
             for content in batch.column("content"):
-                rows: list[tuple] = []
-                for row in decode(io.BytesIO(content.as_buffer().to_pybytes())):
-                    rows.append(row)
-                    if len(rows) == 5_000:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
-                        rows = []
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
-
-    return _typed(files.mapInArrow(run, schema))
-
-
-def header(stream: io.BufferedIOBase) -> tuple[str, list[tuple[str, int]]]:
-    """Header text and targets, from an unpacked BAM stream; leaves it at the first record."""
-    if stream.read(4) != b"BAM\1":
-        raise ValueError("not a BAM file")
-    text = stream.read(struct.unpack("<i", stream.read(4))[0]).rstrip(b"\0").decode()
-    targets = []
-    for _ in range(struct.unpack("<i", stream.read(4))[0]):
-        name = stream.read(struct.unpack("<i", stream.read(4))[0])[:-1].decode()
-        targets.append((name, struct.unpack("<i", stream.read(4))[0]))
-    return text, targets
-
-
-def decode(raw: io.BufferedIOBase) -> Iterator[tuple]:
-    """Records of a BAM file, whose blocks are members of one gzip stream."""
-    with gzip.open(raw) as stream:
-        _, targets = header(stream)
-        ordinal = 0
-        while size := stream.read(4):
-            data = stream.read(struct.unpack("<i", size)[0])
-            target, pos, l_name, _, _, n_ops, flag, l_seq = struct.unpack("<iiBBHHHi", data[:20])
-            at = 32 + l_name
-            name = data[32 : at - 1].decode()
-            ops = struct.unpack(f"<{n_ops}I", data[at : at + 4 * n_ops])
-            at += 4 * n_ops
-            packed = data[at : at + (l_seq + 1) // 2]
-            seq = "".join(LETTERS[b >> 4] + LETTERS[b & 15] for b in packed)[:l_seq]
-            tags = _tags(data, at + (l_seq + 1) // 2 + l_seq)
-            cigar = "".join(f"{o >> 4}{CIGAR_OPS[o & 15]}" for o in ops)
-            yield (ordinal, name, flag, targets[target][0] if target >= 0 else "*", pos, cigar or "*", seq or "*", tags.get("AS"), tags.get("ms"), tags.get("NM"))
-            ordinal += 1
-
-
-def _tags(data: bytes, at: int) -> dict[str, int]:
-    """Integer tags; the others are stepped over."""
-    out: dict[str, int] = {}
-    while at < len(data):
-        name, kind = data[at : at + 2].decode(), chr(data[at + 2])
-        at += 3
-        if kind in "ZH":
-            at = data.index(b"\0", at) + 1
-        elif kind == "B":
-            n = struct.unpack("<i", data[at + 1 : at + 5])[0]
-            at += 5 + n * struct.calcsize("<" + TAG_FORMATS[chr(data[at])])
-        else:
-            form = "<" + TAG_FORMATS[kind]
-            value = struct.unpack(form, data[at : at + struct.calcsize(form)])[0]
-            if kind not in "Af":
-                out[name] = value
-            at += struct.calcsize(form)
-    return out
+                yield from bam.batches(bam.records_of_file(content.as_buffer().to_pybytes(), want), schema)
+
+    kinds = out.schema
+    return out.unionByName(_contents(spark, far).select("content").mapInArrow(run, kinds))
+
+
+def read_bam(spark: SparkSession, path: str, columns: list[str] | None = None, range_mb: float = 16) -> DataFrame:
+    """Alignment records of BAM files, each cut into ranges of ``range_mb`` that are read in parallel. ``columns`` of ``ALIGNMENT``, all if
+    None: what the others need is not unpacked. rec_ord ascends along each file (it is a record's virtual offset).
+
+    Files of which only Spark can read the store, and gzip streams without blocks, are read whole by a task each.
+    """
+    every = [c.split()[0] for c in ALIGNMENT.split(", ")]
+    columns = every if columns is None else list(columns)
+    need = {_MADE_FROM.get(c, c) for c in columns} | ({"seq", "flag"} if "seq_sha256" in columns else set())
+    rows = _records(spark, path, [c.split()[0] for c in bam.RECORD.split(", ") if c.split()[0] in need], range_mb)
+    missing = {c.split()[0]: F.lit(None).cast(c.split()[1]) for c in bam.RECORD.split(", ") if c.split()[0] not in need}
+    return _typed(rows.withColumns(missing) if missing else rows).select(*columns)
+
+
+def write_filtered_bam(filtered: DataFrame, path: str, out: str, mark: str, per_file: int = 1_000_000, range_mb: float = 16) -> None:
+    """The records of the BAM file ``path`` whose rec_ord ``filtered`` holds, as they are, in a folder of BAM files: in the order of
+    the names and of the records in each they follow rec_ord. Each has the whole header, with ``mark`` as a comment at its end.
+
+    ``path`` is one file in blocks. About ``per_file`` records come to a file; no records give one file with the header alone.
+    """
+    spark = filtered.sparkSession
+    near, far = _files(spark, path)
+    if far or len(near) != 1:
+        raise ValueError(f"not one BAM file in blocks that Python can read: {path}")
+    with bam.open_at(near[0][0]) as file:
+        text, targets = bam.header_of(file, near[0][1])
+    kept = filtered.select("rec_ord").distinct()
+    rows = _records(spark, path, ["rec_ord", "raw"], range_mb).join(kept, "rec_ord", "left_semi")
+    parts = max(1, -(-kept.count() // per_file))
+    text = text + ("" if not text or text.endswith("\n") else "\n") + f"@CO\t{mark}\n"
+    options = {"path": out, "text": text, "targets": json.dumps(targets)}
+    rows.repartitionByRange(parts, "rec_ord").sortWithinPartitions("rec_ord").select("raw").write.format(bam.BamSource.name()).mode("overwrite").options(**options).save()
+
+
+def write_filtered_sam(filtered: DataFrame, path: str, out: str, mark: str) -> None:
+    """The lines of the SAM text ``path`` whose rec_ord ``filtered`` holds, as they are, behind all header lines and the comment ``mark``:
+    a folder of text files whose names follow the order, so that together they are one SAM text."""
+    spark = filtered.sparkSession
+    lines = spark.read.text(path)
+    head = lines.select(F.monotonically_increasing_id().alias("rec_ord"), "value").filter(F.startswith("value", F.lit("@"))).withColumn("part", F.lit(0))
+    note = spark.createDataFrame([(0, f"@CO\t{mark}", 1)], "rec_ord long, value string, part int")
+    body = _lines(spark, path).withColumn("part", F.lit(2)).join(filtered.select("rec_ord").distinct(), "rec_ord", "left_semi")
+    head.unionByName(note).unionByName(body).repartitionByRange("part", "rec_ord").sortWithinPartitions("part", "rec_ord").select("value").write.mode("overwrite").text(out)

@@ -1,13 +1,14 @@
 from __future__ import annotations
 
 import gzip
+import random
 import struct
 
 import pytest
 from pyspark.sql import functions as F
 
 from graphloom.operators import relations, transcripts, validate
-from graphloom.sources import bed, fasta, gtf, package, sam
+from graphloom.sources import bam, bed, fasta, gtf, package, sam
 from graphloom.sources.shared import shared_dir
 
 
@@ -82,19 +83,20 @@ def test_rename_and_write(spark, tmp_path):
         transcripts.rename_gtf(parsed, names.limit(0)).collect()
 
 
-def bam_bytes():
-    def record(name, flag, target, pos, ops, seq, tags):
-        packed = bytes((sam.LETTERS.index(a) << 4) | sam.LETTERS.index(b) for a, b in zip(seq[::2], (seq + "=")[1::2], strict=False))
-        body = struct.pack("<iiBBHHHiiii", target, pos, len(name) + 1, 0, 0, len(ops), flag, len(seq), -1, -1, 0)
-        body += name.encode() + b"\0" + b"".join(struct.pack("<I", n << 4 | sam.CIGAR_OPS.index(o)) for n, o in ops) + packed + b"\xff" * len(seq) + tags
-        return struct.pack("<i", len(body)) + body
+def bam_record(name, flag, target, pos, ops, seq, tags):
+    packed = bytes((bam.LETTERS.index(a) << 4) | bam.LETTERS.index(b) for a, b in zip(seq[::2], (seq + "=")[1::2], strict=False))
+    body = struct.pack("<iiBBHHHiiii", target, pos, len(name) + 1, 0, 0, len(ops), flag, len(seq), -1, -1, 0)
+    body += name.encode() + b"\0" + b"".join(struct.pack("<I", n << 4 | bam.CIGAR_OPS.index(o)) for n, o in ops) + packed + b"\xff" * len(seq) + tags
+    return struct.pack("<i", len(body)) + body
+
 
+def bam_bytes():
     text = b"@HD\tVN:1.6\n"
     head = b"BAM\1" + struct.pack("<i", len(text)) + text + struct.pack("<i", 2)
     for name, n in ((b"A", 100), (b"B", 50)):
         head += struct.pack("<i", len(name) + 1) + name + b"\0" + struct.pack("<i", n)
-    body = record("q.1", 16, 0, 0, [(4, "M")], "GACT", b"ASC\x04" + b"XZZabc\0" + b"NMc\x01" + b"ZBBc\x02\0\0\0\1\2" + b"msi\x07\0\0\0")
-    body += record("q.2", 4, -1, -1, [], "AACG", b"") + record("q.1", 256, 1, 9, [(2, "S"), (8, "M"), (5, "N"), (12, "M")], "", b"")
+    body = bam_record("q.1", 16, 0, 0, [(4, "M")], "GACT", b"ASC\x04" + b"XZZabc\0" + b"NMc\x01" + b"ZBBc\x02\0\0\0\1\2" + b"msi\x07\0\0\0")
+    body += bam_record("q.2", 4, -1, -1, [], "AACG", b"") + bam_record("q.1", 256, 1, 9, [(2, "S"), (8, "M"), (5, "N"), (12, "M")], "", b"")
     return gzip.compress(head) + gzip.compress(body)
 
 
@@ -111,6 +113,78 @@ def test_sam_and_bam(spark, tmp_path):
     assert {tuple(r) for r in sam.targets(sam.header_lines(spark, str(tmp_path / "a.sam"))).collect()} == {("A", 100), ("B", 50)}
 
 
+def blocked(stream, rng, least=40, most=900):
+    """A stream in blocks of odd sizes, so that records run across them, with the empty block at the end."""
+    out, at = b"", 0
+    while at < len(stream):
+        n = rng.randrange(least, most)
+        out, at = out + bam.block(stream[at : at + n]), at + n
+    return out + bam.END_BLOCK
+
+
+def random_bam(seed, records, long_at=()):
+    rng = random.Random(seed)
+    targets = [(f"chr{i}", 10_000 + i) for i in range(40)]
+    body = []
+    for i in range(records):
+        n = 30_000 if i in long_at else rng.choice([0, 1, 7, 60, 150])
+        seq = "".join(rng.choice("ACGTN") for _ in range(n))
+        ops = [(rng.randrange(1, 200), rng.choice("MIDNS=X")) for _ in range(rng.randrange(0, 6))]
+        tags = b"".join(rng.sample([b"ASc" + bytes([rng.randrange(100)]), b"NMi" + struct.pack("<i", rng.randrange(9)), b"XAZtext\0", b"msS" + struct.pack("<H", rng.randrange(500))], rng.randrange(5)))
+        body.append(bam_record(f"read{i}.{rng.randrange(9)}", rng.choice([0, 4, 16, 256, 2048]), rng.randrange(-1, 40), rng.randrange(-1, 9000), ops, seq, tags))
+    return bam.packed_header("@HD\tVN:1.6\n@PG\tID:a\tPN:a\n", targets) + b"".join(body)
+
+
+@pytest.mark.parametrize("long_at", [(), (5, 6, 700)])
+def test_bam_in_ranges(spark, tmp_path, long_at, monkeypatch):
+    """Ranges of a few blocks give what one range and the plain stream give, with records that are longer than a range too."""
+    rng = random.Random(len(long_at))
+    stream = random_bam(3, 800, long_at)
+    (tmp_path / "a.bam").write_bytes(blocked(stream, rng))
+    (tmp_path / "plain.bam").write_bytes(gzip.compress(stream))
+    read = lambda name, mb, **k: [tuple(r) for r in sam.read_bam(spark, str(tmp_path / name), range_mb=mb, **k).orderBy("rec_ord").collect()]
+    whole, many, plain = read("a.bam", 1000), read("a.bam", 0.004), read("plain.bam", 1)
+    assert sam.read_bam(spark, str(tmp_path / "a.bam"), range_mb=0.004).rdd.getNumPartitions() >= 8
+    assert many == whole and len(many) == 800 and [r[1:] for r in whole] == [r[1:] for r in plain]
+    some = ["query_id", "rec_ord", "is_secondary", "seq_len", "nm"]
+    assert {tuple(r) for r in sam.read_bam(spark, str(tmp_path / "a.bam"), some, 0.01).collect()} == {(r[1], r[0], r[4], r[9], r[13]) for r in whole}
+    # each range's first record is a true one, also where little is looked at
+    monkeypatch.setattr(bam, "WINDOW", 2000)
+    data, true = (tmp_path / "a.bam").read_bytes(), [r[0] for r in whole]
+    import io
+
+    for start in range(0, len(data), 3000):
+        found = bam.first_record(io.BytesIO(data), len(data), start, start + 3000, [10_000 + i for i in range(40)])
+        first = bam.Blocks(io.BytesIO(data), len(data)).first(start)
+        assert found in (None, *true) and (found is None or found >> 16 >= first)
+        assert found == next((v for v in true if start <= v >> 16 < start + 3000), None) or start == 0
+
+
+def test_filtered_bam_and_sam(spark, tmp_path):
+    (tmp_path / "a.bam").write_bytes(blocked(random_bam(4, 500), random.Random(1)))
+    rows = sam.read_bam(spark, str(tmp_path / "a.bam"), range_mb=0.01)
+    kept = rows.filter("rec_ord % 3 = 0 and not is_unmapped")
+    out = str(tmp_path / "kept")
+    sam.write_filtered_bam(kept, str(tmp_path / "a.bam"), out, "graphloom.filtered", per_file=60)
+    back = sam.read_bam(spark, f"{out}/*.bam")
+    plain = lambda df: [tuple(r)[1:] for r in df.collect()]
+    assert sorted(map(repr, plain(back))) == sorted(map(repr, plain(kept))) and kept.count() > 60
+    assert len(list((tmp_path / "kept").glob("part-*.bam"))) > 1 and not list((tmp_path / "kept").glob("_part*"))
+    assert {r["comment"] for r in sam.comments(sam.header_lines(spark, f"{out}/*.bam")).collect()} == {"graphloom.filtered"}
+    in_order = [x for p in sorted((tmp_path / "kept").glob("*.bam")) for x in plain(sam.read_bam(spark, str(p)).orderBy("rec_ord"))]
+    assert in_order == plain(kept.orderBy("rec_ord"))
+    sam.write_filtered_bam(kept.limit(0), str(tmp_path / "a.bam"), out, "m")
+    assert sam.read_bam(spark, f"{out}/*.bam").count() == 0
+    text = "@HD\tVN:1.6\n@SQ\tSN:A\tLN:100\n" + "".join(f"q.{i}\t0\tA\t{i + 1}\t9\t4M\t*\t0\t0\tGACT\t*\n" for i in range(50))
+    path = put(tmp_path, "a.sam", text)
+    some = sam.read_sam(spark, path).filter("pos0 % 7 = 1")
+    sam.write_filtered_sam(some, path, str(tmp_path / "some"), "graphloom.filtered")
+    again = sam.read_sam(spark, str(tmp_path / "some"))
+    assert sorted(plain(again)) == sorted(plain(some)) and some.count() == 7
+    lines = "".join(p.read_text() for p in sorted((tmp_path / "some").glob("part-*"))).splitlines()
+    assert lines[:3] == ["@HD\tVN:1.6", "@SQ\tSN:A\tLN:100", "@CO\tgraphloom.filtered"] and [x.split("\t")[0] for x in lines[3:]] == [f"q.{i}" for i in range(50) if i % 7 == 1]
+
+
 def test_package(spark, tmp_path):
     edges = spark.createDataFrame([("g2", "g1"), ("g1", "g2"), ("g1", "g2")], "src string, dst string")
     genes = spark.createDataFrame([("g1", 10, "c", 1, 2, "+", 0), ("g2", 20, "c", 5, 9, "-", 1)], "gene_id string, gene_len long, chrom string, start long, end long, strand string, bed_ord long")
