@@ -83,14 +83,15 @@ def _targets(records: DataFrame) -> DataFrame:
     return fasta.lengths(records).select(F.col("record_id").alias("name"), F.col("seq_len").alias("length"))
 
 
-def save(run: constructing.Construct, out: str, prefix: str, generations: list[dict], genes: DataFrame, gdna: DataFrame) -> None:
+def save(run: constructing.Construct, out: str, prefix: str, generations: list[dict], genes: DataFrame, gdna: DataFrame, settings: dict) -> None:
     """Tables and text files of a run, each a folder below ``out``."""
     at = lambda name: f"{out}/{prefix}_{name}"
-    package.write(run.edges, genes, at("graph"), generations, sequences=gdna.select("record_id", "seq"), filtered=run.filtered)
+    package.write(run.edges, genes, at("graph"), generations, settings, sequences=gdna.select("record_id", "seq"), filtered=run.filtered)
     alignment.marked_filtered(run.filtered).write.parquet(at("filtered"))
     for label, members in (("pre", run.clusters.pre), ("last", run.clusters.last)):
         members.write.parquet(at(f"{label}_clusters"))
         constructing.cluster_lines(members).orderBy(*constructing.CLUSTER_ORDER).select("line").write.text(at(f"{label}_cluster_lines"))
+    run.clusters.blocks.write.parquet(at("blocks"))
     gtf.write(constructing.official_gtf(run), at("gtf"), ["k1", "k2", "k3", "k4", "k5", "k6", "start", "end"])
     gtf.write(run.last.gtf, at("unrenamed_gtf"), ["seqname", "gtf_ord"])
     gtf.write(run.pre.gtf, at("pre_gtf"), ["seqname", "gtf_ord"])
@@ -140,8 +141,10 @@ def main(argv: list[str] | None = None) -> None:
         gdna, cdna = fasta.read(spark, a.gdna), fasta.read(spark, a.cdna)
         genes = constructing.gene_table(bed.last_places(bed.parse(bed.read(spark, a.bed))), _targets(gdna))
         given = _alignments(spark, a.bam, _targets(gdna))
-        run = constructing.construct(given.records, genes, fasta.lengths(cdna), gdna, names(spark, a.name), a.reference, chroms)
-        save(run, a.output, a.prefix, [given.generation(a, "construct", THRESHOLDS)], genes, gdna)
+        listed = names(spark, a.name)
+        run = constructing.construct(given.records, genes, fasta.lengths(cdna), gdna, listed, a.reference, chroms)
+        settings = {"reference": a.reference or listed[0], "main_chroms": list(chroms)}
+        save(run, a.output, a.prefix, [given.generation(a, "construct", THRESHOLDS)], genes, gdna, settings)
     elif a.command == "append":
         edges, nodes, manifest = package.load(spark, f"{a.history}_graph")
         gdna, cdna, history_gdna, history_cdna = (fasta.read(spark, path) for path in (a.gdna, a.cdna, a.history_gdna, a.history_cdna))
@@ -160,12 +163,16 @@ def main(argv: list[str] | None = None) -> None:
         models = gtf.models(gtf.read(spark, a.history_gtf))
         appending.check_history(models, history_cdna, nodes)
         lengths = appending.transcript_lengths(history_cdna, cdna)
+        settings = {"reference": a.reference, "main_chroms": list(chroms)}
+        stored = None  # clusters for another reference or other chromosomes say nothing about these
+        if manifest["settings"] == settings:
+            stored = constructing.Clusters(*(spark.read.parquet(f"{a.history}_{name}") for name in ("pre_clusters", "last_clusters", "blocks")))
         run = appending.append(
             edges, nodes, filtered, models, query_genes, to_all.records, to_query.records, lengths, sequences, names(spark, a.history_names), names(spark, a.name),
-            a.reference, chroms,
+            a.reference, chroms, history_clusters=stored,
         )
         genes = appending.all_genes(nodes, query_genes)
-        save(run, a.output, a.prefix, [*manifest["generations"], to_all.generation(a, "append", THRESHOLDS)], genes, sequences)
+        save(run, a.output, a.prefix, [*manifest["generations"], to_all.generation(a, "append", THRESHOLDS)], genes, sequences, settings)
     elif a.command == "export":
         gdna = fasta.read(spark, a.gdna)
         genes = constructing.gene_table(bed.package_rows(bed.read(spark, a.bed)), _targets(gdna))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -9,9 +11,12 @@ from pyspark.sql.window import Window
 from graphloom.functions import cigar
 from graphloom.functions.ids import gene_of, safe_ratio
 from graphloom.operators import validate
+from graphloom.operators.ranks import numbered
 
 #: Least coverage and identity, most soft clipping.
 COVERAGE, IDENTITY, SOFT_CLIP = 0.80, 0.90, 0.10
+#: Names the rules of quality_filter(); to be changed with them, so that graphs of different rules are told apart.
+FILTER_LOGIC = "own gene or thresholds on M=XI and D sums, 1"
 
 
 def primary_lines(alignments: DataFrame) -> DataFrame:
@@ -57,18 +62,24 @@ def is_marked_filtered(alignments: DataFrame) -> bool:
 
 
 def merged(parts: list[tuple[DataFrame, DataFrame]], targets: DataFrame) -> DataFrame:
-    """Records of several tables, one after the other in rec_ord, from pairs of records and their own targets (name, length), all of
-    which must be among ``targets`` with the same length. At most 64 tables of up to 2^52 record numbers each."""
-    if len(parts) > 64:
-        raise ValueError("more than 64 tables of alignments: give folders of files")
-    out = None
-    for k, (records, own) in enumerate(parts):
-        both = own.join(targets.select("name", F.col("length").alias("want")).distinct(), "name", "left")
-        validate.require(both.filter("want is null").select("name"), "alignment targets that are no gene")
-        validate.require(both.filter("want <> length").select("name"), "alignment targets of another length")
-        records = records.withColumn("rec_ord", F.col("rec_ord") + F.lit(k * 2**52))
-        out = records if out is None else out.unionByName(records)
-    return out
+    """Records of several tables, from pairs of records and their own targets (name, length), all of which must be among ``targets`` with
+    the same length. Adds part, the table's number: records follow one another by part and then rec_ord."""
+    owns = reduce(DataFrame.unionByName, (own.select("name", "length") for _, own in parts)).distinct()
+    both = owns.join(targets.select("name", F.col("length").alias("want")).distinct(), "name", "left")
+    validate.require(both.filter("want is null").select("name"), "alignment targets that are no gene")
+    validate.require(both.filter("want <> length").select("name"), "alignment targets of another length")
+    return reduce(DataFrame.unionByName, (records.withColumn("part", F.lit(k)) for k, (records, _) in enumerate(parts)))
+
+
+def in_one_order(tables: list[DataFrame]) -> DataFrame:
+    """Filtered records of several tables, one after the other, numbered anew in rec_ord from 0; inside a table by part, where it has that
+    column, and rec_ord. Any number of tables, and of runs on top of one another, keeps the order."""
+    rows = None
+    for k, t in enumerate(tables):
+        t = t.withColumns({"__table": F.lit(k), "part": F.col("part") if "part" in t.columns else F.lit(0)})
+        rows = t if rows is None else rows.unionByName(t, True)
+    keys = ["__table", "part", "rec_ord", "query_id", "target", "pos0", "cigar"]
+    return numbered(rows, "__place", keys).withColumn("rec_ord", F.col("__place")).drop("__table", "__place", "part")
 
 
 def gene_edges(filtered: DataFrame) -> DataFrame:

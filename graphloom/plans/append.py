@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from graphloom.functions.ids import MAIN_CHROMS, gene_of
 from graphloom.operators import alignment, relations, validate
-from graphloom.plans.construct import Construct, finish
+from graphloom.plans.construct import Clusters, Construct, derive_clusters, finish
 from graphloom.sources import fasta
 from graphloom.sources.shared import written
 
@@ -52,23 +52,43 @@ def all_genes(history_genes: DataFrame, query_genes: DataFrame) -> DataFrame:
 def append(
     history_edges: DataFrame, history_genes: DataFrame, history_filtered: DataFrame, history_models: DataFrame, query_genes: DataFrame,
     query_to_all: DataFrame, history_to_query: DataFrame, lengths: DataFrame, sequences: DataFrame, history_varieties: list[str], new_varieties: list[str],
-    reference: str, main_chroms: tuple[str, ...] = MAIN_CHROMS, realign: Callable[[DataFrame], DataFrame] | None = None,
+    reference: str, main_chroms: tuple[str, ...] = MAIN_CHROMS, realign: Callable[[DataFrame], DataFrame] | None = None, history_clusters: Clusters | None = None,
 ) -> Construct:
     """All tables of an append run. Only alignments of new transcripts to all genes and of old transcripts to new genes are filtered
     anew; edges among old genes come from the stored graph, and old transcript models (seeds) stand before aligned ones.
 
-    ``lengths`` (record_id, seq_len) and ``sequences`` (record_id, seq) cover old and new records.
+    ``lengths`` (record_id, seq_len) and ``sequences`` (record_id, seq) cover old and new records. With ``history_clusters``, those of
+    the stored graph for the same reference, only blocks that new edges touch are solved again.
     """
     check_inputs(history_genes, history_varieties, query_genes, query_to_all.select(F.col("query_id").alias("transcript_id")).distinct(), new_varieties)
     genes = written(all_genes(history_genes, query_genes), "genes")
     validate.require(validate.missing_from(lengths.select(gene_of(F.col("record_id")).alias("gene_id")), genes), "transcript sequences of unknown genes")
     new = [written(alignment.quality_filter(a, genes), "filtered") for a in (query_to_all, history_to_query)]
-    edges = written(relations.union_edges(history_edges, *map(alignment.gene_edges, new)), "edges")
-    # records of one table after the other
-    filtered = history_filtered.withColumn("part", F.lit(0)).unionByName(new[0].withColumn("part", F.lit(1)), True).unionByName(new[1].withColumn("part", F.lit(2)), True)
-    filtered = filtered.withColumn("rec_ord", F.col("rec_ord") + F.col("part") * F.lit(2**58)).drop("part")
-    eligible = genes.select("gene_id")
-    return finish(written(filtered, "merged"), edges, genes, lengths, sequences, history_varieties + new_varieties, reference, main_chroms, eligible, history_models, realign)
+    edges = written(relations.appended_edges(history_edges, *map(alignment.gene_edges, new)), "edges")
+    filtered = written(alignment.in_one_order([history_filtered, *new]), "merged")
+    eligible, varieties = genes.select("gene_id"), history_varieties + new_varieties
+    clusters = None
+    if history_clusters is not None:
+        added = written(relations.union_edges(*map(alignment.gene_edges, new)).join(history_edges.select("src", "dst"), ["src", "dst"], "left_anti"), "new-edges")
+        clusters = grown_clusters(history_clusters, history_edges, added, genes, eligible, varieties, reference, main_chroms)
+    return finish(filtered, edges, genes, lengths, sequences, varieties, reference, main_chroms, eligible, history_models, realign, clusters)
+
+
+def grown_clusters(
+    history: Clusters, history_edges: DataFrame, added: DataFrame, genes: DataFrame, eligible: DataFrame, varieties: list[str], reference: str,
+    main_chroms: tuple[str, ...] = MAIN_CHROMS, prefixes: list[str] | None = None,
+) -> Clusters:
+    """Clusters of a stored graph with ``added`` edges: those of weakly connected blocks that no added edge touches stay as stored; the
+    others are solved anew from their own edges. The result is that of all edges together, as components, hubs and splits depend on a
+    block's edges and genes alone (stored genes keep their lengths, places and varieties)."""
+    ends = added.select(F.col("src").alias("gene_id")).unionByName(added.select(F.col("dst").alias("gene_id"))).distinct()
+    touched = written(history.blocks.join(ends, "gene_id", "left_semi").select("root").distinct(), "touched-blocks")
+    old = written(history.blocks.join(touched, "root", "left_semi").select("gene_id"), "touched-genes")
+    again = history_edges.select("src", "dst").join(old.withColumnRenamed("gene_id", "src"), "src", "left_semi")
+    edges = written(again.select("src", "dst").unionByName(added.select("src", "dst")).distinct(), "touched-edges")
+    stay = lambda c: c.filter("o1 = 0").join(old, "gene_id", "left_anti")
+    kept = Clusters(stay(history.pre), stay(history.last), history.blocks.join(touched, "root", "left_anti"))
+    return derive_clusters(edges, genes, eligible, varieties, reference, main_chroms, prefixes, kept)
 
 
 def compare(left_edges: DataFrame, right_edges: DataFrame, left: tuple[DataFrame, DataFrame], right: tuple[DataFrame, DataFrame]) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from graphloom.functions import cigar, gtf, ids, sequence
 from graphloom.operators import alignment, assign, graph, naming, relations, transcripts, validate
+from graphloom.operators.ranks import numbered
 from graphloom.plans import derived
 from graphloom.plans.derived import REFERENCE, SQL, VARIETIES
 from graphloom.sources import bed, fasta
@@ -259,22 +260,23 @@ def _members(edges: DataFrame) -> DataFrame:
 
 
 def _models(spark, sf_dir):
+    """Best records, members of hubs, and the edges they come from."""
     rows = written(_filtered(spark, sf_dir), "filtered")
-    members = _members(alignment.gene_edges(rows))
-    best = alignment.best_alignments(rows, members)
+    edges = written(alignment.gene_edges(rows), "edges")
+    members = written(_members(edges), "members")
+    best = written(alignment.best_alignments(rows, members), "best")
     # one hub per transcript here: the one of its best record
-    return best, members
+    return best, members, edges
 
 
-def _grouped(spark, sf_dir):
-    best, members = _models(spark, sf_dir)
+def _grouped(best, members):
     cands = transcripts.hub_candidates(best, members).filter("hub = target")
     cands = cands.withColumn("cand_ord", F.row_number().over(Window.partitionBy("hub").orderBy("cand_ord")))
-    return transcripts.superstring_groups(cands)
+    return written(transcripts.superstring_groups(cands), "grouped")
 
 
-def _representatives(spark, sf_dir):
-    grouped = _grouped(spark, sf_dir)
+def _representatives(best, members):
+    grouped = _grouped(best, members)
     total = F.aggregate("exons", F.lit(0).cast("long"), lambda t, x: t + x["end"] - x["start"] + 1)
     return transcripts.representative_transcripts(grouped, grouped.select("transcript_id", total.alias("tx_len")))
 
@@ -305,12 +307,12 @@ def splice_pattern(spark, sf_dir):
 
 @query(MODEL_SQL + "select target as hub, transcript_id, pattern, rep_pattern, group_no::int as group_no, in_group::int as in_group from ing")
 def superstring_groups(spark, sf_dir):
-    return _grouped(spark, sf_dir).select("hub", "transcript_id", "pattern", "rep_pattern", "group_no", "in_group")
+    return _grouped(*_models(spark, sf_dir)[:2]).select("hub", "transcript_id", "pattern", "rep_pattern", "group_no", "in_group")
 
 
 @query(MODEL_SQL + "select target as hub, group_no::int as group_no, transcript_id, mlen::bigint as tx_len from chosen")
 def representative_transcripts(spark, sf_dir):
-    return _representatives(spark, sf_dir).select("hub", "group_no", "transcript_id", "tx_len")
+    return _representatives(*_models(spark, sf_dir)[:2]).select("hub", "group_no", "transcript_id", "tx_len")
 
 
 GTF_SQL = MODEL_SQL + """, head as (
@@ -326,19 +328,21 @@ GTF_SQL = MODEL_SQL + """, head as (
 
 
 def _gtf(spark, sf_dir):
-    return transcripts.gtf_rows(_representatives(spark, sf_dir), derived.genes(spark, sf_dir))
+    """GTF rows, and the edges."""
+    best, members, edges = _models(spark, sf_dir)
+    return transcripts.gtf_rows(_representatives(best, members), derived.genes(spark, sf_dir)), edges
 
 
 @query(GTF_SQL + """select hub as seqname, 'Pan' as source, feature, start::bigint as start, "end"::bigint as "end", '.' as score, strand, '.' as frame, attributes from gtfrow""")
 def gtf_rows(spark, sf_dir):
-    return _gtf(spark, sf_dir).select(*transcripts.GTF_COLUMNS)
+    return _gtf(spark, sf_dir)[0].select(*transcripts.GTF_COLUMNS)
 
 
 @query(GTF_SQL + NAMES_SQL + """select g.hub as seqname, feature, start::bigint as start, 'transcript_id "' || pan_id || '.' || group_no || '"; gene_id "' || pan_id || '";' as attributes
 from gtfrow g join name on name.hub = g.hub""")
 def gtf_rename(spark, sf_dir):
-    rows = _gtf(spark, sf_dir)
-    names = naming.pan_names(_edges(spark, sf_dir).select(F.col("dst").alias("hub")), derived.genes(spark, sf_dir), VARIETIES)
+    rows, edges = _gtf(spark, sf_dir)
+    names = naming.pan_names(edges.select(F.col("dst").alias("hub")), derived.genes(spark, sf_dir), VARIETIES)
     return transcripts.rename_gtf(rows, names).select("seqname", "feature", "start", "attributes")
 
 
@@ -346,16 +350,12 @@ def gtf_rename(spark, sf_dir):
 select pan_id, group_no::int as group_no, feature, start::bigint as start, row_number() over (
     order by case when starts_with(pan_id, 'PanCtg') then 999 else pan_id[4]::int end, pan_id[5], substr(pan_id, 6), group_no, feature = 'exon', start, "end")::int as place from row""")
 def pan_sort(spark, sf_dir):
-    rows = _gtf(spark, sf_dir)
-    names = naming.pan_names(_edges(spark, sf_dir).select(F.col("dst").alias("hub")), derived.genes(spark, sf_dir), VARIETIES)
+    rows, edges = _gtf(spark, sf_dir)
+    names = naming.pan_names(edges.select(F.col("dst").alias("hub")), derived.genes(spark, sf_dir), VARIETIES)
     rows = rows.join(names, rows["seqname"] == names["hub"]).withColumn("transcript", F.concat("pan_id", F.lit("."), F.col("group_no").cast("string")))
     keys = [*(f"k{i}" for i in range(1, 7)), "start", "end"]
     keyed = naming.with_pan_order(rows, "pan_id", "transcript")
-    # places in blocks of the first two keys, and the blocks' sizes before them
-    inside = keyed.withColumn("inside", F.row_number().over(Window.partitionBy("k1", "k2", "k3").orderBy(*keys)))
-    before = keyed.groupBy("k1", "k2", "k3").agg(F.count(F.lit(1)).alias("n"))
-    before = before.withColumn("before", F.sum("n").over(Window.orderBy("k1", "k2", "k3")) - F.col("n")).drop("n")
-    return inside.join(before, ["k1", "k2", "k3"]).select("pan_id", "group_no", "feature", "start", (F.col("before") + F.col("inside")).cast("int").alias("place"))
+    return numbered(keyed, "place", keys).select("pan_id", "group_no", "feature", "start", (F.col("place") + 1).cast("int").alias("place"))
 
 
 @query(GTF_SQL + """, ex1 as (select hub, group_no, strand, start, "end" from gtfrow where feature = 'exon'),
@@ -363,7 +363,7 @@ cd as (select hub || '.' || group_no as transcript_id, any_value(strand) as stra
        from ex1 join seqs on record_id = hub group by hub, group_no)
 select transcript_id, sha256(case when strand = '-' then reverse(translate(s, 'ACGTUMRWSYKVHDBNacgtumrwsykvhdbn', 'TGCAAKYWSRMBDHVNtgcaakywsrmbdhvn')) else s end) as cdna_sha256, length(s)::bigint as n from cd""")
 def spliced_cdna(spark, sf_dir):
-    rows = _gtf(spark, sf_dir).withColumn("gtf_ord", F.col("part_no"))
+    rows = _gtf(spark, sf_dir)[0].withColumn("gtf_ord", F.col("part_no"))
     out = transcripts.spliced_cdna(rows, derived.sequences(spark, sf_dir))
     return out.select("transcript_id", F.sha2("cdna", 256).alias("cdna_sha256"), F.length("cdna").cast("long").alias("n"))
 
@@ -372,7 +372,7 @@ def spliced_cdna(spark, sf_dir):
 num as (select *, dense_rank() over (partition by hub order by group_no) as k from gtfrow where hub in (select hub from miss))
 select hub as seqname, feature, start::bigint as start, 'transcript_id "' || hub || '.' || k || '"; gene_id "' || hub || '";' as attributes from num""")
 def rescue_from_pre(spark, sf_dir):
-    rows = written(_gtf(spark, sf_dir).withColumn("gtf_ord", F.col("group_no") * 1000 + F.col("part_no")), "pre-gtf")
+    rows = written(_gtf(spark, sf_dir)[0].withColumn("gtf_ord", F.col("group_no") * 1000 + F.col("part_no")), "pre-gtf")
     even = derived.genes(spark, sf_dir).filter("bed_ord % 2 = 0").select(F.col("gene_id").alias("hub"))
     missing = rows.select(F.col("seqname").alias("hub")).distinct().join(even, "hub", "left_anti")
     return transcripts.rescue_rows(missing, rows).select("seqname", "feature", "start", "attributes")
@@ -429,7 +429,7 @@ def append_union_edges(spark, sf_dir):
     edges = written(_edges(spark, sf_dir), "edges")
     new = lambda c: F.startswith(F.col(c), F.lit("SMALL"))
     history = edges.filter(~new("src") | ~new("dst"))  # the parts have edges in common
-    return relations.union_edges(history, edges.filter(new("src")), edges.filter(new("dst")))
+    return relations.appended_edges(history, edges.filter(new("src")), edges.filter(new("dst")))
 
 
 @query("""select gene_id, chrom, start, "end", strand, (variety in ('SMALL', 'LARGE') and variety <> 'LARGE')::int as part from gene""")
@@ -483,18 +483,75 @@ def resume_check(spark, sf_dir):
 
 @query(GTF_SQL + """select hub || '.' || group_no as transcript_id, hub as gene_id, count(*)::bigint as n from gtfrow group by all""")
 def gtf_attribute_parse(spark, sf_dir):
-    rows = _gtf(spark, sf_dir)
+    rows, _ = _gtf(spark, sf_dir)
     a = gtf.attribute_map(F.concat(F.lit('note "old"; note "kept"; '), F.col("attributes")))
     return rows.groupBy(F.try_element_at(a, F.lit("transcript_id")).alias("transcript_id"), F.try_element_at(a, F.lit("gene_id")).alias("gene_id")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query()
+#: The split of clusters, from mem(cluster, pos, gene_id): one step for each variety and chromosome (22nd: all other places), in which
+#: the k-th gene takes the k-th group in the order of preference. Every gene here is of a listed variety and has a place.
+FOLD_SQL = """, placed as (
+    select m.cluster, m.pos, gene_id, chrom, start, "end", list_position(['STANDARD', 'ECONOMY', 'MEDIUM', 'PROMO', 'LARGE', 'SMALL'], variety) as v,
+           case when regexp_matches(chrom, '^[ABD][1-7]$') then (instr('ABD', chrom[1]) - 1) * 7 + chrom[2]::int - 1 else 21 end as c
+    from mem m join gene using (gene_id)
+), first_at as (
+    select * from placed qualify row_number() over (partition by cluster, v, chrom, start order by "end" - start desc, pos) = 1
+), ordered as (
+    select *, row_number() over (partition by cluster, v order by c, case when c = 21 then lower(chrom) end, chrom, start, "end", gene_id) as place from first_at
+), per_variety as (
+    select cluster, v, count(*) as n, count(*) filter (c < 21) as m from ordered group by all
+), shape as (
+    select cluster, v as seed, n as width from per_variety qualify row_number() over (partition by cluster order by n desc, m desc, v) = 1
+), todo as materialized (
+    select o.*, seed from ordered o join shape using (cluster) where width > 1
+), fold(step, cluster, bin, anchor, level, busy, gene_id) as (
+    select 0, cluster, place, case when c < 21 then c end, 1, 0, gene_id from todo where v = seed
+    union all (
+    with cur as materialized (select * from fold), st as (select max(step) + 1 as s, max(step) // 22 + 1 as sv, max(step) % 22 as sc from cur),
+    g as (select cluster, gene_id, row_number() over (partition by cluster order by place) as k from todo, st where v = sv and v <> seed and c = sc),
+    f as (select cluster, bin, row_number() over (partition by cluster order by coalesce(anchor = sc, false) desc, anchor is not null, level, bin) as k from cur, st where busy <> sv),
+    hit as (select g.cluster, bin, gene_id from g join f using (cluster, k))
+    select s, cur.cluster, cur.bin, coalesce(anchor, case when h.gene_id is not null and sc < 21 then sc end), level + (h.gene_id is not null)::int,
+           case when h.gene_id is not null then sv else busy end, h.gene_id
+    from cur left join hit h using (cluster, bin), st where s <= 132)
+), grouped as (
+    select cluster, bin - 1 as group_no, row_number() over (partition by cluster, bin order by step) - 1 as member_pos, gene_id from fold where gene_id is not null
+    union all
+    select cluster, 0, row_number() over (partition by cluster order by pos) - 1, gene_id from placed join shape using (cluster) where width = 1
+)
+"""
+
+
+@query(", mem as (select (bed_ord % 997)::varchar as cluster, bed_ord as pos, gene_id from gene)" + FOLD_SQL + "select cluster as cluster_id, group_no::int as group_no, member_pos::int as member_pos, gene_id from grouped", recursive=True)
 def chrom_assignment(spark, sf_dir):
     part = derived.table(spark, sf_dir, "part").select(derived.gene_id(F.col("p_type"), F.col("p_partkey")).alias("gene_id"), (F.col("p_partkey") % 997).cast("string").alias("cluster_id"), F.col("p_partkey").cast("int").alias("member_pos"))
     return assign.chromosome_groups(part, derived.genes(spark, sf_dir), VARIETIES)
 
 
-@query()
+@query(PEEL_SQL + ", mem as (select hub as cluster, member_pos as pos, gene_id from pre)" + FOLD_SQL + """, grp as (select cluster, group_no, cluster || '/' || group_no as grp, gene_id from grouped),
+near as materialized (select distinct a.grp, src, dst from edge join grp a on a.gene_id = src join grp b on b.gene_id = dst and a.grp = b.grp),
+again(grp, gene_id, len, ref, round, hub) as (
+    select grp, gene_id, gene_len, contains(gene_id, 'STANDARD'), -1, null::varchar from grp join gene using (gene_id)
+    union all (
+    with pend as materialized (select * from again where hub is null),
+    deg as (select p.grp, p.gene_id, count(q.gene_id) as d from pend p left join near e on e.dst = p.gene_id and e.grp = p.grp left join pend q on q.gene_id = e.src group by all),
+    best as (select p.grp, p.gene_id as h from pend p join deg using (grp, gene_id) qualify row_number() over (partition by p.grp order by d desc, len desc, ref desc, p.gene_id) = 1)
+    select p.grp, p.gene_id, p.len, p.ref, p.round + 1,
+           case when p.gene_id = h or (exists (select 1 from near e where e.src = h and e.dst = p.gene_id) and exists (select 1 from near e where e.src = p.gene_id and e.dst = h)) then h end
+    from pend p join best b using (grp))
+), parts as (
+    select cluster, group_no, round, hub, a.gene_id, row_number() over (partition by a.grp, hub order by a.gene_id <> hub, a.gene_id) - 1 as member_pos
+    from again a join grp on grp.gene_id = a.gene_id where hub is not null
+), numbers as (
+    select cluster, group_no, round, row_number() over (partition by cluster order by group_no, round) - 1 as derived from (select distinct cluster, group_no, round from parts)
+), derived as (
+    select cluster, derived, member_pos, gene_id from parts join numbers using (cluster, group_no, round)
+), rest as (
+    select mem.cluster, coalesce(d.derived, 0) as derived, mem.pos, mem.gene_id from mem left join derived d on d.gene_id = mem.cluster where mem.gene_id not in (select gene_id from derived)
+), size as (select cluster, derived, count(*) as n from derived group by all)
+select cluster as cluster_id, derived::int as group_no, member_pos::int as member_pos, gene_id from derived
+union all
+select cluster, derived::int, (n + row_number() over (partition by cluster order by pos) - 1)::int, gene_id from rest join size using (cluster, derived)""", recursive=True)
 def last_clusters(spark, sf_dir):
     edges, pre = _pre(spark, sf_dir)
     members = written(pre, "pre").select(F.col("hub").alias("cluster_id"), "member_pos", "gene_id")

@@ -22,6 +22,8 @@ from collections.abc import Iterator
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 from pyspark.sql.types import StructType
 
+from graphloom.sources.files import open_at
+
 #: Fixed values of the format: CIGAR operations, sequence letters, sizes of tag types, and the empty block at a file's end.
 CIGAR_OPS, LETTERS = "MIDNSHP=X", "=ACMGRSVTWYHKDBN"
 TAG_FORMATS = {"A": "c", "c": "b", "C": "B", "s": "h", "S": "H", "i": "i", "I": "I", "f": "f"}
@@ -34,14 +36,6 @@ WINDOW = 1 << 20
 RECORD = "rec_ord long, query_id string, flag int, target string, pos0 long, cigar string, seq_len int, seq string, as_score int, ms_score int, nm int, raw binary"
 
 
-def open_at(path: str):
-    """A file that can be read from any place, through the file system that the path names."""
-    from pyarrow import fs
-
-    system, inner = fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
-    return system.open_input_file(inner)
-
-
 def _block_at(data: bytes, at: int) -> int:
     """The size of the block that ``data`` may have at ``at``; 0 if there is no block's header, -1 if more bytes are needed to tell."""
     if data[at : at + 4] != BLOCK_MAGIC[: len(data) - at]:

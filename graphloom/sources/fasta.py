@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.sql.window import Window
 
 from graphloom.functions import sequence
 from graphloom.functions.ids import gene_of
+from graphloom.sources import files
+from graphloom.sources.shared import written
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -32,6 +35,104 @@ def parse(records: DataFrame) -> DataFrame:
     return rows.filter("record_id <> ''")
 
 
+INDEX = "record_ord long, record_id string, path string, offset long, size long"
+
+
+def write_index(spark: SparkSession, path: str, out: str, range_mb: float = 64) -> None:
+    """An index of FASTA files (not compressed): record_ord, record_id, path, offset and size in bytes of each record, sorted by id.
+
+    Ranges of ``range_mb`` are read in parallel; a record belongs to the range where its ``>`` stands, and ends where the next one of its
+    file begins. record_ord follows the files by path and the records in each.
+    """
+    found = files.sized(spark, path)
+    step = max(1, int(range_mb * (1 << 20)))
+    starts = written(files.ranges(spark, found, step).mapInArrow(_starts, "number long, file_no long, path string, offset long, record_id string, next long"), "fasta-starts")
+    firsts = {r["number"]: (r["path"], r["offset"]) for r in starts.groupBy("number").agg(F.first("path").alias("path"), F.min("offset").alias("offset")).collect()}  # one row per range
+    ends, after, sizes = [], None, dict(found)
+    for number, (name, offset) in sorted(firsts.items(), reverse=True):
+        ends.append((number, after[1] if after and after[0] == name else sizes[name]))
+        after = (name, offset)
+    last = spark.createDataFrame(ends, "number long, range_end long")
+    rows = starts.join(F.broadcast(last), "number").withColumn("size", F.coalesce("next", "range_end") - F.col("offset"))
+    rows = rows.select((F.shiftleft("file_no", 44) + F.col("offset")).alias("record_ord"), "record_id", "path", "offset", "size")
+    rows.filter("record_id <> ''").repartitionByRange("record_id").sortWithinPartitions("record_id").write.mode("overwrite").parquet(out)
+
+
+def read_index(spark: SparkSession, path: str) -> DataFrame:
+    """An index as records without header and sequence: subset(), by_ids() and by_genes() choose among them, fetch() reads what is chosen."""
+    return spark.read.schema(INDEX).parquet(path)
+
+
+def _starts(batches):
+    """Of each range: where records begin, their ids, and where the next one of the range begins."""
+    import pyarrow as pa
+
+    def of_range(number, file_no, path, start, end):
+        rows = []
+        with files.open_at(path) as file:
+            file.seek(max(0, start - 1))
+            before, at = (b"\n" if start == 0 else file.read(1)), start
+            while at < end:
+                data = file.read(min(4 << 20, end - at))
+                if not data:
+                    break
+                text = before + data  # a byte ahead, to see whether a line begins
+                k = text.find(b"\n>")
+                while k >= 0:
+                    rows.append((at + k, text[k + 2 : k + 2002]))
+                    k = text.find(b"\n>", k + 1)
+                before, at = data[-1:], at + len(data)
+            for i, (offset, head) in enumerate(rows):
+                if b"\n" not in head and len(head) < 2000:  # cut off by the piece that was read
+                    file.seek(offset + 1)
+                    head = file.read(2000)
+                rows[i] = (offset, (head.split(b"\n", 1)[0].split() or [b""])[0].decode())
+        offsets = [r[0] for r in rows]
+        return [(number, file_no, path, o, name, n) for (o, name), n in zip(rows, [*offsets[1:], None][: len(rows)], strict=True)]
+
+    for batch in batches:
+        for r in batch.to_pylist():
+            rows = of_range(r["number"], r["file_no"], r["path"], r["start"], r["end"])
+            for k in range(0, len(rows), 50_000):
+                columns = list(zip(*rows[k : k + 50_000], strict=True))
+                kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["number", "file_no", "path", "offset", "record_id", "next"])
+
+
+def fetch(chosen: DataFrame) -> DataFrame:
+    """``chosen`` rows of an index with header and seq in place of path, offset and size: only their bytes are read, neighbours by one task."""
+    rest = [f for f in chosen.schema if f.name not in ("path", "offset", "size")]
+    schema = StructType([*rest, StructField("record", StringType())])
+
+    def run(batches):
+        import pyarrow as pa
+
+        path, file = None, None
+        for batch in batches:
+            out, held, size = [], [], 0
+            rows = list(zip(*(batch.column(c).to_pylist() for c in ("path", "offset", "size")), strict=True))
+            for i, (name, offset, n) in enumerate(rows):
+                if name != path:
+                    if file is not None:
+                        file.close()
+                    path, file = name, files.open_at(name)
+                file.seek(offset)
+                out.append(file.read(n).decode())
+                held.append(i)
+                size += n
+                if size > 32 << 20 or i == len(rows) - 1:
+                    at = pa.array(held)
+                    yield pa.RecordBatch.from_arrays([*(batch.column(f.name).take(at) for f in rest), pa.array(out, pa.string())], schema.names)
+                    out, held, size = [], [], 0
+        if file is not None:
+            file.close()
+
+    read_ = chosen.repartitionByRange("path", "offset").sortWithinPartitions("path", "offset").mapInArrow(run, schema)
+    parsed = parse(read_.select(F.struct(*(f.name for f in rest)).alias("record_ord"), "record"))
+    names = [f.name for f in rest if f.name != "record_id"]
+    return parsed.select(*(F.col(f"record_ord.{c}").alias(c) for c in names), "record_id", "header", "seq")
+
+
 def last_records(records: DataFrame, key: str = "record_id") -> DataFrame:
     """One record per key: the last."""
     return records.withColumn("__k", F.row_number().over(Window.partitionBy(key).orderBy(F.col("record_ord").desc()))).filter("__k = 1").drop("__k")

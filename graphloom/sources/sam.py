@@ -10,7 +10,7 @@ import shlex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphloom.sources import bam
+from graphloom.sources import bam, files
 
 ALIGNMENT = (
     "rec_ord long, query_id string, target string, is_unmapped boolean, is_secondary boolean, is_supplementary boolean, is_reverse boolean,"
@@ -65,7 +65,7 @@ def header_lines(spark: SparkSession, path: str) -> DataFrame:
 
         for batch in batches:
             for file in batch.column("path").to_pylist():
-                with bam.open_at(file) as at:
+                with files.open_at(file) as at:
                     lines = lines_of(*bam.header_of(at, at.size()))
                 yield pa.RecordBatch.from_arrays([pa.array([file] * len(lines), pa.string()), pa.array(range(len(lines)), pa.int64()), pa.array(lines, pa.string())], ["file", "line_ord", "line"])
 
@@ -127,16 +127,16 @@ _MADE_FROM = {"is_unmapped": "flag", "is_secondary": "flag", "is_supplementary":
 def _files(spark: SparkSession, path: str) -> tuple[list[tuple[str, int]], list[str]]:
     """BAM files (path, size) that Python can read in ranges, and those that only Spark reads or that have no blocks."""
     near, far = [], []
-    for r in spark.read.format("binaryFile").load(path).select("path", "length").collect():  # of names, not of contents
+    for name, size in files.sized(spark, path):
         try:
-            with bam.open_at(r["path"]) as file:
+            with files.open_at(name) as file:
                 ranged = bam.is_blocked(file)
-        except (OSError, ValueError, NotImplementedError):
+        except (OSError, ValueError, NotImplementedError):  # a store that only Spark reads
             ranged = False
         if ranged:
-            near.append((r["path"], r["length"]))
+            near.append((name, size))
         else:
-            far.append(r["path"])
+            far.append(name)
     return near, far
 
 
@@ -189,7 +189,7 @@ def write_filtered_bam(filtered: DataFrame, path: str, out: str, mark: str, per_
     near, far = _files(spark, path)
     if far or len(near) != 1:
         raise ValueError(f"not one BAM file in blocks that Python can read: {path}")
-    with bam.open_at(near[0][0]) as file:
+    with files.open_at(near[0][0]) as file:
         text, targets = bam.header_of(file, near[0][1])
     kept = filtered.select("rec_ord").distinct()
     rows = _records(spark, path, ["rec_ord", "raw"], range_mb).join(kept, "rec_ord", "left_semi")

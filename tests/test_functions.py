@@ -82,3 +82,50 @@ def test_sequences(spark):
     assert column(spark, sequence.wrap, texts) == ["\n".join(re.findall(".{1,60}", t)) for t in texts]
     df = spark.createDataFrame([("ACGTACGT", [(2, 3), (6, 8)])], "s string, e array<struct<start:long,end:long>>")
     assert df.select(sequence.spliced(F.col("s"), F.col("e")).alias("x")).first()["x"] == "CGCGT"
+
+
+def test_places_in_an_order(spark):
+    """Ranks over ranges against a sorted list: all rows, groups, a null group, ties and an empty table."""
+    from graphloom.operators.ranks import numbered
+
+    rows = [(i, "big" if i % 3 else (None if i % 2 else "b"), (i * 7919) % 503) for i in range(900)]
+    df = spark.createDataFrame(rows, "i int, g string, k int").repartition(6)
+    got = numbered(df, "place", [F.col("k").desc(), "i"]).collect()
+    assert [r["i"] for r in sorted(got, key=lambda r: r["place"])] == [r[0] for r in sorted(rows, key=lambda r: (-r[2], r[0]))]
+    assert sorted(r["place"] for r in got) == list(range(900))
+    for r in numbered(df, "place", ["k", "i"], "g").collect():
+        assert r["place"] == sum(x[1] == r["g"] and (x[2], x[0]) < (r["k"], r["i"]) for x in rows)
+    assert numbered(df.limit(0), "place", ["k"], "g").collect() == []
+
+
+def test_patterns_in_patterns(spark):
+    """The splice indexes against text search over all pairs, with splices that are parts of others as text."""
+    import random
+
+    from graphloom.operators import transcripts
+
+    rng = random.Random(6)
+    points = [1, 11, 20, 120, 30, 300, 3000, 41, 410]
+    rows, seen = [], set()
+    for hub in "ab":
+        for _ in range(150):
+            k = rng.randrange(0, 6)
+            pattern = ":".join(f"{rng.choice(points)}-{rng.choice(points)}" for _ in range(k)) or "mono"
+            if k > 2 and rng.random() < 0.6:  # a piece of another one
+                other = rng.choice([p for h, p, _ in rows if h == hub] or [pattern])
+                cut = other.split(":")
+                at = rng.randrange(len(cut))
+                pattern = ":".join(cut[at : at + rng.randrange(1, 5)])
+            if (hub, pattern) not in seen:
+                seen.add((hub, pattern))
+                rows.append((hub, pattern, len(rows)))
+    df = spark.createDataFrame(rows, "hub string, pattern string, seen int")
+    want = {}
+    for hub, p, _ in rows:
+        want[hub, p] = min(((-len(r), s, r) for h, r, s in rows if h == hub and p in r))[2]
+    got = transcripts.containing_patterns(df).collect()
+    assert {(r["hub"], r["pattern"]): r["rep_pattern"] for r in got} == want and len(got) == len(rows)
+    # a hub of many patterns with exons in common gives few candidates
+    many = [("h", ":".join(f"{100 * e + rng.randrange(40)}-{100 * e + 60 + rng.randrange(40)}" for e in range(rng.randrange(1, 4), rng.randrange(6, 9))), i) for i in range(4000)]
+    patterns = spark.createDataFrame(many, "hub string, pattern string, seen int").dropDuplicates(["pattern"])
+    assert transcripts.rare_joint_pairs(patterns).count() < 10 * patterns.count()

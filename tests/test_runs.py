@@ -81,6 +81,63 @@ def test_append(spark, first):
     assert table["directed_edges", "common"] == 5 and table["last_clusters", "exact"] == 2 and table["reciprocal_pairs", "jaccard"] == 0.5
 
 
+def test_appended_clusters_are_those_of_all_edges(spark):
+    """Random graphs in several blocks: new edges inside, between and outside of blocks, and some blocks untouched."""
+    import random
+
+    for seed in (1,):
+        rng = random.Random(seed)
+        block = lambda k: [f"RefA.b{k}g{i}" for i in range(6)] + [f"Q.b{k}g{i}" for i in range(4)]
+        old = [(rng.choice(block(k)), rng.choice(block(k))) for k in range(8) for _ in range(25)]
+        fresh = [f"NV22.g{i}" for i in range(6)]
+        added = [(rng.choice(fresh), rng.choice(fresh + block(0) + block(1))) for _ in range(15)] + [(rng.choice(block(0) + block(2)), rng.choice(fresh)) for _ in range(10)]
+        names = [g for k in range(9) for g in block(k)]
+        row = lambda i, g: (g, 100 + i % 7, rng.choice(["A1", "B2", "Ctg1"]), i % 11, i % 11 + 50, "+", i)
+        stored = spark.createDataFrame([row(i, g) for i, g in enumerate(names)], BED)
+        all_ = stored.unionByName(spark.createDataFrame([row(500 + i, g) for i, g in enumerate(fresh)], BED))
+        edges = lambda x: spark.createDataFrame(sorted(set(x)), "src string, dst string")
+        history = constructing.derive_clusters(edges(old), stored, stored.select("gene_id"), ["RefA", "Q"], "RefA")
+        new = edges(set(added) - set(old))
+        rows = lambda c: [sorted(map(tuple, t.select(sorted(t.columns)).collect())) for t in (c.pre, c.last, c.blocks)]
+        got = appending.grown_clusters(history, edges(old), new, all_, all_.select("gene_id"), ["RefA", "Q", "NV22"], "RefA")
+        assert rows(got) == rows(constructing.derive_clusters(edges(old + added), all_, all_.select("gene_id"), ["RefA", "Q", "NV22"], "RefA"))
+
+
+def test_two_appends_keep_record_order(spark):
+    """Records of three runs, with equal and with very large numbers, follow one another as one construct would have them."""
+    from graphloom.operators import alignment
+
+    table = lambda tag, base, n=5: spark.createDataFrame([(base + i, *record(0, f"{tag}{i}.1", "RefA.g1")[1:]) for i in reversed(range(n))], ALIGNMENT)
+    first = table("a", 2**60)
+    for tags in ("bc", "de"):
+        first = alignment.in_one_order([first, *(table(t, 7) for t in tags)])
+    got = [(r["rec_ord"], r["query_id"]) for r in first.orderBy("rec_ord").collect()]
+    assert got == [(5 * k + i, f"{t}{i}.1") for k, t in enumerate("abcde") for i in range(5)] and "part" not in first.columns
+
+
+def test_many_alignment_inputs(spark):
+    """129 tables with equal record numbers stay in the order given."""
+    from graphloom.operators import alignment
+
+    targets = spark.createDataFrame([("RefA.g1", 100)], "name string, length long")
+    part = lambda k: spark.createDataFrame([record(i, f"t{k:03d}x{i}.1", "RefA.g1") for i in (1, 0)], ALIGNMENT)
+    rows = alignment.in_one_order([alignment.merged([(part(k), targets) for k in range(129)], targets)])
+    assert [r["query_id"] for r in rows.orderBy("rec_ord").collect()] == [f"t{k:03d}x{i}.1" for k in range(129) for i in range(2)]
+
+
+def test_realigned_models_fill_missing_hubs(spark, first):
+    _, genes, run = first
+    clusters = run.clusters.last
+    seen = []
+
+    def realign(members):
+        seen.extend(sorted(r["hub"] for r in members.select("hub").distinct().collect()))
+        return alignments(spark, [("Q.g7.1", "Q.g7")]).withColumns({"mlen": F.lit(20), "aln_len": F.lit(20), "soft": F.lit(0)})
+
+    models = constructing.transcript_models(run.filtered, clusters, genes, lengths(spark, {"Q.g7.1": 20, "RefA.g1.1": 20, "Q.g1.1": 25, "Q.g1.2": 22, "RefA.g2.1": 20}), sequences(spark, [r[0] for r in genes.collect()]), realign=realign)
+    assert seen == ["Q.g7"] and models.missing.count() == 0 and models.gtf.filter("seqname = 'Q.g7'").count() == 2
+
+
 def test_no_rows_without_length_or_strand(spark):
     from graphloom.operators import transcripts
 

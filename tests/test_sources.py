@@ -185,6 +185,36 @@ def test_filtered_bam_and_sam(spark, tmp_path):
     assert lines[:3] == ["@HD\tVN:1.6", "@SQ\tSN:A\tLN:100", "@CO\tgraphloom.filtered"] and [x.split("\t")[0] for x in lines[3:]] == [f"q.{i}" for i in range(50) if i % 7 == 1]
 
 
+def test_fasta_index(spark, tmp_path):
+    """Records by index against the whole files: odd line ends, records over ranges, ids in two files, little read for a few ids."""
+    rng = random.Random(7)
+    folder = tmp_path / "fa"
+    folder.mkdir()
+    for name in ("b.fa", "a.fa"):
+        text = ""
+        for i in range(300):
+            seq = "".join(rng.choice("ACGTn") for _ in range(rng.choice([0, 1, 60, 500, 9000])))
+            end = "\r\n" if i % 11 == 0 else "\n"
+            text += f">{name[0]}{i // 2}.{i % 2}|x note > {i}{end}" + end.join(seq[k : k + 70] for k in range(0, len(seq), 70)) + "\n" * (1 + i % 2)
+        put(folder, name, text + ">same.1\nACGT\n>\nAC")
+    whole = fasta.read(spark, str(folder))
+    for mb in (64, 0.003):
+        fasta.write_index(spark, str(folder), str(tmp_path / "index"), mb)
+        index = fasta.read_index(spark, str(tmp_path / "index"))
+        plain = lambda df: sorted((r["record_id"], r["header"], r["seq"]) for r in df.collect())
+        assert plain(fasta.fetch(index)) == plain(whole)
+        assert index.agg(F.sum("size")).first()[0] == sum(p.stat().st_size for p in folder.iterdir()) - 2 * len(">\nAC")
+        ids = spark.createDataFrame([("a3.1|x",), ("b17.0|x",), ("none",)], "record_id string")
+        assert plain(fasta.fetch(fasta.by_ids(index, ids))) == plain(fasta.by_ids(whole, ids))
+        assert fasta.by_ids(index, ids).agg(F.sum("size")).first()[0] < 20_000
+        genes = spark.createDataFrame([("a3",)], "gene_id string")
+        assert plain(fasta.fetch(fasta.by_genes(index, genes))) == plain(fasta.by_genes(whole, genes))
+        names = spark.createDataFrame([(0, "A5.1"), (1, "SAME.1"), (2, "zzz")], "pos int, name string")
+        got = fasta.fetch(fasta.subset(index, names, "token")).orderBy("pos")
+        assert [(r["name"], r["record_id"]) for r in got.collect()] == [("A5.1", "a5.1|x"), ("SAME.1", "same.1")]
+    assert [r["record_id"] for r in index.orderBy("record_ord").limit(2).collect()] == ["a0.0|x", "a0.1|x"]
+
+
 def test_package(spark, tmp_path):
     edges = spark.createDataFrame([("g2", "g1"), ("g1", "g2"), ("g1", "g2")], "src string, dst string")
     genes = spark.createDataFrame([("g1", 10, "c", 1, 2, "+", 0), ("g2", 20, "c", 5, 9, "-", 1)], "gene_id string, gene_len long, chrom string, start long, end long, strand string, bed_ord long")
@@ -193,6 +223,8 @@ def test_package(spark, tmp_path):
     package.write(edges, genes, at, [one])
     e, n, manifest = package.load(spark, at)
     assert (e.count(), n.count(), manifest["generations"]) == (2, 2, [one])
+    both = relations.appended_edges(e, spark.createDataFrame([("g1", "g1"), ("g1", "g2"), ("g1", "g1")], "src string, dst string"))
+    assert sorted(map(tuple, both.collect())) == [("g1", "g1"), ("g1", "g2"), ("g2", "g1")]
     package.check_provenance(manifest["generations"], {**one, "scope": "new"})
     for other in ({**one, "aligner_version": "2.29"}, {**one, "filter_thresholds": {}}):
         with pytest.raises(ValueError):
@@ -219,3 +251,32 @@ def test_fasta_with_line_ends_of_two_characters(spark, tmp_path):
     path.write_bytes(b">a one\r\nACGT\r\nAC\t\r\n>b\r\n\r\nGG\r\n")
     rows = fasta.read(spark, str(path)).orderBy("record_ord").collect()
     assert [(r["record_id"], r["header"], r["seq"]) for r in rows] == [("a", "a one", "ACGTAC"), ("b", "b", "GG")]
+
+
+def test_stored_edges_are_joined_in_their_buckets(spark, monkeypatch):
+    """An append meets the history's edges without moving them: no exchange stands above their scan."""
+    monkeypatch.setattr(package, "BUCKET_EDGES", 50)
+    edges = spark.range(400).selectExpr("concat('g', id % 40) as src", "concat('g', id) as dst")
+    genes = spark.range(400).selectExpr("concat('g', id) as gene_id", "10L as gene_len", "'c' as chrom", "id as start", "id + 9 as end", "'+' as strand", "id as bed_ord")
+    at = f"{shared_dir(spark)}/bucketed"
+    package.write(edges, genes, at, [package.generation("a", "1", "-x", "all", {"coverage": 0.8, "identity": 0.9, "soft_clip": 0.1})])
+    history, _, manifest = package.load(spark, at)
+    assert manifest["buckets"] == 8 and history.exceptAll(edges).count() == 0 and history.count() == 400
+    new = spark.range(300, 900).selectExpr("concat('g', id % 40) as src", "concat('g', id) as dst")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        both = relations.appended_edges(history, new, new)
+        plan = both._jdf.queryExecution().executedPlan().toString()
+        assert both.count() == 900 and both.distinct().count() == 900
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = plan.splitlines()
+    scans = [i for i, x in enumerate(lines) if "Scan parquet" in x and "graphloom_edges" in x]
+    assert len(scans) == 2
+    for i in scans:  # walk up by indentation
+        depth = lines[i].index("FileScan")
+        for x in reversed(lines[:i]):
+            at_ = len(x) - len(x.lstrip(" :+-*()0123456789"))
+            if at_ < depth:
+                depth = at_
+                assert "Exchange" not in x
