@@ -55,7 +55,7 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "warc")
     warc.write_archive(table(spark, sf_dir, "pages"), path)
-    return warc.read_archive(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return warc.measured(warc.rebuilt_records(spark, path))
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

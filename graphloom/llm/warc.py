@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from graphloom.llm.common import written
+
 #: The digits that conv() writes in base 32, and those of RFC 4648.
 CONV_DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 BASE32_DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -106,3 +108,80 @@ def record_bytes(records: DataFrame) -> DataFrame:
     """Adds ``record``: the exact bytes of each record as a WARC file holds them, from read_archive(payloads=True)."""
     body = F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.lit(b""))
     return records.withColumn("record", F.concat("header", body, F.lit(b"\r\n\r\n")))
+
+
+def rebuilt_records(spark: SparkSession, path: str) -> DataFrame:
+    """page_id, address and record: the exact bytes of every record of an archive, responses by a join with the one copy of their payload.
+
+    A stored payload that is not the one of its address, or a missing one, ends the job. Payloads meet the responses only, so that a
+    payload with many revisits is not copied for them.
+    """
+    store = spark.read.schema(PAYLOADS).parquet(f"{path}/payloads")
+    sound = store.select("address", F.when(F.unhex(F.sha2("payload", 256)) == F.col("address"), F.col("payload")).alias("payload"))
+    records = spark.read.schema(RECORDS).parquet(f"{path}/records").withColumn("__revisit", F.contains(F.decode("header", "UTF-8"), F.lit("\r\nWARC-Type: revisit\r\n")))
+    end = F.lit(b"\r\n\r\n")
+    lost = F.raise_error(F.concat(F.lit("no sound payload for page "), F.coalesce(F.col("page_id").cast("string"), F.lit("null")))).cast("binary")
+    responses = records.filter("not __revisit").join(sound, "address", "left").withColumn("record", F.concat("header", F.coalesce("payload", lost), end))
+    revisits = records.filter("__revisit").withColumn("record", F.concat("header", end))
+    return responses.select("page_id", "address", "record").unionByName(revisits.select("page_id", "address", "record"))
+
+
+def measured(records: DataFrame) -> DataFrame:
+    """page_id, payload_bytes, payload_digest, record_type and refers_to of rebuilt_records(), told from their bytes alone.
+
+    A response's payload is what its header's Content-Length cuts off behind the empty line; it must hash to the header's digest and be
+    followed by two line ends. A revisit has the measures of the response that it names and that has its digest; one without such a
+    response, as any other damage, ends the job.
+    """
+    text = F.decode("record", "ISO-8859-1")  # one character for each byte
+    head = F.substring_index(text, "\r\n\r\n", 1)
+    field = lambda name: F.regexp_extract(F.concat(F.col("head"), F.lit("\r\n")), rf"\r\n{name}: ([^\r\n]*)\r\n", 1)
+    rows = records.withColumn("head", head).withColumns(
+        {
+            "record_type": field("WARC-Type"),
+            "said": F.substring(field("WARC-Payload-Digest"), 6, 32),
+            "length": field("Content-Length").cast("int"),
+            "refers_to": F.regexp_extract(field("WARC-Refers-To"), r"<urn:page:(-?\d+)>", 1).try_cast("long"),
+        }
+    )
+    body = F.substring("record", F.length("head") + 5, F.col("length"))
+    damage = lambda kind: F.raise_error(F.concat(F.lit("damaged record of page "), F.coalesce(F.col("page_id").cast("string"), F.lit("null")))).cast(kind)
+    whole = (F.length("record") == F.length("head") + F.col("length") + 8) & (F.substring("record", F.length("head") + F.col("length") + 5, F.lit(4)) == F.lit(b"\r\n\r\n"))
+    own = rows.filter("record_type = 'response'").withColumn("payload_digest", sha1_base32(body))
+    own = own.select("page_id", "address", F.when(whole & (F.col("payload_digest") == F.col("said")), F.col("length").cast("long")).otherwise(damage("long")).alias("payload_bytes"), "payload_digest")
+    own = written(own, "warc-responses")
+    named = own.select(F.col("page_id").alias("refers_to"), F.col("payload_digest").alias("said"), "payload_bytes").distinct()
+    again = rows.filter("record_type = 'revisit'").select("page_id", "refers_to", "said").join(named, ["refers_to", "said"], "left")
+    again = again.withColumn("payload_bytes", F.coalesce("payload_bytes", damage("long")))
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    first = own.select("page_id", "payload_bytes", "payload_digest", F.lit("response").alias("record_type"), F.lit(None).cast("long").alias("refers_to"))
+    return first.unionByName(again.select("page_id", "payload_bytes", F.col("said").alias("payload_digest"), F.lit("revisit").alias("record_type"), "refers_to").select(*columns))
+
+
+def write_warc_files(records: DataFrame, path: str, per_file: int = 10_000) -> None:
+    """rebuilt_records() as files that other tools read: gzip with a member for each record, in a folder of about ``per_file`` records each,
+    ordered by page_id. Each task writes its own under a name that no other try has, and what it wrote is listed in ``_files``."""
+    import gzip
+    import uuid
+
+    from pyspark import TaskContext
+
+    def run(batches):
+        import pyarrow as pa
+        from pyarrow import fs
+
+        system, folder = fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+        system.create_dir(folder, recursive=True)
+        name, n, out = f"part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex[:8]}.warc.gz", 0, None
+        for batch in batches:
+            for record in batch.column("record").to_pylist():
+                out = out or system.open_output_stream(f"{folder}/{name}", compression=None)
+                out.write(gzip.compress(record, mtime=0))
+                n += 1
+        if out:
+            out.close()
+            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([n], pa.int64())], ["file", "records"])
+
+    parts = max(1, -(-records.count() // per_file))
+    ordered = records.repartitionByRange(parts, "page_id", F.sha2("record", 256)).sortWithinPartitions("page_id")
+    ordered.select("record").mapInArrow(run, "file string, records long").write.mode("overwrite").json(f"{path}/_files")

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
+import pathlib
 import re
 from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from graphloom.llm import line_dedup, mixing, url_filter, warc
 from graphloom.llm.common import new_path
@@ -65,9 +68,21 @@ def test_archive(spark):
     kinds = Counter((r["page_id"], r["record_type"], r["refers_to"]) for r in got)
     assert kinds == Counter({(3, "revisit", 1): 1, (1, "response", None): 2, (2, "response", None): 1, (4, "response", None): 1, (5, "revisit", 4): 1, (None, "revisit", 1): 1, (None, "response", None): 1, (6, "response", None): 1})
     assert spark.read.parquet(f"{path}/payloads").count() == 5
+    rebuilt = warc.rebuilt_records(spark, path)
+    assert sorted(bytes(r["record"]) for r in rebuilt.collect()) == sorted(bytes(r["record"]) for r in got)
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    assert Counter(map(tuple, warc.measured(rebuilt).select(*columns).collect())) == Counter(tuple(r[c] for c in columns) for r in got)
+    damaged = rebuilt.withColumn("record", F.when(F.col("page_id") == 6, F.concat("record", F.lit(b"x"))).otherwise(F.col("record")))
+    with pytest.raises(Exception, match="damaged record of page 6"):
+        warc.measured(damaged).collect()
+    with pytest.raises(Exception, match="damaged record of page 3"):
+        warc.measured(rebuilt.filter("page_id <> 1")).collect()
+    warc.write_warc_files(rebuilt, f"{path}/files", per_file=3)
+    held = [gzip.decompress(p.read_bytes()) for p in sorted(pathlib.Path(f"{path}/files".removeprefix("file://")).glob("*.warc.gz"))]
+    assert len(held) > 1 and sum(len(x) for x in held) == sum(len(r["record"]) for r in got) and all(bytes(r["record"]) in b"".join(held) for r in got)
     empty = new_path(spark, "warc-empty")
     warc.write_archive(df.limit(0), empty)
-    assert warc.read_archive(spark, empty).collect() == []
+    assert warc.read_archive(spark, empty).collect() == [] == warc.measured(warc.rebuilt_records(spark, empty)).collect()
 
 
 def water_fill(sizes, weights, total, epochs):
