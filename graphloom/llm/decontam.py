@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -125,20 +125,21 @@ class Benchmark:
         return out
 
 
-def contaminated(documents: DataFrame, benchmark: DataFrame, threshold: float = 0.6, k: int = 5, block_mb: float = 16) -> DataFrame:
+def contaminated(documents: DataFrame, benchmark: DataFrame, threshold: float = 0.6, k: int = 5, block_mb: float = 16, hot_pairs: int = 10_000) -> DataFrame:
     """Pairs doc_id, item_id, coverage, n_tiles, n_words, one for each row of ``documents`` and item with coverage >= ``threshold``.
 
     Words are runs without blanks and ASCII punctuation, A-Z lower-cased; ``k`` words are a seed and the shortest tile. Null and
     empty texts and items of fewer than ``k`` words are in no pair. Repeated rows give repeated pairs. A benchmark of at most
     ``block_mb`` of text is broadcast to the documents, which are not shuffled; a larger one meets them in a join on seeds, and what
-    is broadcast is a bit set of at most ``block_mb``. Both ways give the same pairs.
+    is broadcast is a bit set of at most ``block_mb``. Both ways give the same pairs. ``hot_pairs``: of texts and items, from which a
+    seed is left out of the join where the item's other seeds suffice.
     """
     spark = documents.sparkSession
     items = benchmark.filter(F.col("text").isNotNull()).select("item_id", "text")
     total = items.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0)).alias("b")).first()["b"]
     measures = [T.StructField(n, t) for n, t in (("coverage", T.DoubleType()), ("n_tiles", T.LongType()), ("n_words", T.LongType()))]
     if total > int(block_mb * 2**20):
-        return _seed_joined(documents.select("doc_id", "text"), items, T.StructType(measures), threshold, k, block_mb)
+        return _seed_joined(documents.select("doc_id", "text"), items, T.StructType(measures), threshold, k, block_mb, hot_pairs)
     rows = sorted(((r["item_id"], r["text"]) for r in items.collect()), key=lambda r: (r[0] is None, r))
     schema = T.StructType([documents.schema["doc_id"], benchmark.schema["item_id"], *measures])
     return documents.select("doc_id", "text").mapInArrow(_judge(spark.sparkContext.broadcast((rows, k)), threshold), schema)
@@ -195,12 +196,56 @@ def _bit_set(seeds: DataFrame, block_mb: float) -> bytes:
     return bytes(out)
 
 
-def _seed_joined(documents: DataFrame, items: DataFrame, measures: T.StructType, threshold: float, k: int, block_mb: float) -> DataFrame:
+def _gram_places(k: int):
+    """Every gram of each item with its place, and the item's words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, data, offsets in text_slices(batch, "text"):
+                words = Words(data, offsets, lower=True, breaks=PUNCTUATION)
+                grams, b = words.grams(k), words.bounds
+                owner = np.repeat(np.arange(len(b) - 1), np.diff(b))[: len(grams)]
+                at = np.flatnonzero(np.arange(len(grams)) + k <= b[owner + 1])
+                own = owner[at]
+                yield pa.RecordBatch.from_arrays([rows.column("__text").take(pa.array(own)), pa.array(grams[at].view(np.int64)), pa.array(at - b[own]), pa.array(np.diff(b)[own])], ["__item", "gram", "at", "words"])
+
+    return run
+
+
+def _kept_seeds(threshold: float, k: int, hot_pairs: int):
+    """Of one item's places: the seeds that go into the join, how many places each has, and how many of these places a covered text has at least.
+
+    A covered item shares at least m = ceil(threshold * words / k) places. Seeds are looked at from the most frequent on. One of which
+    texts and items make over ``hot_pairs`` pairs is left out while the words under all that are left out are fewer than the threshold
+    asks for: a text that covers the item then has another place, too. Others are left out up to floor((m - 1) / 2) places.
+    """
+
+    def run(key: tuple, own: pd.DataFrame) -> pd.DataFrame:
+        words = int(own["words"].iloc[0])
+        least = max(1, int(np.ceil(words * threshold / k - 1e-9)))
+        spare, gone, under = (least - 1) // 2, 0, np.zeros(words + k, bool)
+        rows = []
+        order = own.sort_values(["texts", "gram", "at"], ascending=[False, True, True], kind="stable")
+        for gram, part in order.groupby("gram", sort=False):
+            at = part["at"].to_numpy(np.int64)
+            more = under.copy()
+            more[(at[:, None] + np.arange(k)).ravel()] = True
+            hot = int(part["texts"].iloc[0]) * int(part["items"].iloc[0]) > hot_pairs
+            if (hot and more.sum() < threshold * words - 1e-9) or gone + len(at) <= spare:
+                under, gone = more, gone + len(at)
+            else:
+                rows.append((int(gram), len(at)))
+        out = pd.DataFrame(rows, columns=["gram", "n"]).astype("int64")
+        return out.assign(__item=key[0], needed=max(1, least - gone))[["__item", "gram", "n", "needed"]]
+
+    return run
+
+
+def _seed_joined(documents: DataFrame, items: DataFrame, measures: T.StructType, threshold: float, k: int, block_mb: float, hot_pairs: int) -> DataFrame:
     """contaminated() for a benchmark of any size, by digests of texts.
 
-    An item's seeds meet those of the texts in a join, where a bit set of all seeds has kept out most words of the corpus. A covered
-    item shares at least m of its seed places, as a place covers k words; so the floor((m - 1) / 2) places whose seeds are in most texts are
-    left out of the join, and of the pairs only those with m less these in common have their texts compared.
+    An item's seeds meet those of the texts in a join, where a bit set of all seeds has kept out most words of the corpus. What
+    _kept_seeds() leaves out is in no such join: a line that many items and many texts share does not make pairs by itself.
     """
     spark = documents.sparkSession
     digest = F.sha2("text", 256)
@@ -212,12 +257,9 @@ def _seed_joined(documents: DataFrame, items: DataFrame, measures: T.StructType,
     hits = written(docs.filter("text is not null").select("__text", "text").mapInArrow(_text_grams(k, bits), grams).select("__text", "gram").distinct(), "seed-hits")
     bits.destroy()
 
-    spread = item_grams.join(hits.groupBy("gram").agg(F.count(F.lit(1)).alias("texts")), "gram")
-    by_item = Window.partitionBy("__text").orderBy(F.desc("texts"), "gram").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    least = F.greatest(F.lit(1), F.ceil(F.col("words") * F.lit(threshold / k) - F.lit(1e-9)))
-    ranked = spread.withColumns({"least": least, "upto": F.sum("n").over(by_item)}).withColumn("spare", F.floor((F.col("least") - 1) / 2))
-    # a seed goes whole or stays whole, so at most ``spare`` places go
-    kept = ranked.filter("upto > spare").select(F.col("__text").alias("__item"), "gram", "n", (F.col("least") - F.col("spare")).alias("needed"))
+    spread = hits.groupBy("gram").agg(F.count(F.lit(1)).alias("texts")).join(item_grams.groupBy("gram").agg(F.count(F.lit(1)).alias("items")), "gram")
+    places = item_texts.mapInArrow(_gram_places(k), "__item string, gram long, at long, words long").join(spread, "gram")
+    kept = written(places.groupBy("__item").applyInPandas(_kept_seeds(threshold, k, hot_pairs), "__item string, gram long, n long, needed long"), "item-seeds")
     shared = hits.join(kept, "gram").groupBy("__text", "__item").agg(F.sum("n").alias("n"), F.first("needed").alias("needed"))
     pairs = written(shared.filter("n >= needed").select("__text", "__item"), "seed-pairs")
 

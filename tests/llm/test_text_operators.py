@@ -223,6 +223,40 @@ def test_large_benchmark(spark):
         assert len(want) > 5 and Counter(decontam.contaminated(docs, bench, threshold, block_mb=0.0001).collect()) == want
 
 
+def test_contaminated_against_brute_force(spark):
+    """Both paths, with hot seeds too, against tiles by trying all places: moved sentences, a prompt that all items and most texts share."""
+    rng = random.Random(21)
+    prompt = prose(14, rng)
+    items = [(i, f"{prompt} {prose(rng.randrange(16, 40), rng)}") for i in range(12)] + [(50, None), (51, "too short"), (52, prose(9, rng))]
+    docs = []
+    for i in range(70):
+        words = items[i % 12][1].split()
+        a, b = sorted(rng.sample(range(len(words)), 2))
+        parts = [" ".join(words[a:b]), " ".join(words[b:]), prompt if i % 3 else "", prose(12, rng)]
+        rng.shuffle(parts)
+        docs.append((i, ", ".join(parts)))
+    docs += [(90, None), (91, ""), (3, docs[3][1]), (92, items[4][1].upper()), (93, items[14][1])]
+    plain = lambda t: [w for w in "".join(c.lower() if "A" <= c <= "Z" else " " if c in ",." else c for c in t or "").split()]
+    want = Counter()
+    for d, text in docs:
+        for i, item in items:
+            words = plain(item)
+            covered = sum(naive_tiles(words, plain(text), 5)) if len(words) >= 5 else 0
+            if covered and covered >= 0.6 * len(words):
+                want[d, i, covered] += 1
+    assert 20 < len(want) < 200
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    for limits in ({}, {"block_mb": 0}, {"block_mb": 0, "hot_pairs": 20}, {"block_mb": 0, "hot_pairs": 0}):
+        got = decontam.contaminated(df, bench, **limits).collect()
+        assert Counter((r["doc_id"], r["item_id"], r["n_words"]) for r in got) == want
+    # the shared prompt is in no item's join
+    import pandas as pd
+
+    rows = pd.DataFrame([("i", g, g, 40, 1000 if g < 10 else 1, 12) for g in range(36)], columns=["__item", "gram", "at", "words", "texts", "items"])
+    kept = decontam._kept_seeds(0.6, 5, 100)(("i",), rows)
+    assert set(kept["gram"]) <= set(range(10, 36)) and len(kept) > 0 and set(kept["needed"]) == {1}
+
+
 def test_fingerprints(documents, rows):
     got = imatch.edited_fingerprints(documents).collect()
     order = sorted(((i if i is not None else -(2**63), t or "") for i, t in rows), key=lambda r: -r[0])
