@@ -16,6 +16,7 @@ from graphloom.operators import alignment, relations, validate
 from graphloom.plans import append as appending
 from graphloom.plans import construct as constructing
 from graphloom.sources import bed, fasta, gtf, package, sam
+from graphloom.sources.shared import clear_scratch
 
 
 def names(spark: SparkSession, text: str) -> list[str]:
@@ -39,6 +40,14 @@ class Alignments:
 
     records: DataFrame
     header: DataFrame | None
+    paths: tuple[str, ...] = ()
+
+    def write_kept(self, spark: SparkSession, genes: DataFrame, out: str) -> None:
+        """The records that pass the filter, as they stand in each SAM or BAM file, in a folder of ``out`` for each; Parquet is left out."""
+        for k, path in enumerate(self.paths):
+            if path.rstrip("/").endswith((".sam", ".bam")):
+                read, write = (sam.read_bam, sam.write_filtered_bam) if path.endswith(".bam") else (sam.read_sam, sam.write_filtered_sam)
+                write(alignment.quality_filter(read(spark, path), genes), path, f"{out}/{k}.{path.rstrip('/')[-3:]}", alignment.FILTERED)
 
     @property
     def filtered(self) -> bool:
@@ -58,15 +67,15 @@ class Alignments:
 
 def _alignments(spark: SparkSession, text: str, targets: DataFrame) -> Alignments:
     """BAM, SAM or Parquet from a list of paths with ","; several files are put together if all their targets are among ``targets``."""
-    parts, headers = [], []
-    for path in [x.strip() for x in text.split(",") if x.strip()]:
+    parts, headers, paths = [], [], [x.strip() for x in text.split(",") if x.strip()]
+    for path in paths:
         if path.rstrip("/").endswith((".sam", ".bam")):
             headers.append(sam.header_lines(spark, path))
             parts.append((sam.read_bam(spark, path) if path.endswith(".bam") else sam.read_sam(spark, path), sam.targets(headers[-1])))
         else:
             parts.append((spark.read.parquet(path), targets.limit(0)))
     records = parts[0][0] if len(parts) == 1 else alignment.merged(parts, targets)
-    return Alignments(records, reduce(DataFrame.unionByName, headers) if len(headers) == len(parts) else None)
+    return Alignments(records, reduce(DataFrame.unionByName, headers) if len(headers) == len(parts) else None, tuple(paths))
 
 
 def _sequence_genes(places: DataFrame, gdna: DataFrame) -> DataFrame:
@@ -114,6 +123,7 @@ def parser() -> argparse.ArgumentParser:
         c.add_argument("--main-chroms", help="chromosome names in order, or a file of them")
         c.add_argument("-p", "--prefix", default=name)
         c.add_argument("-o", "--output", required=True)
+        c.add_argument("--keep-records", help="folder for the filtered records in the form of their SAM and BAM files")
         for flag in ("--aligner", "--aligner-version", "--aligner-options"):
             c.add_argument(flag, help="provenance of the alignments, where their header does not tell it")
     c = sub.choices["construct"]
@@ -135,6 +145,7 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> None:
     a = parser().parse_args(argv)
+    own_session = SparkSession.getActiveSession() is None
     spark = SparkSession.builder.appName("graphloom").getOrCreate()
     chroms = tuple(names(spark, a.main_chroms)) if getattr(a, "main_chroms", None) else MAIN_CHROMS
     if a.command == "construct":
@@ -145,6 +156,8 @@ def main(argv: list[str] | None = None) -> None:
         run = constructing.construct(given.records, genes, fasta.lengths(cdna), gdna, listed, a.reference, chroms)
         settings = {"reference": a.reference or listed[0], "main_chroms": list(chroms)}
         save(run, a.output, a.prefix, [given.generation(a, "construct", THRESHOLDS)], genes, gdna, settings)
+        if a.keep_records:
+            given.write_kept(spark, genes, a.keep_records)
     elif a.command == "append":
         edges, nodes, manifest = package.load(spark, f"{a.history}_graph")
         gdna, cdna, history_gdna, history_cdna = (fasta.read(spark, path) for path in (a.gdna, a.cdna, a.history_gdna, a.history_cdna))
@@ -172,6 +185,9 @@ def main(argv: list[str] | None = None) -> None:
             a.reference, chroms, history_clusters=stored,
         )
         genes = appending.all_genes(nodes, query_genes)
+        if a.keep_records:
+            for label, given in (("query-to-all", to_all), ("history-to-query", to_query)):
+                given.write_kept(spark, genes, f"{a.keep_records}/{label}")
         save(run, a.output, a.prefix, [*manifest["generations"], to_all.generation(a, "append", THRESHOLDS)], genes, sequences, settings)
     elif a.command == "export":
         gdna = fasta.read(spark, a.gdna)
@@ -188,6 +204,8 @@ def main(argv: list[str] | None = None) -> None:
             for side in ("left", "right"):
                 sides.filter(F.col("side") == side).select("hub").orderBy("hub").write.text(f"{a.output}/{label}_{side}_only")
         print(json.dumps([r.asDict() for r in out.collect()], sort_keys=True))
+    if own_session:
+        clear_scratch(spark)  # all results are stored
 
 
 if __name__ == "__main__":

@@ -7,12 +7,11 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-
 _local: dict[str, str] = {}  # of each local application without the setting
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a temporary one only where that is unset and Spark is local."""
+    """The folder of ``spark.checkpoint.dir``, which all executors see; a temporary one only where that is unset and Spark is local."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
         if not spark.sparkContext.master.startswith("local"):
@@ -22,7 +21,23 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+def scratch_dir(spark: SparkSession) -> str:
+    """The application's own folder below it."""
+    return f"{shared_dir(spark)}/graphloom-{spark.sparkContext.applicationId}"
+
+
+def new_path(spark: SparkSession, label: str) -> str:
+    return f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
+    """Writes ``df`` into the application's folder and reads it back: cuts the lineage and survives lost executors."""
+    path = new_path(df.sparkSession, label)
+    df.write.partitionBy(*partition_by).parquet(path) if partition_by else df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Deletes all tables that written() made for this application. Results that are not stored elsewhere can no longer be read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -63,7 +63,7 @@ def files(tmp_path_factory):
 
 
 def construct(at):
-    cli.main(["construct", "-n", "RefA,Q", "-c", f"{at}/cdna.fa", "-g", f"{at}/gdna.fa", "-b", f"{at}/all.bed", "--bam", f"{at}/raw.sam", "-r", "RefA", "-p", "h", "-o", f"{at}/out"])
+    cli.main(["construct", "-n", "RefA,Q", "-c", f"{at}/cdna.fa", "-g", f"{at}/gdna.fa", "-b", f"{at}/all.bed", "--bam", f"{at}/raw.sam", "-r", "RefA", "-p", "h", "-o", f"{at}/out", "--keep-records", f"{at}/kept"])
 
 
 def append(at, prefix, **other):
@@ -81,6 +81,9 @@ def test_runs(spark, files):
     assert (one["aligner"], one["aligner_version"], one["aligner_options"], one["scope"]) == ("mapper", "2.28", "-ax splice --secondary=yes", "construct")
     assert alignment.is_marked_filtered(spark.read.parquet(f"{at}/out/h_filtered")) and not alignment.is_marked_filtered(sam.read_sam(spark, f"{at}/raw.sam"))
 
+    assert sorted(r["query_id"] for r in sam.read_sam(spark, f"{at}/kept/0.sam").collect()) == sorted(r["query_id"] for r in spark.read.parquet(f"{at}/out/h_filtered").collect())
+    assert alignment.FILTERED in {r["comment"] for r in sam.comments(sam.header_lines(spark, f"{at}/kept/0.sam")).collect()}
+
     with pytest.warns(UserWarning, match="1 BED genes"):
         append(at, "a")
     edges, nodes, manifest = package.load(spark, f"{at}/out/a_graph")
@@ -122,7 +125,7 @@ def test_merged_alignments(spark, files):
     paths = [put("m1.sam", sam_text(["RefA.g1"], [("RefA.g1.1", "RefA.g1")])), put("m2.sam", sam_text(["Q.g1"], [("Q.g1.1", "Q.g1"), ("RefA.g1.1", "Q.g1")]))]
     targets = spark.createDataFrame([(g, 100) for g in GENES], "name string, length long")
     got = cli._alignments(spark, ",".join(paths), targets)
-    assert [r["query_id"] for r in got.records.orderBy("rec_ord").collect()] == ["RefA.g1.1", "Q.g1.1", "RefA.g1.1"]
+    assert [r["query_id"] for r in alignment.in_one_order([got.records]).orderBy("rec_ord").collect()] == ["RefA.g1.1", "Q.g1.1", "RefA.g1.1"]
     for other, what in ((targets.filter("name <> 'Q.g1'"), "no gene"), (targets.withColumn("length", F.lit(7).cast("long")), "another length")):
         with pytest.raises(ValueError, match=what):
             cli._alignments(spark, ",".join(paths), other)

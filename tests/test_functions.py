@@ -129,3 +129,22 @@ def test_patterns_in_patterns(spark):
     many = [("h", ":".join(f"{100 * e + rng.randrange(40)}-{100 * e + 60 + rng.randrange(40)}" for e in range(rng.randrange(1, 4), rng.randrange(6, 9))), i) for i in range(4000)]
     patterns = spark.createDataFrame(many, "hub string, pattern string, seen int").dropDuplicates(["pattern"])
     assert transcripts.rare_joint_pairs(patterns).count() < 10 * patterns.count()
+
+
+def test_scratch_tables_go_when_told(spark):
+    """In a session of its own folder, so that tables of other tests stay."""
+    import os
+    import tempfile
+
+    from graphloom.sources import shared
+
+    before = spark.conf.get("spark.checkpoint.dir")
+    spark.conf.set("spark.checkpoint.dir", "file://" + tempfile.mkdtemp(prefix="graphloom-tests-"))
+    try:
+        rows = shared.written(spark.range(5).toDF("i"), "some")
+        at = shared.scratch_dir(spark).removeprefix("file://")
+        assert rows.count() == 5 and os.listdir(at)
+        shared.clear_scratch(spark)
+        assert not os.path.exists(at)
+    finally:
+        spark.conf.set("spark.checkpoint.dir", before)

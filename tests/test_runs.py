@@ -138,6 +138,27 @@ def test_realigned_models_fill_missing_hubs(spark, first):
     assert seen == ["Q.g7"] and models.missing.count() == 0 and models.gtf.filter("seqname = 'Q.g7'").count() == 2
 
 
+def test_edges_grow_by_batches(spark, tmp_path):
+    """Files of alignments that come one after the other, with edges in common; a second start finds only what is new."""
+    from graphloom import streaming
+
+    genes = spark.createDataFrame([("RefA.g1",), ("Q.g1",)], "gene_id string")
+    inbox, table = str(tmp_path / "in"), str(tmp_path / "edges")
+    put = lambda rows: alignments(spark, rows).coalesce(1).write.mode("append").parquet(inbox)
+    put([("RefA.g1.1", "RefA.g1"), ("RefA.g1.2", "Q.g1"), ("RefA.g1.3", "Q.g1")])
+    put([("Q.g1.1", "RefA.g1"), ("RefA.g1.2", "Q.g1"), ("X.g1.1", "Y.g1")])
+
+    def grow():
+        stream = spark.readStream.schema(ALIGNMENT).option("maxFilesPerTrigger", 1).parquet(inbox)
+        query = streaming.grow_edges(stream, genes, table, str(tmp_path / "checkpoint"))
+        query.awaitTermination(120)
+        return sorted(map(tuple, spark.read.parquet(table).collect()))
+
+    assert grow() == [("Q.g1", "RefA.g1"), ("RefA.g1", "Q.g1"), ("RefA.g1", "RefA.g1")]
+    put([("Q.g1.9", "Q.g1"), ("Q.g1.1", "RefA.g1")])
+    assert grow() == [("Q.g1", "Q.g1"), ("Q.g1", "RefA.g1"), ("RefA.g1", "Q.g1"), ("RefA.g1", "RefA.g1")]
+
+
 def test_no_rows_without_length_or_strand(spark):
     from graphloom.operators import transcripts
 
