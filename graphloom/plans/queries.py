@@ -528,7 +528,7 @@ def chrom_assignment(spark, sf_dir):
     return assign.chromosome_groups(part, derived.genes(spark, sf_dir), VARIETIES)
 
 
-@query(PEEL_SQL + ", mem as (select hub as cluster, member_pos as pos, gene_id from pre)" + FOLD_SQL + """, grp as (select cluster, group_no, cluster || '/' || group_no as grp, gene_id from grouped),
+LAST_SQL = PEEL_SQL + ", mem as (select hub as cluster, member_pos as pos, gene_id from pre)" + FOLD_SQL + """, grp as (select cluster, group_no, cluster || '/' || group_no as grp, gene_id from grouped),
 near as materialized (select distinct a.grp, src, dst from edge join grp a on a.gene_id = src join grp b on b.gene_id = dst and a.grp = b.grp),
 again(grp, gene_id, len, ref, round, hub) as (
     select grp, gene_id, gene_len, contains(gene_id, 'STANDARD'), -1, null::varchar from grp join gene using (gene_id)
@@ -548,17 +548,78 @@ again(grp, gene_id, len, ref, round, hub) as (
     select cluster, derived, member_pos, gene_id from parts join numbers using (cluster, group_no, round)
 ), rest as (
     select mem.cluster, coalesce(d.derived, 0) as derived, mem.pos, mem.gene_id from mem left join derived d on d.gene_id = mem.cluster where mem.gene_id not in (select gene_id from derived)
-), size as (select cluster, derived, count(*) as n from derived group by all)
-select cluster as cluster_id, derived::int as group_no, member_pos::int as member_pos, gene_id from derived
-union all
-select cluster, derived::int, (n + row_number() over (partition by cluster order by pos) - 1)::int, gene_id from rest join size using (cluster, derived)""", recursive=True)
+), size as (select cluster, derived, count(*) as n from derived group by all), last_cluster as (
+    select cluster as cluster_id, derived::int as group_no, member_pos::int as member_pos, gene_id from derived
+    union all
+    select cluster, derived::int, (n + row_number() over (partition by cluster order by pos) - 1)::int, gene_id from rest join size using (cluster, derived)
+)
+"""
+
+
+@query(LAST_SQL + "select * from last_cluster", recursive=True)
 def last_clusters(spark, sf_dir):
     edges, pre = _pre(spark, sf_dir)
     members = written(pre, "pre").select(F.col("hub").alias("cluster_id"), "member_pos", "gene_id")
     return assign.last_clusters(members, edges, derived.genes(spark, sf_dir), VARIETIES, REFERENCE)
 
 
-@query()
+def _run_models_sql(p: str) -> str:
+    """GTF rows of one kind of clusters, from {p}_member(hub, member_pos, gene_id): {p}_row(hub, group_no, part, feature, start, "end", strand)."""
+    return f""", {p}_best as (
+    select kept.*, hub, member_pos, min(rec_ord) over (partition by query_id) as tx_ord from kept join {p}_member m on m.hub = target and m.gene_id = qg
+    qualify row_number() over (partition by query_id order by is_secondary, coalesce(as_score, ms_score, 0) desc, mlen desc, nm, rec_ord, target) = 1
+), {p}_model as (
+    select query_id, hub, member_pos, tx_ord, tx_len, gene_len, strand,
+           case when k = 0 then [[pos0 + 1, pos0 + mlen]]
+                when k = 1 then [[pos0 + 1, pos0 + 100], [pos0 + 101 + intron, pos0 + intron + mlen]]
+                else [[pos0 + 1, pos0 + 100], [pos0 + 101 + intron, pos0 + 160 + intron], [pos0 + 361 + intron, pos0 + 200 + intron + mlen]] end as ex,
+           case when k = 0 then 'mono'
+                when k = 1 then (pos0 + 101) || '-' || (pos0 + 100 + intron)
+                else (pos0 + 101) || '-' || (pos0 + 100 + intron) || ':' || (pos0 + 161 + intron) || '-' || (pos0 + 360 + intron) end as pattern
+    from {p}_best join gene on gene.gene_id = target join tx using (query_id)
+), {p}_cand as (
+    select *, row_number() over (partition by hub order by member_pos, tx_ord, query_id) as cand_ord from {p}_model
+), {p}_pat as (
+    select hub, pattern, min(cand_ord) as seen from {p}_cand group by all
+), {p}_rep as (
+    select a.hub, a.pattern, a.seen, b.pattern as rep_pattern, b.seen as rep_seen from {p}_pat a join {p}_pat b on a.hub = b.hub and contains(b.pattern, a.pattern)
+    qualify row_number() over (partition by a.hub, a.pattern order by length(b.pattern) desc, b.seen) = 1
+), {p}_group as (
+    select c.*, seen, dense_rank() over (partition by c.hub order by length(rep_pattern) desc, rep_seen) as group_no from {p}_cand c join {p}_rep using (hub, pattern)
+), {p}_chosen as (
+    select * from {p}_group qualify row_number() over (partition by hub, group_no order by tx_len desc, seen, cand_ord) = 1
+), {p}_cut as (
+    select *, greatest(1, ex[1][1]) as s, least(ex[-1][2], gene_len) as e from {p}_chosen
+), {p}_row as (
+    select hub, group_no, 'transcript' as feature, s as start, e as "end", strand from {p}_cut where e >= s
+    union all
+    select * from (select hub, group_no, 'exon', greatest(1, x[1]) as a, least(x[2], gene_len) as b, strand from (select *, unnest(ex) as x from {p}_cut where e >= s)) where b >= a
+)
+"""
+
+
+RUN_SQL = LAST_SQL + """, tx as (select query_id, max(mlen + soft) as tx_len from al group by query_id),
+single as (select gene_id from gene where gene_id not in (select src from edge) and gene_id not in (select dst from edge)),
+pre_member as (select hub, member_pos, gene_id from pre union all select gene_id, 0, gene_id from single),
+last_hub as (select cluster_id, group_no, gene_id as hub from last_cluster where member_pos = 0),
+last_member as (select hub, member_pos, gene_id from last_cluster join last_hub using (cluster_id, group_no) union all select gene_id, 0, gene_id from single)
+""" + _run_models_sql("pre") + _run_models_sql("last") + """, ix as (
+    select gene_id, bed_ord, case when starts_with(chrom, 'Ctg') then 'Ctg' else chrom[2] || chrom[1] end as label,
+           row_number() over (partition by case when starts_with(chrom, 'Ctg') then 'Ctg' else chrom end, variety order by bed_ord) as row_no from gene
+), name as (
+    select gene_id as hub, 'Pan' || label || printf('%06d', row_number() over (partition by label order by row_no, bed_ord, gene_id)) as pan_id
+    from ix where gene_id in (select hub from last_member)
+), official as (
+    select hub, group_no, feature, start, "end", strand from last_row
+    union all
+    select hub, dense_rank() over (partition by hub order by group_no), feature, start, "end", strand from pre_row
+    where hub in (select hub from last_member) and hub not in (select hub from last_row)
+)
+"""
+
+
+@query(RUN_SQL + """select hub as seqname, 'Pan' as source, feature, start::bigint as start, "end"::bigint as "end", '.' as score, strand, '.' as frame,
+       'transcript_id "' || pan_id || '.' || group_no || '"; gene_id "' || pan_id || '";' as attributes from official join name using (hub)""", recursive=True)
 def construct_gtf(spark, sf_dir):
     """A whole construct run, from alignments to the official GTF."""
     from graphloom.plans import construct

@@ -45,8 +45,7 @@ def write_index(spark: SparkSession, path: str, out: str, range_mb: float = 64)
     file begins. record_ord follows the files by path and the records in each.
     """
     found = files.sized(spark, path)
-    step = max(1, int(range_mb * (1 << 20)))
-    starts = written(files.ranges(spark, found, step).mapInArrow(_starts, "number long, file_no long, path string, offset long, record_id string, next long"), "fasta-starts")
+    starts = written(files.ranges(spark, found, files.step_of(found, range_mb)).mapInArrow(_starts, "number long, file_no long, path string, offset long, record_id string, next long"), "fasta-starts")
     firsts = {r["number"]: (r["path"], r["offset"]) for r in starts.groupBy("number").agg(F.first("path").alias("path"), F.min("offset").alias("offset")).collect()}  # one row per range
     ends, after, sizes = [], None, dict(found)
     for number, (name, offset) in sorted(firsts.items(), reverse=True):

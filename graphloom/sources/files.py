@@ -18,6 +18,15 @@ def sized(spark: SparkSession, path: str) -> list[tuple[str, int]]:
     return sorted((r["path"], r["length"]) for r in spark.read.format("binaryFile").load(path).select("path", "length").collect())
 
 
+#: Ranges of one job at most; beyond, ranges grow with the files.
+MAX_RANGES = 20_000
+
+
+def step_of(files: list[tuple[str, int]], range_mb: float) -> int:
+    """Bytes of a range."""
+    return max(1, int(range_mb * (1 << 20)), -(-sum(size for _, size in files) // MAX_RANGES))
+
+
 def ranges(spark: SparkSession, files: list[tuple[str, int]], step: int) -> DataFrame:
     """number (from 0, along the files), file_no, path, size, start and end of ranges of ``step`` bytes, one in each partition."""
     rows = [(k, path, size, at, min(size, at + step)) for k, (path, size) in enumerate(files) for at in range(0, size, step)]

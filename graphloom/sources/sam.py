@@ -147,7 +147,7 @@ def _contents(spark: SparkSession, paths: list[str]) -> DataFrame:
 def _records(spark: SparkSession, path: str, columns: list[str], range_mb: float) -> DataFrame:
     near, far = _files(spark, path)
     spark.dataSource.register(bam.BamSource)
-    options = {"columns": ",".join(columns), "files": json.dumps(near), "step": str(max(1, int(range_mb * (1 << 20))))}
+    options = {"columns": ",".join(columns), "files": json.dumps(near), "step": str(files.step_of(near, range_mb))}
     out = spark.read.format(bam.BamSource.name()).options(**options).load()
     if not far:
         return out

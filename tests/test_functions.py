@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import re
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -131,20 +132,16 @@ def test_patterns_in_patterns(spark):
     assert transcripts.rare_joint_pairs(patterns).count() < 10 * patterns.count()
 
 
-def test_scratch_tables_go_when_told(spark):
-    """In a session of its own folder, so that tables of other tests stay."""
-    import os
-    import tempfile
+def test_scratch_tables_go_when_told(spark, monkeypatch):
+    """In a folder of its own, so that tables of other tests stay."""
+    from pyspark.errors import AnalysisException
 
     from graphloom.sources import shared
 
-    before = spark.conf.get("spark.checkpoint.dir")
-    spark.conf.set("spark.checkpoint.dir", "file://" + tempfile.mkdtemp(prefix="graphloom-tests-"))
-    try:
-        rows = shared.written(spark.range(5).toDF("i"), "some")
-        at = shared.scratch_dir(spark).removeprefix("file://")
-        assert rows.count() == 5 and os.listdir(at)
-        shared.clear_scratch(spark)
-        assert not os.path.exists(at)
-    finally:
-        spark.conf.set("spark.checkpoint.dir", before)
+    own = shared.scratch_dir(spark) + "-some"
+    monkeypatch.setattr(shared, "scratch_dir", lambda _: own)
+    rows = shared.written(spark.range(5).toDF("i"), "some")
+    assert rows.count() == 5
+    shared.clear_scratch(spark)
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(own)
