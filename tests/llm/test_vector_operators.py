@@ -162,3 +162,26 @@ def test_tree_rules_subtrees_out_and_loses_none():
         for i in np.flatnonzero(np.linalg.norm(x - q, axis=1) <= 1.0):
             assert (k, int(leaf[i])) in visited
     assert len(visited) < 0.25 * len(queries) * tree.leaves
+
+
+@pytest.mark.parametrize("block_links", [500_000, 40])
+def test_components(spark, block_links):
+    """Random links, chains, loops and repeats, in one block and in many, against plain union-find."""
+    from graphloom.llm.components import connected_components
+
+    rng = np.random.default_rng(5)
+    links = [(int(a), int(b)) for a, b in rng.integers(-300, 300, (260, 2))] + [(k, k + 1) for k in range(1000, 1200)] + [(7, 7), (5000, 5000), (1003, 1001)]
+    parent: dict = {}
+
+    def root(i):
+        while parent.setdefault(i, i) != i:
+            i = parent[i]
+        return i
+
+    for a, b in links:
+        x, y = root(a), root(b)
+        parent[max(x, y)] = min(x, y)
+    df = spark.createDataFrame(links, "a long, b long").repartition(16)
+    got = connected_components(df, block_links).collect()
+    assert {r["node"]: r["root"] for r in got} == {i: root(i) for i in list(parent)} and len(got) == len(parent)
+    assert connected_components(df.limit(0), block_links).collect() == []
