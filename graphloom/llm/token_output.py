@@ -264,15 +264,16 @@ def re_pair(ids: np.ndarray, counts: np.ndarray, first: int, least: int = 6) ->
     live = joined.copy()  # places whose pair may be frequent; a pair once rare stays so, as new pairs have new symbols
     rules: list[np.ndarray] = []
     n_rules = n_rounds = 0
-    while len(at := np.flatnonzero(live)):
+    while len(at := np.flatnonzero(live).astype(np.int32)):
         code = seq[at].astype(np.uint64) << np.uint64(32) | seq[at + 1]
         if n_rounds % 4 == 0:  # drop rare pairs by counts of their hashes; in every round that would cost more than it saves
-            bits = min(22, len(at).bit_length())
+            bits = min(20, len(at).bit_length())
             bucket = (code * SPREAD >> np.uint64(64 - bits)).astype(np.int32)
             often = (np.bincount(bucket, minlength=1 << bits) >= least)[bucket]
+            del bucket
             live[at[~often]] = False
             at, code = at[often], code[often]
-            del bucket, often
+            del often
         n_rounds += 1
         ranked = np.sort(code)
         edge = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]])) if len(code) else np.zeros(0, np.int64)
@@ -390,7 +391,7 @@ class Shard:
 SHARD_SCHEMA = "task int, shard int, first_doc long, last_doc long, n_docs long, n_tokens long, doc_ids array<long>, payload binary"
 
 
-def write_tokens(documents: DataFrame, path: str, tokenizer: str, end_id: int = 2, task_mb: int = 12, max_tasks: int = 50_000, shard_tokens: int = 6_000_000, first: int = 50_257, **parameters) -> None:
+def write_tokens(documents: DataFrame, path: str, tokenizer: str, end_id: int = 2, task_mb: int = 8, max_tasks: int = 50_000, shard_tokens: int = 6_000_000, first: int = 50_257, **parameters) -> None:
     """Writes the ids of ``documents`` (doc_id, text; other columns are left out) in ascending doc_id order into folder ``path``.
 
     A null text is empty; each document ends with ``end_id``. Null ids come first; rows of one id follow each other in the order of a
