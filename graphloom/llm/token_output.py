@@ -12,6 +12,7 @@ Task, shard number and first and last doc_id are columns beside it, so that a re
 
 from __future__ import annotations
 
+import functools
 import json
 import os
 import zlib
@@ -57,6 +58,10 @@ _MARKS = np.zeros(256, bool)
 _MARKS[[c for c in range(33, 127) if not chr(c).isalnum() and c != 39]] = True
 #: Marks at a word's end that are looked at.
 _TAIL = 8
+#: The first k of eight bytes, k from 0 to 8.
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+#: Bits of a hash that choose a unit's slot.
+_SLOT_BITS = 20
 
 
 class UnitEncoder:
@@ -65,10 +70,11 @@ class UnitEncoder:
     A byte-level tokenizer cuts a text into pieces before it merges. A single space between two other characters always begins a piece,
     a single line end is one, and so are marks between a letter or digit and a blank; so the ids of a text without added tokens are those of
     its units, and each distinct unit is encoded once. Units of letters alone go straight to the tokenizer's model, as one piece each. Texts with
-    other blanks or several in a row are encoded whole. Units are found by hash and compared byte by byte; a text with a unit that
+    other blanks or several in a row are encoded whole. Units are found by hash, most of them in one of 2^20 slots, the rest among the sorted
+    hashes, and compared: by separator, size and their first and last eight bytes, longer ones byte by byte. A text with a unit that
     only shares another's hash is encoded whole too, and so is one that holds an added token of the tokenizer, which the library takes out
-    before it cuts. Beyond ``max_units`` what was learned is forgotten. With a tokenizer of another kind
-    all texts are encoded whole.
+    before it cuts. Beyond ``max_units`` those are forgotten that were not met again since they were
+    learned, or all if these are few. With a tokenizer of another kind all texts are encoded whole.
     """
 
     def __init__(self, path: str, max_units: int = 1_000_000):
@@ -101,9 +107,29 @@ class UnitEncoder:
         self.forget()
 
     def forget(self) -> None:
-        self.keys, self.number = np.zeros(0, np.uint64), np.zeros(0, np.int32)  # sorted hashes, and the units they stand for
-        self.units, self.unit_at = np.zeros(0, np.uint8), np.zeros(1, np.int64)
-        self.ids, self.ids_at = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        # unit 0 is none: no word has its size
+        self.keys, self.number = np.zeros(1, np.uint64), np.zeros(1, np.int32)  # sorted hashes, and the units they stand for
+        self.slots = np.zeros(1 << _SLOT_BITS, np.int32)
+        self.heads, self.lasts, self.codes = np.zeros(1, np.uint64), np.zeros(1, np.uint64), np.zeros(1, np.int64)
+        self.units, self.unit_at = np.zeros(0, np.uint8), np.zeros(2, np.int64)  # bytes of the long ones
+        self.ids, self.ids_at = np.zeros(0, np.uint32), np.zeros(2, np.int64)
+        self.met = np.zeros(1, bool)  # again, after the slice that they were learned from
+
+    def _forget_rare(self) -> None:
+        stay = self.met.copy()
+        stay[0] = True
+        if 2 * np.count_nonzero(stay) > self.max_units:
+            self.forget()
+            return
+        number = np.cumsum(stay, dtype=np.int32) - np.int32(1)
+        self.slots = np.where(stay[self.slots], number[self.slots], np.int32(0))
+        known = stay[self.number]
+        self.keys, self.number = self.keys[known], number[self.number[known]]
+        self.heads, self.lasts, self.codes = self.heads[stay], self.lasts[stay], self.codes[stay]
+        n, m = np.diff(self.unit_at), np.diff(self.ids_at)
+        self.units, self.ids = self.units[np.repeat(stay, n)], self.ids[np.repeat(stay, m)]
+        self.unit_at, self.ids_at = np.cumsum(np.append(0, n[stay])), np.cumsum(np.append(0, m[stay]))
+        self.met = np.zeros(len(self.codes), bool)
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -129,10 +155,11 @@ class UnitEncoder:
                 sizes.append(np.diff(np.append(at, len(ids))))
         return found, sizes
 
-    def _learn(self, keys: np.ndarray, separators: np.ndarray, data: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> None:
+    def _learn(self, keys: np.ndarray, forms: tuple[np.ndarray, ...], data: np.ndarray, starts: np.ndarray) -> None:
+        separators, lens = forms[2] % 64, forms[2] // 64
         first = np.cumsum(lens) - lens
         letters = np.logical_and.reduceat(_LETTERS[data[np.repeat(starts - first, lens) + np.arange(int(lens.sum()))]], first)
-        kind = separators.astype(np.int64) * 2 + letters
+        kind = separators * 2 + letters
         order = np.argsort(kind, kind="stable")
         keys, kind, starts, lens = keys[order], kind[order], starts[order], lens[order]
         raw = data.tobytes()
@@ -143,18 +170,24 @@ class UnitEncoder:
             own = self._unit_ids(int(kind[i]) // 2, bool(kind[i] % 2), words[i:j])
             ids += own[0]
             sizes += own[1]
+        n_known = len(self.number)
+        slot = keys >> np.uint64(64 - _SLOT_BITS)
+        empty = np.flatnonzero(self.slots[slot] == 0)
+        self.slots[slot[empty]] = empty + n_known
         sorted_ = np.argsort(keys)
         at = np.searchsorted(self.keys, keys[sorted_])
-        self.keys, self.number = np.insert(self.keys, at, keys[sorted_]), np.insert(self.number, at, sorted_ + len(self.number))
-        self.units = np.concatenate([self.units, np.frombuffer(b"".join(words), np.uint8)])
-        self.unit_at = np.concatenate([self.unit_at, self.unit_at[-1] + np.cumsum(lens)])
+        self.keys, self.number = np.insert(self.keys, at, keys[sorted_]), np.insert(self.number, at, sorted_ + n_known)
+        self.heads, self.lasts, self.codes = (np.concatenate([x, f[order]]) for x, f in zip((self.heads, self.lasts, self.codes), forms, strict=True))
+        self.met = np.append(self.met, np.zeros(len(keys), bool))
+        self.units = np.concatenate([self.units, np.frombuffer(b"".join(w for w in words if len(w) > 16), np.uint8)])
+        self.unit_at = np.concatenate([self.unit_at, self.unit_at[-1] + np.cumsum(np.where(lens > 16, lens, 0))])
         self.ids = np.concatenate([self.ids, *ids])
         self.ids_at = np.concatenate([self.ids_at, self.ids_at[-1] + np.cumsum(np.concatenate(sizes))])
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids in one array, and the number of each text's. Text k is the UTF-8 bytes from ``offsets[k]`` to ``offsets[k + 1]``."""
         if len(self.keys) > self.max_units:
-            self.forget()
+            self._forget_rare()
         n_texts = len(offsets) - 1
         single, n, ids = np.zeros(n_texts, bool), np.zeros(n_texts, np.int64), np.zeros(0, np.uint32)
         if self.by_unit:
@@ -212,23 +245,38 @@ class UnitEncoder:
         end[at + np.arange(len(at))] -= tail
         size = end - start
 
+        # the eight bytes from each place on
+        eights = np.ascontiguousarray(np.ndarray(len(data) + 1, "<u8", np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,)))
+        forms = eights[start] & _FIRST[np.minimum(size, 8)], np.where(size > 8, eights[np.maximum(end - 8, 0)], np.uint64(0)), size * 64 + before
+        del eights
+        long = np.flatnonzero(size > 16)
         with np.errstate(over="ignore"):
-            key = mix(span_hashes(data, start, size) + before.astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
-        key, first, which = np.unique(key, return_index=True, return_inverse=True)
-        place = np.searchsorted(self.keys, key)
-        new = np.flatnonzero(self.keys[np.minimum(place, len(self.keys) - 1)] != key) if len(self.keys) else np.arange(len(key))
-        if len(new):
-            of = first[new]
-            self._learn(key[new], before[of], data, start[of], size[of])
-            place = np.searchsorted(self.keys, key)
-        unit = self.number[place][which]
-        begin = self.unit_at[unit]
-        same = self.unit_at[unit + 1] - begin == size
-        # byte by byte; where the lengths differ the comparison may be of anything
-        lead = np.cumsum(size) - size
-        run = np.arange(int(size.sum()))
-        alike = data[np.repeat(start - lead, size) + run] == self.units[np.minimum(np.repeat(begin - lead, size) + run, len(self.units) - 1)]
-        same &= np.logical_and.reduceat(alike, lead)
+            key = forms[0] * np.uint64(0xA24BAED4963EE407) + forms[1] * np.uint64(0x9FB21C651E98DF25) + forms[2].astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+            key[long] += span_hashes(data, start[long] + 8, size[long] - 16)
+        key = mix(key)
+        unit = self.slots[key >> np.uint64(64 - _SLOT_BITS)]
+        same = (self.heads[unit] == forms[0]) & (self.lasts[unit] == forms[1]) & (self.codes[unit] == forms[2])
+        self.met[unit[same]] = True
+        rest = np.flatnonzero(~same)
+        if len(rest):
+            own, first, which = np.unique(key[rest], return_index=True, return_inverse=True)
+            place = np.searchsorted(self.keys, own)
+            new = self.keys[np.minimum(place, len(self.keys) - 1)] != own
+            self.met[self.number[place[~new]]] = True
+            new = np.flatnonzero(new)
+            if len(new):
+                of = rest[first[new]]
+                self._learn(own[new], tuple(f[of] for f in forms), data, start[of])
+                place = np.searchsorted(self.keys, own)
+            unit[rest] = found = self.number[place][which]
+            same[rest] = (self.heads[found] == forms[0][rest]) & (self.lasts[found] == forms[1][rest]) & (self.codes[found] == forms[2][rest])
+        long = long[same[long]]
+        if len(long):
+            n = size[long]
+            lead = np.cumsum(n) - n
+            run = np.arange(int(n.sum()))
+            alike = data[np.repeat(start[long] - lead, n) + run] == self.units[np.repeat(self.unit_at[unit[long]] - lead, n) + run]
+            same[long] = np.logical_and.reduceat(alike, lead)
         if not same.all():
             single[text[~same]] = False
             unit, text = unit[single[text]], text[single[text]]
@@ -243,7 +291,7 @@ _encoders: dict[str, UnitEncoder] = {}  # of this worker process
 
 
 def encoder_of(path: str) -> UnitEncoder:
-    """The process's encoder, which tasks leave to those after them: a tokenizer, and units in arrays of some 50 MB at most."""
+    """The process's encoder, which tasks leave to those after them: a tokenizer, and units in arrays of some 70 MB at most."""
     if path not in _encoders:
         _encoders[path] = UnitEncoder(path)
     return _encoders[path]
@@ -252,6 +300,41 @@ def encoder_of(path: str) -> UnitEncoder:
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
+#: In the place of a pair that is not live.
+_NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
+
+
+def _pairs(seq: np.ndarray, live: np.ndarray) -> tuple[np.ndarray | None, np.ndarray]:
+    """The live places and their pairs, the left symbol in the upper half. Where most are live all pairs are given, and no places: one sweep
+    is cheaper than many single ones."""
+    if 4 * np.count_nonzero(live) < 3 * len(seq):
+        at = np.flatnonzero(live)
+        return at, seq[at].astype(np.uint64) << np.uint64(32) | seq[at + 1]
+    code = np.empty(len(seq) - 1, "<u8")
+    half = code.view("<u4").reshape(-1, 2)
+    half[:, 0], half[:, 1] = seq[1:], seq[:-1]
+    code[~live[:-1]] = _NONE
+    return None, code
+
+
+def _compatible(pairs: np.ndarray, n_symbols: int) -> np.ndarray:
+    """Those of ``pairs`` that take no place of one before them: none begins with a symbol that another ends with."""
+    begins, ends = bytearray(n_symbols), bytearray(n_symbols)
+    lefts, rights = (pairs >> np.uint64(32)).view(np.int64), (pairs & np.uint64(0xFFFFFFFF)).view(np.int64)
+    begun, ended = np.frombuffer(begins, bool), np.frombuffer(ends, bool)
+    chosen, i = [], 0
+    while i < len(pairs):
+        j = max(2 * i, i + 1000)
+        left, right = lefts[i:j], rights[i:j]
+        free = np.flatnonzero(~(ended[left] | begun[right]))  # most of those that stand back against the runs before
+        for k, a, b in zip((free + i).tolist(), left[free].tolist(), right[free].tolist(), strict=True):
+            if not (ends[a] or begins[b] or a == b and (begins[a] or ends[b])):
+                begins[a] = ends[b] = 1
+                chosen.append(k)
+        i = j
+    return pairs[chosen]
+
+
 def re_pair(ids: np.ndarray, counts: np.ndarray, first: int, least: int = 6) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rules (pairs, the k-th makes symbol ``first + k``), symbols and symbols per document.
 
@@ -259,44 +342,48 @@ def re_pair(ids: np.ndarray, counts: np.ndarray, first: int, least: int = 6) ->
     begins with a symbol that another ends with. Rounds end when no pair inside a document is found ``least`` times any more.
     """
     seq, counts = np.array(ids, np.uint32), np.asarray(counts, np.int64)
-    joined = np.ones(len(seq), bool)  # to the symbol after it, as one of the same document
-    joined[np.cumsum(counts)[counts > 0] - 1] = False
-    live = joined.copy()  # places whose pair may be frequent; a pair once rare stays so, as new pairs have new symbols
+    ends = np.cumsum(counts)[counts > 0] - 1  # the documents' last symbols, which begin no pair
+    live = np.ones(len(seq), bool)  # places whose pair may be frequent; a pair once rare stays so, as new pairs have new symbols
+    live[ends] = False
     rules: list[np.ndarray] = []
     n_rules = n_rounds = 0
-    while len(at := np.flatnonzero(live).astype(np.int32)):
-        code = seq[at].astype(np.uint64) << np.uint64(32) | seq[at + 1]
+    while live.any():
+        at, code = _pairs(seq, live)
         if n_rounds % 4 == 0:  # drop rare pairs by counts of their hashes; in every round that would cost more than it saves
-            bits = min(20, len(at).bit_length())
-            bucket = (code * SPREAD >> np.uint64(64 - bits)).astype(np.int32)
+            bits = min(20, len(code).bit_length())
+            bucket = (code * SPREAD >> np.uint64(64 - bits)).view(np.int64)
             often = (np.bincount(bucket, minlength=1 << bits) >= least)[bucket]
             del bucket
-            live[at[~often]] = False
-            at, code = at[often], code[often]
+            if at is None and 4 * np.count_nonzero(often) > 3 * len(code):
+                live[:-1] &= often
+                code[~often] = _NONE
+            else:
+                at = np.arange(len(code)) if at is None else at
+                live[at[~often]] = False
+                at, code = at[often], code[often]
             del often
         n_rounds += 1
         ranked = np.sort(code)
-        edge = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]])) if len(code) else np.zeros(0, np.int64)
-        found = np.diff(np.append(edge, len(code)))
+        ranked = ranked[: np.searchsorted(ranked, _NONE)]
+        edge = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]])) if len(ranked) else np.zeros(0, np.int64)
+        found = np.diff(np.append(edge, len(ranked)))
         best = np.flatnonzero(found >= max(least, int(found.max(initial=0)) // 64))
         if not len(best):
             break
         best = best[np.argsort(-found[best], kind="stable")]
-        lefts, rights, chosen = set(), set(), []
-        for c in ranked[edge[best]].tolist():
-            a, b = c >> 32, c & 0xFFFFFFFF
-            if a not in rights and b not in lefts and (a != b or a not in lefts and b not in rights):
-                lefts.add(a)
-                rights.add(b)
-                chosen.append(c)
+        table = np.sort(_compatible(ranked[edge[best]], first + n_rules))
         del ranked, edge, found
-        table = np.sort(np.array(chosen, np.uint64))
+        place = (table * SPREAD >> np.uint64(46)).view(np.int64)
         marked = np.zeros(1 << 18, bool)
-        marked[table * SPREAD >> np.uint64(46)] = True
-        may = np.flatnonzero(marked[code * SPREAD >> np.uint64(46)])
-        where, own = at[may], code[may]
-        del at, code, may
-        which = np.minimum(np.searchsorted(table, own), len(table) - 1)
+        marked[place] = True
+        rule_at = np.zeros(1 << 18, np.int32)
+        rule_at[place] = np.arange(len(table))
+        place = (code * SPREAD >> np.uint64(46)).view(np.int64)
+        may = np.flatnonzero(marked[place])
+        where, own, which = may if at is None else at[may], code[may], rule_at[place[may]]
+        del at, code, may, place
+        other = np.flatnonzero(table[which] != own)  # several rules may share a place
+        which[other] = np.minimum(np.searchsorted(table, own[other]), len(table) - 1)
         hit = table[which] == own
         where, which = where[hit], which[hit]
         follows = np.concatenate([[False], where[:-1] + 1 == where[1:]])  # runs of one symbol: every other place counts
@@ -304,17 +391,17 @@ def re_pair(ids: np.ndarray, counts: np.ndarray, first: int, least: int = 6) ->
             run = np.arange(len(where)) - np.maximum.accumulate(np.where(follows, 0, np.arange(len(where))))
             where, which = where[run % 2 == 0], which[run % 2 == 0]
         seq[where] = (first + n_rules + which).astype(np.uint32)
-        joined[where] = joined[where + 1]
-        for changed in (where, np.maximum(where - 1, 0)):
-            live[changed] = joined[changed]
+        live[where] = live[np.maximum(where - 1, 0)] = True
         stays = np.ones(len(seq), bool)
         stays[where + 1] = False
-        seq, joined, live = seq[stays], joined[stays], live[stays]
+        seq, live = seq[stays], live[stays]
+        ends -= np.searchsorted(where, ends)  # where a document's last symbol went into a pair, the pair is the last one
+        live[ends] = False
         rules.append(table)
         n_rules += len(table)
     all_ = np.concatenate(rules) if rules else np.zeros(0, np.uint64)
     symbols = np.zeros(len(counts), np.int64)
-    symbols[counts > 0] = np.diff(np.concatenate([[-1], np.flatnonzero(~joined)]))
+    symbols[counts > 0] = np.diff(ends, prepend=-1)
     return np.column_stack([all_ >> np.uint64(32), all_ & np.uint64(0xFFFFFFFF)]).astype(np.uint32), seq, symbols
 
 
@@ -341,6 +428,10 @@ def pack(ids: np.ndarray, counts: np.ndarray, first: int, **parameters) -> bytes
     return MAGIC + b"".join(p.tobytes() for p in parts)
 
 
+#: Tokens of an expansion that a reader keeps at hand.
+SHORT = 64
+
+
 class Shard:
     """Reads a shard; documents can be decoded alone, and any range of a document's tokens too."""
 
@@ -363,7 +454,33 @@ class Shard:
         self.lengths = np.concatenate([np.ones(self.first, np.uint32), lengths])
         self.bounds = np.concatenate([[0], np.cumsum(self.symbols, dtype=np.int64)])
 
+    @functools.cached_property
+    def short(self) -> tuple[np.ndarray, np.ndarray]:
+        """The expansions of all symbols of at most ``SHORT`` tokens, one after the other, and where each begins (-1: longer)."""
+        own = np.flatnonzero(self.lengths <= SHORT)
+        at = np.full(len(self.lengths), -1, np.int64)
+        at[own] = np.cumsum(self.lengths[own], dtype=np.int64) - self.lengths[own]
+        return self._by_depth(own.astype(np.uint32)), at
+
     def expand(self, seq: np.ndarray) -> np.ndarray:
+        """Short symbols of a long sequence are copied from a table of their expansions."""
+        if len(seq) < len(self.rules):  # the table would cost more
+            return self._by_depth(seq)
+        tokens, at = self.short
+        size = self.lengths[seq].astype(np.int64)
+        begin, ends = at[seq], np.cumsum(size)
+        long = np.flatnonzero(begin < 0)
+        begin[long] = 0
+        place = np.arange(int(size.sum()))
+        place += np.repeat(begin - (ends - size), size)
+        if not len(long):
+            return tokens[place]
+        out = tokens[np.minimum(place, len(tokens) - 1, out=place)]
+        n = size[long]
+        out[np.arange(int(n.sum())) + np.repeat(ends[long] - np.cumsum(n), n)] = self._by_depth(seq[long])
+        return out
+
+    def _by_depth(self, seq: np.ndarray) -> np.ndarray:
         """All nonterminals of one depth at once, until none is left; lengths tell where the halves of each go."""
         size = self.lengths[seq].astype(np.int64)
         out = np.empty(int(size.sum()), np.uint32)

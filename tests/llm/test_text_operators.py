@@ -444,6 +444,90 @@ def test_units_that_share_a_hash_are_encoded_whole(monkeypatch):
         assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def same_as_library(encoder, texts):
+    raw = [t.encode() for t in texts]
+    ids, n = encoder.encode(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+    return [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_units_that_share_a_hash_and_differ_in_separator_or_middle(monkeypatch):
+    public = pytest.importorskip("public_tokenizers")
+    monkeypatch.setattr(token_output, "mix", lambda x: x * np.uint64(0))
+    long = ["a" * 8 + x * 5 + "b" * 8 for x in "xyz"]
+    for texts in (["ab ab", "ab\nab"], ["z ab", "ab ab", "ab\nab"], long, [f"{long[0]} {w}" for w in long], ["éé" * 4 + "xy", "éé" * 4 + "zy"]):
+        encoder = token_output.UnitEncoder(public.path("byte_bpe_50k.json"))
+        for _ in range(2):
+            assert same_as_library(encoder, texts)
+
+
+def test_only_the_middles_of_long_words_are_hashed_byte_by_byte(monkeypatch):
+    public = pytest.importorskip("public_tokenizers")
+    hashed, real = [], token_output.span_hashes
+    monkeypatch.setattr(token_output, "span_hashes", lambda data, starts, lens: hashed.append(int(lens.sum())) or real(data, starts, lens))
+    encoder, rng = token_output.UnitEncoder(public.path("byte_bpe_50k.json")), random.Random(9)
+    words = ["".join(rng.choice("abcdeéß19") for _ in range(rng.randrange(1, 14))) for _ in range(300)] + ["a" * n for n in range(1, 40)]
+    texts = [" ".join(rng.choice(words) for _ in range(100)) for _ in range(50)]
+    for _ in range(2):
+        hashed.clear()
+        assert same_as_library(encoder, texts)
+        assert sum(hashed) == sum(max(0, len(w.encode()) - 16) for t in texts for w in t.split())
+
+
+def test_units_met_again_outlast_those_met_once():
+    public = pytest.importorskip("public_tokenizers")
+    encoder, rng = token_output.UnitEncoder(public.path("byte_bpe_50k.json"), max_units=120), random.Random(10)
+    common = ["".join(rng.choice("abcdefé") for _ in range(rng.randrange(1, 25))) for _ in range(30)]
+    assert same_as_library(encoder, [" ".join(common)])
+    for k in range(40):
+        rare = [f"{k}x{i}" + "longer" * (i % 4) for i in range(30)]
+        learned = []
+        encoder._whole = lambda texts, learned=learned: learned.extend(texts) or token_output.UnitEncoder._whole(encoder, texts)
+        assert same_as_library(encoder, [" ".join([*common, *rare]), " ".join(rare)])
+        assert not any(c in t.split() for t in learned for c in common if len(c) > 4)
+        assert len(encoder.keys) < 250
+
+
+def plain_re_pair(docs, first, least):
+    """Rounds of Re-Pair on lists: the rules, and what is left of each document."""
+    rules = []
+    while True:
+        found = Counter(p for d in docs for p in itertools.pairwise(d))
+        best = sorted((p for p, n in found.items() if n >= max(least, max(found.values()) // 64)), key=lambda p: (-found[p], p))
+        if not best:
+            return rules, docs
+        lefts, rights, chosen = set(), set(), []
+        for a, b in best:
+            if a not in rights and b not in lefts and (a != b or a not in lefts and b not in rights):
+                lefts.add(a)
+                rights.add(b)
+                chosen.append((a, b))
+        own = {p: first + len(rules) + k for k, p in enumerate(sorted(chosen))}
+        rules += sorted(chosen)
+        for k, d in enumerate(docs):
+            out, i = [], 0
+            while i < len(d):
+                pair = own.get(tuple(d[i : i + 2]))
+                out.append(d[i] if pair is None else pair)
+                i += 1 if pair is None else 2
+            docs[k] = out
+
+
+def test_grammar_against_plain_rounds(monkeypatch):
+    rng = random.Random(12)
+    for case in range(150):
+        n = rng.randrange(2, 8)
+        monkeypatch.setattr(token_output, "SHORT", rng.choice([2, 64]))
+        docs = [[rng.randrange(n) for _ in range(rng.choice([0, 1, 2, 40, 300]))] for _ in range(rng.randrange(1, 7))] * rng.choice([1, 1, 3])
+        least = rng.choice([2, 3, 6])
+        ids, counts = np.array([x for d in docs for x in d], np.uint32), np.array([len(d) for d in docs])
+        rules, seq, symbols = token_output.re_pair(ids, counts, n, least=least)
+        want_rules, want = plain_re_pair([list(d) for d in docs], n, least)
+        assert [tuple(r) for r in rules.tolist()] == want_rules
+        assert [x.tolist() for x in np.split(seq, np.cumsum(symbols)[:-1])] == want
+        shard = token_output.Shard(token_output.pack(ids, counts, n, least=least))
+        assert (shard.expand(shard.seq) == ids).all()
+
+
 def test_toxicity(spark):
     rng = random.Random(8)
     rows, labels = [], []
