@@ -6,7 +6,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from graphloom.operators import alignment, transcripts
+from graphloom.operators import alignment, graph, relations, transcripts
 from graphloom.plans import derived
 from graphloom.plans.queries import QUERIES
 from graphloom.sources import shared
@@ -77,3 +77,22 @@ def test_records_without_an_exon(spark):
     assert {tuple(r) for r in got} == {("a.g.1", "a.g", 2, 2), ("b", "b", 5, 5)}
     kept = alignment.best_of_targets(df)
     assert kept.count() == 5 and kept.filter("best is null").count() == 2
+
+
+def test_small_groups_share_calls(spark):
+    """One call of a Python function for thousands of rows, whatever the number of groups; each group as peel() has it."""
+    n = 6000
+    members = spark.range(n).select(F.format_string("s%d", F.floor(F.col("id") / 3)).alias("group_id"), F.format_string("g%06d", "id").alias("gene_id"))
+    assert members.select(relations.dealt(members, "group_id").alias("b")).distinct().count() == 2
+    two = [(f"g{3 * k + i:06d}", f"g{3 * k + j:06d}") for k in range(n // 3) for i, j in ((0, 1), (1, 0), (k % 3, 2))]
+    edges = spark.createDataFrame(two, "src string, dst string")
+    genes = members.select("gene_id", F.lit(100).cast("long").alias("gene_len"))
+    got = Counter((r["group_id"], r["round"], r["member_pos"], r["gene_id"]) for r in graph.hub_clusters(edges, members, genes, "none").collect())
+    want = Counter()
+    for k in range(n // 3):
+        own = [(f"g{3 * k + i:06d}", 100, False) for i in range(3)]
+        found = graph.peel(own, [e for e in two[3 * k : 3 * k + 3]])
+        linked = {x for e in two[3 * k : 3 * k + 3] for x in e}
+        assert linked == {x for x, _, _ in own}
+        want.update((f"s{k}", r, i, x) for r, c in enumerate(found) for i, x in enumerate(c))
+    assert got == want
