@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from graphloom.operators import alignment, graph, relations, transcripts
@@ -60,11 +61,19 @@ def test_hubs_of_many_patterns_are_grouped_alike(spark):
     assert rows_of(transcripts.superstring_groups(cands)) == rows_of(index) == rows_of(transcripts.superstring_groups(cands, hub_patterns=5))
 
 
-def test_superstring_groups_keep_little(spark, sf_dir):
+#: Queries and the scratch tables that are left when their result is computed.
+LEFT = {
+    "superstring_groups": ["edges", "grouped"],
+    "gtf_rows": ["edges", "grouped"],
+}
+
+
+@pytest.mark.parametrize("name", LEFT)
+def test_queries_keep_little(spark, sf_dir, name):
     shared.clear_scratch(spark)
     before = shuffle_files(spark)
-    got = QUERIES["superstring_groups"](spark, sf_dir)
-    assert shuffle_files(spark) == before and scratch_tables(spark) == Counter(["edges", "grouped"])
+    got = QUERIES[name](spark, sf_dir)
+    assert shuffle_files(spark) == before and scratch_tables(spark) == Counter(LEFT[name])
     assert got.count() > 0
 
 
