@@ -65,6 +65,7 @@ def test_hubs_of_many_patterns_are_grouped_alike(spark):
 LEFT = {
     "superstring_groups": ["edges", "grouped"],
     "gtf_rows": ["edges", "grouped"],
+    "spliced_cdna": ["edges", "grouped"],
 }
 
 
