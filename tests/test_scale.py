@@ -67,6 +67,7 @@ LEFT = {
     "gtf_rows": ["edges", "grouped"],
     "spliced_cdna": ["edges", "grouped"],
     "rescue_from_pre": ["edges", "grouped", "pre-gtf"],
+    "representative_transcripts": ["edges", "grouped"],
 }
 
 
