@@ -68,6 +68,7 @@ LEFT = {
     "spliced_cdna": ["edges", "grouped"],
     "rescue_from_pre": ["edges", "grouped", "pre-gtf"],
     "representative_transcripts": ["edges", "grouped"],
+    "gtf_attribute_parse": ["edges", "grouped"],
     "pan_sort": ["edges", "grouped", "ranges", "ranges", "ranges"],
 }
 
